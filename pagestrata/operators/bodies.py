@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Error texts of a body that cannot be had.
 MISSING_KEY = "Missing timestamp or URL"
@@ -14,23 +15,27 @@ def attach_bodies(df: DataFrame, store: DataFrame) -> DataFrame:
     """Add ``response`` (``body``, ``error``) from ``store`` (``url``, ``timestamp``,
     ``body``), which holds one row per snapshot.
 
-    Filter the captures first: only what is left is joined. Captures whose key is
-    incomplete get a NULL key of their own and never meet in one join task.
+    Filter the captures first: only what is left is joined. Captures without a complete
+    key are spread by a hash of the row, so many of them do not meet in one task; a
+    snapshot that very many captures point at is split by the skew handling of the join.
     """
-    known = (F.length("url") > 0) & F.col("timestamp").isNotNull()
+    known = F.coalesce((F.length("url") > 0) & F.col("timestamp").isNotNull(), F.lit(False))
+    flat = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    # NUL occurs in no URL, so such a key meets no stored body.
+    spread = F.concat(F.lit("\0"), F.hex(F.xxhash64(*flat)))
+    keyed = df.withColumn("_url", F.when(known, F.col("url")).otherwise(spread))
     stored = store.select(
-        F.col("url").alias("_url"),
-        F.col("timestamp").alias("_ts"),
+        F.col("url").alias("_stored_url"),
+        F.col("timestamp").alias("_stored_ts"),
         F.col("body").cast("binary").alias("_body"),
-        F.lit(True).alias("_stored"),
     )
-    same = known & (F.col("url") == F.col("_url")) & (F.col("timestamp") == F.col("_ts"))
-    error = F.when(F.coalesce(~known, F.lit(True)), MISSING_KEY).when(
-        F.col("_stored").isNull(), NOT_STORED
+    same = (F.col("_url") == F.col("_stored_url")) & (F.col("timestamp") == F.col("_stored_ts"))
+    error = F.when(F.col("_url").startswith("\0"), MISSING_KEY).when(
+        F.col("_stored_url").isNull(), NOT_STORED
     )
     response = F.struct(F.col("_body").alias("body"), error.alias("error"))
     return (
-        df.join(stored, same, "left")
+        keyed.join(stored, same, "left")
         .withColumn("response", response)
-        .drop("_url", "_ts", "_body", "_stored")
+        .drop("_url", "_stored_url", "_stored_ts", "_body")
     )

@@ -50,24 +50,31 @@ def in_domain(host: str) -> Column:
 
 
 def url_pattern(pattern: str) -> Column:
-    """The pattern forms a URL filter takes: exact, ``x*``, ``*.host``, ``*x*``.
+    """The forms a URL filter takes.
 
-    ``%`` may be written for ``*``. ``*.host`` is the domain form and covers the
-    host itself as well as its subdomains.
+    * ``%`` makes it SQL LIKE on the URL.
+    * ``*.example.com`` is a host with its subdomains.
+    * With a scheme, it is the URL itself, or its beginning if it ends in ``*``.
+    * Without a scheme, ``example.com/a`` and ``example.com/a*`` are looked up in the
+      SURT key, which knows neither scheme nor port.
     """
-    p = pattern.replace("%", "*")
-    inner = p.strip("*")
-    if "*" not in p:
-        return F.col("url") == pattern
-    if p.startswith("*.") and "*" not in p[2:].removesuffix("/*"):
-        return in_domain(p[2:].removesuffix("/*"))
-    if p == inner + "*":
-        return F.col("url").startswith(inner)
-    if p == "*" + inner:
-        return F.col("url").endswith(inner)
-    if p == f"*{inner}*" and "*" not in inner:
-        return F.col("url").contains(inner)
-    return F.col("url").like(p.replace("_", r"\_").replace("*", "%"))
+    if "%" in pattern:
+        return F.col("url").like(pattern)
+    start = pattern.removesuffix("*")
+    if pattern.startswith("*."):
+        return in_domain(pattern[2:].removesuffix("/*"))
+    if "*" in start:
+        raise ValueError(f"* may only start or end a URL pattern: {pattern!r}; use LIKE or a regex")
+    if "://" in pattern:
+        column, value = F.col("url"), start
+    else:
+        host, slash, path = start.partition("/")
+        column, value = F.col("urlkey"), f"{surt_of_host(host)}){slash}{path.lower()}"
+    if pattern.endswith("*"):
+        return column.startswith(value)
+    if value.endswith(")"):
+        return column.isin(value, f"{value}/")
+    return column == value
 
 
 def instant(df: DataFrame, value: str | dt.date | dt.datetime, column: str = "timestamp") -> Column:

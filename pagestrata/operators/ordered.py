@@ -91,34 +91,78 @@ def with_rank(
     order: list[str],
     name: str = "rank",
     descending: bool = False,
+    at_most: int | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """Add a 1-based row number within ``group`` along ``order``.
+    """Add a 1-based row number within ``group`` along ``order``; with ``at_most``, keep
+    only the rows up to that number.
 
-    For ranks too large for a pruned window. A group that spans ranges is numbered
-    in pieces; at most one carried count per range border is broadcast.
+    For ranks too large for a pruned window. A group that spans ranges is numbered in
+    pieces; at most one carried count per range border is broadcast. Pieces that start
+    beyond ``at_most`` are dropped before the rows are shuffled.
     """
     ranged, split = with_range(df, [*group, *order], rows_per_range)
-    keys = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    inner = Window.partitionBy(RANGE, *group).orderBy(*keys)
-    local = ranged.withColumn("_rn", F.row_number().over(inner).cast("long"))
-    if not split:
-        return local.withColumnRenamed("_rn", name).drop(RANGE)
-
+    if split:
+        ranged = _with_rows_before(ranged, group, descending)
+    else:
+        ranged = ranged.withColumn("_before", F.lit(0).cast("long"))
+    if at_most is not None:
+        ranged = ranged.filter(F.col("_before") < at_most)
+    inner = Window.partitionBy(RANGE, *group).orderBy(*directed(order, descending))
+    ranked = ranged.withColumn(name, F.row_number().over(inner) + F.col("_before"))
+    if at_most is not None:
+        ranked = ranked.filter(F.col(name) <= at_most)
+    return ranked.drop("_before", RANGE)
+
+
+def _with_rows_before(ranged: DataFrame, group: list[str], descending: bool) -> DataFrame:
+    """Add ``_before``, the rows of the same group in the ranges ahead of this one."""
     counts = ranged.groupBy(RANGE, *group).agg(F.count("*").alias("_rows"))
-    pieces = F.col(RANGE).desc() if descending else F.col(RANGE).asc()
-    before = (
-        Window.partitionBy(*group).orderBy(pieces).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (
+        Window.partitionBy(*group)
+        .orderBy(*directed([RANGE], descending))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = counts.select(
         F.col(RANGE).alias("_r"),
         *[F.col(c).alias(f"_g_{c}") for c in group],
-        F.sum("_rows").over(before).alias("_carry"),
+        F.sum("_rows").over(ahead).alias("_carry"),
     ).filter("_carry > 0")
     same = [F.col(RANGE) == F.col("_r")]
     same += [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group]
-    return (
-        local.join(F.broadcast(carried), reduce(Column.__and__, same), "left")
-        .withColumn(name, F.col("_rn") + F.coalesce("_carry", F.lit(0)))
-        .drop("_rn", RANGE, *carried.columns)
+    joined = ranged.join(F.broadcast(carried), reduce(Column.__and__, same), "left")
+    return joined.withColumn("_before", F.coalesce("_carry", F.lit(0))).drop(*carried.columns)
+
+
+def rows_between(
+    df: DataFrame,
+    order: list[str],
+    first: int,
+    last: int,
+    descending: bool = False,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Rows number ``first`` to ``last`` (1-based) along ``order``, in that order.
+
+    Counting the rows per range tells which ranges can hold them; only those ranges are
+    shuffled and sorted.
+    """
+    ranged, _ = with_range(df, order, rows_per_range)
+    counts = ranged.groupBy(RANGE).agg(F.count("*").alias("_rows"))
+    # One row per range, so one task may order them.
+    ahead = Window.orderBy(*directed([RANGE], descending)).rowsBetween(
+        Window.unboundedPreceding, -1
     )
+    needed = counts.withColumn(
+        "_before", F.coalesce(F.sum("_rows").over(ahead), F.lit(0))
+    ).filter((F.col("_before") < last) & (F.col("_before") + F.col("_rows") >= first))
+    inner = Window.partitionBy(RANGE).orderBy(*directed(order, descending))
+    ranked = ranged.join(F.broadcast(needed), RANGE).withColumn(
+        "_rank", F.row_number().over(inner) + F.col("_before")
+    )
+    wanted = ranked.filter(F.col("_rank").between(first, last))
+    return wanted.orderBy("_rank").drop("_rank", "_before", "_rows", RANGE)
+
+
+def directed(columns: list[str], descending: bool) -> list[Column]:
+    return [F.col(c).desc() if descending else F.col(c).asc() for c in columns]

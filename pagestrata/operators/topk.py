@@ -1,7 +1,7 @@
 """Limits, pages and the latest captures, exact and deterministic.
 
-Small limits use Spark's top-k and rank-limit plans. Those keep the limit's rows in
-one task, so larger ones are answered by ranks computed range by range.
+Small limits use Spark's top-k and rank-limit plans, where every map task sends up to
+the limit to one task. Larger limits are answered by counting rows range by range.
 """
 
 from __future__ import annotations
@@ -9,15 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagestrata.operators.ordered import with_rank
+from pagestrata.operators.ordered import directed, rows_between, with_rank
 from pagestrata.plans.ranges import ROWS_PER_RANGE
 from pagestrata.schema import index_order, tie_breakers
 
-# Rows one task may hold for a top-k.
-TOP_K_ROWS = 100_000
-# Spark prunes a rank filter before the shuffle up to
-# spark.sql.optimizer.windowGroupLimitThreshold, 1000 by default.
-PRUNED_RANK = 1000
+# Rows every map task may send to the one task that merges a top-k.
+TOP_K_ROWS = 1000
+# Rows of one group every map task may send to the task that ranks the group. Spark
+# prunes such a rank filter before the shuffle (windowGroupLimitThreshold is 1000).
+PRUNED_RANK = 100
 
 
 def take_ordered(
@@ -30,12 +30,9 @@ def take_ordered(
 ) -> DataFrame:
     """Rows ``offset + 1`` to ``offset + n`` along ``order``, in that order."""
     _check(n, offset)
-    keys = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     if offset + n <= TOP_K_ROWS:
-        return df.orderBy(*keys).offset(offset).limit(n)
-    ranked = with_rank(df, [], order, "_rank", descending, rows_per_range)
-    wanted = (F.col("_rank") > offset) & (F.col("_rank") <= offset + n)
-    return ranked.filter(wanted).orderBy("_rank").drop("_rank")
+        return df.orderBy(*directed(order, descending)).offset(offset).limit(n)
+    return rows_between(df, order, offset + 1, offset + n, descending, rows_per_range)
 
 
 def first_captures(df: DataFrame, n: int) -> DataFrame:
@@ -69,12 +66,9 @@ def rank_at_most(
     """The first ``n`` rows of every group, with their ``_rank``."""
     _check(n, 0)
     if n > PRUNED_RANK:
-        ranked = with_rank(df, group, order, "_rank", descending, rows_per_range)
-    else:
-        keys = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-        by = Window.partitionBy(*group).orderBy(*keys)
-        ranked = df.withColumn("_rank", F.row_number().over(by))
-    return ranked.filter(F.col("_rank") <= n)
+        return with_rank(df, group, order, "_rank", descending, n, rows_per_range)
+    by = Window.partitionBy(*group).orderBy(*directed(order, descending))
+    return df.withColumn("_rank", F.row_number().over(by)).filter(F.col("_rank") <= n)
 
 
 def latest_per_url(df: DataFrame, n: int = 1) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 250_000
 MAX_RANGES = 1 << 16
 SAMPLES_PER_RANGE = 4
 
