@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_RANGE = 250_000
-MAX_RANGES = 1 << 16
+MAX_RANGES = 1 << 15
 SAMPLES_PER_RANGE = 4
+# Split points are searched in two stages: the block, then the place in the block.
+BLOCK = 128
 
 RANGE = "_range"
 
@@ -38,35 +40,52 @@ def with_range(
     if ranges <= 1:
         return df.withColumn(RANGE, F.lit(0)), False
 
-    splits, n_splits = _split_points(keys, order, rows, ranges)
-    found = _splits_at_or_below(splits, n_splits, F.struct(*order))
-    return df.withColumn(RANGE, found), True
+    firsts, n_blocks, blocks, none = _split_points(keys, order, ranges / rows)
+    found = df.withColumn("_key", F.struct(*order))
+    found = _count_at_most(found, "_block", firsts, n_blocks)
+    # Not a bare element of the literal, which would be copied into every step.
+    block = F.coalesce(F.get(blocks, F.col("_block") - 1), none)
+    found = _count_at_most(found.withColumn("_splits", block), "_place", F.col("_splits"), BLOCK)
+    place = F.greatest(F.col("_block") - 1, F.lit(0)) * BLOCK + F.col("_place")
+    # The one-element explode makes _range a column of its own. Otherwise optimizer rules
+    # that follow a join key to its source would write the search steps into one another.
+    return found.select(*df.columns, F.explode(F.array(place)).alias(RANGE)), True
 
 
-def _split_points(keys: DataFrame, order: list[str], rows: int, ranges: int):
-    fraction = min(1.0, ranges * SAMPLES_PER_RANGE / rows)
-    key = F.struct(*order)
-    picked = F.sort_array(F.collect_list(key))
+def _split_points(keys: DataFrame, order: list[str], density: float):
+    """Sorted split points, ``density`` of the rows, as literals: the first of each block
+    and how many those are, the blocks, and an empty block."""
+    fraction = min(1.0, density * SAMPLES_PER_RANGE)
+    picked = F.sort_array(F.collect_list(F.struct(*order)))
     every = F.filter("picked", lambda _, i: (i + 1) % SAMPLES_PER_RANGE == 0)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("splits"), F.lit(1)), F.lit(BLOCK))
     row = (
         keys.sample(fraction, seed=11)
         .agg(picked.alias("picked"))
         .select(every.alias("splits"))
-        .select(F.to_json("splits").alias("json"), F.size("splits").alias("n"))
+        .select(
+            F.to_json(F.filter("splits", lambda _, i: i % BLOCK == 0)),
+            F.ceil(F.size("splits") / BLOCK),
+            F.to_json(F.transform(starts, lambda s: F.slice("splits", s, F.lit(BLOCK)))),
+        )
         .first()
     )
-    schema = T.ArrayType(T.StructType([keys.schema[c] for c in order]))
-    # A literal: the optimizer folds the parse away, so rows only see the array.
-    return F.from_json(F.lit(row["json"]), schema), row["n"]
+    key = T.ArrayType(T.StructType([keys.schema[c] for c in order]))
+    # Parsed once by the optimizer, so rows only see the arrays.
+    firsts, blocks = F.from_json(F.lit(row[0]), key), F.from_json(F.lit(row[2]), T.ArrayType(key))
+    return firsts, row[1], blocks, F.from_json(F.lit("[]"), key)
 
 
-def _splits_at_or_below(splits: Column, n: int, key: Column) -> Column:
-    """How many of the ``n`` sorted split points are <= key, by binary search."""
-    steps = [F.lit(1 << i) for i in reversed(range(max(n, 1).bit_length()))]
-    return F.aggregate(
-        F.array(*steps),
-        F.lit(0),
-        lambda found, step: F.when(
-            (found + step <= n) & (F.get(splits, found + step - 1) <= key), found + step
-        ).otherwise(found),
-    )
+def _count_at_most(df: DataFrame, name: str, splits: Column, most: int) -> DataFrame:
+    """Add ``name``, how many of at most ``most`` sorted ``splits`` are <= ``_key``.
+
+    A binary search written out step by step, which compiles to plain code. A place
+    beyond the end is NULL and so never counted.
+    """
+    df = df.withColumn(name, F.lit(0))
+    at = F.col(name)
+    for bit in reversed(range(most.bit_length())):
+        step = 1 << bit
+        beyond = F.get(splits, at + (step - 1)) <= F.col("_key")
+        df = df.withColumn(name, F.when(beyond, at + step).otherwise(at))
+    return df
