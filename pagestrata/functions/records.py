@@ -50,15 +50,28 @@ def header_map(block: Column) -> Column:
     """Headers below the first line of a block. A repeated name keeps its place once,
     with its values joined by ``", "``; names are case-sensitive."""
     lines = F.filter(F.split(block, r"\r?\n"), lambda line, i: (i > 0) & line.contains(": "))
-    pairs = F.transform(lines, lambda line: F.split(line, ": ", 2))
-    names = F.array_distinct(F.transform(pairs, lambda p: p[0]))
-    values = F.transform(
-        names,
-        lambda n: F.array_join(
-            F.transform(F.filter(pairs, lambda p: p[0] == n), lambda p: p[1]), ", "
-        ),
+    pairs = F.transform(
+        F.transform(lines, lambda line: F.split(line, ": ", 2)),
+        lambda p: F.struct(p[0].alias("name"), p[1].alias("value")),
     )
-    return F.map_from_arrays(names, values)
+    return _once(
+        pairs, lambda p: _once(F.array_distinct(p["name"]), lambda names: _joined(p, names))
+    )
+
+
+def _joined(pairs: Column, names: Column) -> Column:
+    def values(name: Column) -> Column:
+        return F.array_join(F.filter(pairs, lambda p: p["name"] == name)["value"], ", ")
+
+    # Most blocks repeat no name and need no search for equal ones.
+    repeated = F.size(names) < F.size(pairs)
+    values_in_place = F.when(repeated, F.transform(names, values)).otherwise(pairs["value"])
+    return F.map_from_arrays(names, values_in_place)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def record_version(head: Column) -> Column:

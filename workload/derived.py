@@ -17,7 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    # Keys are made once per page, not once per capture.
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", surt(F.col("url")).alias("urlkey"))
     events = table(spark, sf_dir, "events")
     n_pages = pages.agg(F.count("*")).scalar()
     event = F.col("event_id")
@@ -51,7 +52,7 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
             event.alias("capture_id"),
             "page_id",
             "url",
-            surt(F.col("url")).alias("urlkey"),
+            "urlkey",
             taken.alias("timestamp"),
             year.cast("int").alias("year"),
             month.cast("int").alias("month"),

@@ -481,7 +481,8 @@ def headers_parsed(spark, sf_dir):
         F.col("length").cast("string"),
     )
     df = captures(spark, sf_dir).withColumn("block", block)
-    headers = records.header_map(F.col("block"))
+    df = df.withColumn("headers", records.header_map(F.col("block")))
+    headers = F.col("headers")
     return df.select(
         "capture_id",
         F.try_element_at(headers, F.lit("Content-Type")).alias("content_type"),
