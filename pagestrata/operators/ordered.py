@@ -147,7 +147,9 @@ def rows_between(
     Counting the rows per range tells which ranges can hold them; only those ranges are
     shuffled and sorted.
     """
-    ranged, _ = with_range(df, order, rows_per_range)
+    ranged, split = with_range(df, order, rows_per_range)
+    if not split:
+        return df.orderBy(*directed(order, descending)).offset(first - 1).limit(last - first + 1)
     counts = ranged.groupBy(RANGE).agg(F.count("*").alias("_rows"))
     # One row per range, so one task may order them.
     ahead = Window.orderBy(*directed([RANGE], descending)).rowsBetween(

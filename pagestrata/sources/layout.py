@@ -7,16 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pagestrata.schema import index_order
 
 
-def to_index_table(df: DataFrame, path: str, files: int | None = None) -> None:
+def to_index_table(
+    df: DataFrame, path: str, files: int | None = None, rows_per_file: int = 20_000_000
+) -> None:
     """Write ``df`` as Parquet, one directory per crawl, files sorted by URL key.
 
     Rows are spread by range, so a very large crawl or site is cut into several files
     and each file covers a narrow span of keys that row-group statistics can skip.
+    ``files`` is about how many tasks write; by default the shuffle partitions.
     """
     order = [c for c in index_order(df) if c != "crawl_id"]
     by = ["crawl_id", *order]
     spread = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
-    spread.sortWithinPartitions(*by).write.partitionBy("crawl_id").parquet(path)
+    writer = spread.sortWithinPartitions(*by).write.option("maxRecordsPerFile", rows_per_file)
+    writer.partitionBy("crawl_id").parquet(path)
 
 
 def read_index_table(spark: SparkSession, path: str) -> DataFrame:
