@@ -10,6 +10,10 @@ from pagestrata.plans.ranges import ROWS_PER_RANGE
 from pagestrata.schema import tie_breakers
 
 
+# URLs a broadcast may hold; at a few hundred bytes each this is some tens of megabytes.
+FEW_URLS = 100_000
+
+
 def as_of(
     df: DataFrame,
     requests: DataFrame,
@@ -21,12 +25,15 @@ def as_of(
 
     Captures and requests are put into one order by URL and time and the last capture
     is carried forward. Nothing is paired up, so a URL with very many captures and
-    requests costs no more than their sum.
+    requests costs no more than their sum. Where few URLs are asked for (which is
+    counted first) the captures of all others are dropped before that.
     """
     columns = columns or df.columns
     asked = requests.select("url", "at", F.struct(*requests.columns).alias("_request"))
     wanted = asked.select("url").distinct()
-    found = df.join(wanted, "url", "left_semi").select(
+    if wanted.limit(FEW_URLS + 1).count() <= FEW_URLS:
+        df = df.join(F.broadcast(wanted), "url", "left_semi")
+    found = df.select(
         "url",
         F.col("timestamp").alias("at"),
         F.lit(0).alias("_kind"),

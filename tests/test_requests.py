@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from pagestrata import overlap_join, plan_crawl_requests, plan_fetches, plan_requests
 

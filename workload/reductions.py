@@ -147,6 +147,23 @@ _top("longest_captures", lambda d: top_k(d, ["length"], 30, descending=True),
      """SELECT * FROM captures
         ORDER BY length DESC, urlkey DESC, "timestamp" DESC, capture_id DESC LIMIT 30""",
      ("capture_id", "url", "length"))
+_top("capped_query",
+     lambda d: find_captures(d, "*.example.com", statuscode=[200, 301], years=(2020, 2023),
+                             distinct_on=["urlkey", "year"], max_results=15),
+     f"""SELECT *, row_number() OVER (PARTITION BY crawl_id ORDER BY {_ORDER}) AS cap FROM (
+           SELECT *, row_number() OVER (PARTITION BY urlkey, "year" ORDER BY {_ORDER}) AS rn
+           FROM captures
+           WHERE urlkey LIKE 'com,example,%' AND statuscode IN (200, 301)
+             AND "year" BETWEEN 2020 AND 2023 QUALIFY rn = 1)
+         QUALIFY cap <= 15""", ("capture_id", "url", "crawl_id"))
+_top("collapsed_page",
+     lambda d: find_captures(d, "https://*", statuscode=200, collapse="timestamp:8", limit=40,
+                             offset=20),
+     f"""SELECT * FROM (
+           SELECT *, strftime("timestamp", '%Y%m%d') AS day,
+             lag(strftime("timestamp", '%Y%m%d')) OVER (ORDER BY {_ORDER}) AS before_day
+           FROM captures WHERE statuscode = 200 AND url LIKE 'https://%')
+         WHERE before_day IS DISTINCT FROM day ORDER BY {_ORDER} LIMIT 40 OFFSET 20""")
 _top("cap_per_crawl", lambda d: cap_per_crawl(d, 20),
      f"""SELECT *, row_number() OVER (PARTITION BY crawl_id ORDER BY {_ORDER}) AS rn
          FROM captures QUALIFY rn <= 20""", ("capture_id", "url", "crawl_id"))

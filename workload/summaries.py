@@ -491,3 +491,19 @@ def headers_parsed(spark, sf_dir):
         records.http_version(F.col("block")).alias("version"),
         records.http_status(F.col("block")).alias("status"),
     )
+
+
+@query(
+    "utf8_repaired",
+    """SELECT page_id, concat(substring(url, 1, 8), '?', substring(url, 9), '?') AS text FROM pages""",
+)
+def utf8_repaired(spark, sf_dir):
+    """Page addresses with a stray byte inside and a character cut off at the end."""
+    pages = table(spark, sf_dir, "pages")
+    parts = (
+        F.substring("url", 1, 8).cast("binary"),
+        F.unhex(F.lit("FF")),
+        F.expr("CAST(substring(url, 9) AS BINARY)"),
+        F.unhex(F.lit("E282")),
+    )
+    return pages.select("page_id", records.repair_utf8(F.concat(*parts)).alias("text"))
