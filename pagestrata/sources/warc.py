@@ -59,7 +59,8 @@ def fetch_records(
     Rows are spread by file and offset, so a task reads forward through few files, a
     very large file is shared by many tasks, and so are many pointers to one record.
     """
-    spot = ["filename", "offset", F.xxhash64("url", "timestamp")]
+    flat = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spot = ["filename", "offset", F.xxhash64(*flat)]
     spread = (
         df.repartitionByRange(partitions, *spot) if partitions else df.repartitionByRange(*spot)
     )
