@@ -14,7 +14,7 @@ from pagestrata.plans.ranges import ROWS_PER_RANGE
 from pagestrata.schema import index_order, tie_breakers
 
 # Rows every map task may send to the one task that merges a top-k.
-TOP_K_ROWS = 1000
+TOP_K_ROWS = 200
 # Rows of one group every map task may send to the task that ranks the group. Spark
 # prunes such a rank filter before the shuffle (windowGroupLimitThreshold is 1000).
 PRUNED_RANK = 100

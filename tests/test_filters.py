@@ -157,3 +157,17 @@ def test_header_filter_and_missing_key(spark):
     df = spark.createDataFrame([(1, {"Content-Type": "text/html"}), (2, {})], "n int, h map<string,string>")
     assert [r.n for r in df.filter(f.header_like("h", "Content-Type", "%html%")).collect()] == [1]
     assert [r.n for r in df.filter(~f.header_like("h", "Content-Type", "%html%")).collect()] == [2]
+
+
+def test_a_stored_body_is_only_read_if_selected(spark):
+    folder = shared_folder(spark)
+    spark.range(5).selectExpr(
+        "concat('http://e.com/', id) url",
+        "named_struct('body', cast('x' as binary), 'headers', map('A', '1'), 'error', 'e') response",
+    ).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    without = plan_of(stored.filter(F.col("url").startswith("http")).select("url"))
+    assert "response" not in without.split("ReadSchema")[1]
+    error_only = plan_of(stored.select("url", "response.error"))
+    assert "body" not in error_only.split("ReadSchema")[1]
+    assert stored.select(F.col("response.headers")["B"]).first()[0] is None
