@@ -29,6 +29,7 @@ def as_of(
     counted first) the captures of all others are dropped before that.
     """
     columns = columns or df.columns
+    ties = [c for c in tie_breakers(df) if c != "url"]
     asked = requests.select("url", "at", F.struct(*requests.columns).alias("_request"))
     wanted = asked.select("url").distinct()
     if wanted.limit(FEW_URLS + 1).count() <= FEW_URLS:
@@ -37,7 +38,7 @@ def as_of(
         "url",
         F.col("timestamp").alias("at"),
         F.lit(0).alias("_kind"),
-        F.struct(*tie_breakers(df)).alias("_tie"),
+        *[F.col(c).alias(f"_tie_{c}") for c in ties],
         F.struct(*columns).alias("_capture"),
     )
     both = found.unionByName(
@@ -45,7 +46,7 @@ def as_of(
     )
     carried = with_last_seen(
         both,
-        ["url", "at", "_kind", "_tie"],
+        ["url", "at", "_kind", *[f"_tie_{c}" for c in ties]],
         F.struct(F.col("url").alias("u"), F.col("_capture").alias("c")),
         F.col("_kind") == 0,
         "_last",

@@ -78,15 +78,19 @@ def url_pattern(pattern: str) -> Column:
 
 
 def instant(df: DataFrame, value: str | dt.date | dt.datetime, column: str = "timestamp") -> Column:
-    """``value`` as a literal of the column's own type, so the comparison is pushed."""
-    target = df.schema[column].dataType
-    if isinstance(value, dt.datetime) and value.tzinfo is not None:
+    """``value`` as a literal of the column's own type, so the comparison is pushed.
+
+    Strings are ISO-8601; what names no zone is UTC.
+    """
+    if isinstance(value, str):
+        value = dt.datetime.fromisoformat(value)
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime(value.year, value.month, value.day)
+    if value.tzinfo is not None:
         value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
-    text = str(value)
-    if isinstance(target, T.TimestampType):
-        text = f"{text} 00:00:00" if len(text) == 10 else text
-        text += "" if text.endswith(("Z", "+00:00")) else "+00:00"
-    return F.lit(text).cast(target)
+    target = df.schema[column].dataType
+    zone = "+00:00" if isinstance(target, T.TimestampType) else ""
+    return F.lit(f"{value}{zone}").cast(target)
 
 
 def time_range(

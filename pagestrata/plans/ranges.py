@@ -40,12 +40,13 @@ def with_range(
     if ranges <= 1:
         return df.withColumn(RANGE, F.lit(0)), False
 
-    firsts, n_blocks, blocks, none = _split_points(keys, order, ranges / rows)
+    n_splits, firsts, blocks, none = _split_points(keys, order, ranges / rows)
     found = df.withColumn("_key", F.struct(*order))
-    found = _count_at_most(found, "_block", firsts, n_blocks)
+    found = _count_at_most(found, "_block", firsts, -(-n_splits // BLOCK))
     # Not a bare element of the literal, which would be copied into every step.
     block = F.coalesce(F.get(blocks, F.col("_block") - 1), none)
-    found = _count_at_most(found.withColumn("_splits", block), "_place", F.col("_splits"), BLOCK)
+    found = found.withColumn("_splits", block)
+    found = _count_at_most(found, "_place", F.col("_splits"), min(BLOCK, n_splits))
     place = F.greatest(F.col("_block") - 1, F.lit(0)) * BLOCK + F.col("_place")
     # The one-element explode makes _range a column of its own. Otherwise optimizer rules
     # that follow a join key to its source would write the search steps into one another.
@@ -53,8 +54,8 @@ def with_range(
 
 
 def _split_points(keys: DataFrame, order: list[str], density: float):
-    """Sorted split points, ``density`` of the rows, as literals: the first of each block
-    and how many those are, the blocks, and an empty block."""
+    """Sorted split points, ``density`` of the rows: how many there are, and as literals
+    the first of each block, the blocks, and an empty block."""
     fraction = min(1.0, density * SAMPLES_PER_RANGE)
     picked = F.sort_array(F.collect_list(F.struct(*order)))
     every = F.filter("picked", lambda _, i: (i + 1) % SAMPLES_PER_RANGE == 0)
@@ -64,23 +65,24 @@ def _split_points(keys: DataFrame, order: list[str], density: float):
         .agg(picked.alias("picked"))
         .select(every.alias("splits"))
         .select(
+            F.size("splits"),
             F.to_json(F.filter("splits", lambda _, i: i % BLOCK == 0)),
-            F.ceil(F.size("splits") / BLOCK),
             F.to_json(F.transform(starts, lambda s: F.slice("splits", s, F.lit(BLOCK)))),
         )
         .first()
     )
     key = T.ArrayType(T.StructType([keys.schema[c] for c in order]))
     # Parsed once by the optimizer, so rows only see the arrays.
-    firsts, blocks = F.from_json(F.lit(row[0]), key), F.from_json(F.lit(row[2]), T.ArrayType(key))
-    return firsts, row[1], blocks, F.from_json(F.lit("[]"), key)
+    firsts, blocks = F.from_json(F.lit(row[1]), key), F.from_json(F.lit(row[2]), T.ArrayType(key))
+    return row[0], firsts, blocks, F.from_json(F.lit("[]"), key)
 
 
 def _count_at_most(df: DataFrame, name: str, splits: Column, most: int) -> DataFrame:
     """Add ``name``, how many of at most ``most`` sorted ``splits`` are <= ``_key``.
 
     A binary search written out step by step, which compiles to plain code. A place
-    beyond the end is NULL and so never counted.
+    beyond the end is NULL and so never counted. Two keys part at the first split
+    between them, so the count follows the keys even where splits lost precision.
     """
     df = df.withColumn(name, F.lit(0))
     at = F.col(name)

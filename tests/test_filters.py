@@ -105,6 +105,17 @@ def test_time_zone_of_a_bound(index):
     at = dt.datetime(2024, 10, 30, 12, 30, tzinfo=zone)
     assert index.filter(f.time_range(index, since=at)).count() == 2
     assert index.filter(f.time_range(index, after=at)).count() == 0
+    assert index.filter(f.time_range(index, since="2024-10-30T12:30:00+02:00")).count() == 2
+    assert index.filter(f.time_range(index, since="2024-10-30T10:30:00Z")).count() == 2
+    with pytest.raises(ValueError):
+        f.time_range(index, since="last week")
+
+
+def test_time_bounds_without_zone(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-10-30 10:30:00' AS timestamp")
+    assert df.filter(f.time_range(df, since="2024-10-30T12:30:00+02:00")).count() == 1
+    assert df.filter(f.time_range(df, until=dt.date(2024, 10, 30))).count() == 0
+    assert df.filter(f.time_range(df, "2024-10-30", dt.datetime(2024, 10, 31))).count() == 1
 
 
 def test_partial_and_whole_regex(index):
