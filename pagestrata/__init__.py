@@ -1,5 +1,9 @@
 """Analysis of web-capture indexes on Spark."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from pagestrata.operators.asof import as_of
 from pagestrata.operators.bodies import attach_bodies
 from pagestrata.operators.crawls import (
@@ -39,3 +43,6 @@ from pagestrata.sources.cdxj import parse_cdxj, read_cdxj
 from pagestrata.sources.export import export_bodies, write_captures
 from pagestrata.sources.layout import read_index_table, register_index, to_index_table
 from pagestrata.sources.warc import fetch_records
+
+# Task functions travel with the job, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,10 +1,16 @@
 """Where shared files go, and that ranges keep full data out of one task."""
 
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from pagestrata import collapse_adjacent
 from pagestrata.session import shared_folder
+from pagestrata.sources import export, warc
+from workload import files
 
 
 class _Session:
@@ -37,3 +43,13 @@ def test_only_the_summary_of_ranges_meets_in_one_task(spark):
     below = plan.split("Exchange SinglePartition")[1].splitlines()[1]
     assert "Aggregate(key=[_range" in below
     assert collapsed.count() == 5000
+
+
+@pytest.mark.parametrize(
+    "task",
+    [warc._reader("/x", 1, 1), export._object_writer("/x", ".html"), files._record_writer("/x")],
+)
+def test_task_functions_load_without_this_package(task):
+    load = "import sys, pickle; assert callable(pickle.load(sys.stdin.buffer))"
+    done = subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(task), cwd="/")
+    assert done.returncode == 0
