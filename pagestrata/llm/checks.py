@@ -23,7 +23,7 @@ WITH d AS (
   SELECT *, length(bin(size)) AS bits,
     ('0x' || substr(md5(coalesce(doc_id, 0)::VARCHAR), 1, 8))::BIGINT AS hashed FROM d
 ), c AS (
-  SELECT *, hashed % ceil(count(*) OVER (PARTITION BY source, bits) / 20000)::BIGINT AS chunk FROM b
+  SELECT *, hashed % ceil(count(*) OVER (PARTITION BY source, bits) / 1000)::BIGINT AS chunk FROM b
 ), r AS (
   SELECT doc_id, source, size,
     row_number() OVER (PARTITION BY source ORDER BY bits DESC, chunk, size DESC, doc_id) AS k FROM c
@@ -38,3 +38,20 @@ WITH d AS (
 SELECT doc_id, size, source_size, target::DOUBLE AS target, copies,
   (copies * size)::BIGINT AS taken FROM n
 """
+
+LINES = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+e AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM e
+), s AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE keeper <> doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
+    FILTER (WHERE keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN s USING (key) GROUP BY doc_id
+"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagestrata.llm.common import n_words, stored
 
 #: Documents that are ranked together in one window; a larger stratum is split by hash.
-CHUNK = 20_000
+CHUNK = 1_000
 #: Offsets are multiples of this, so that adding one to a whole number is exact.
 GRAIN = 1 << 20
 

@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pagestrata.llm import checks
 from pagestrata.llm.common import table
+from pagestrata.llm.lines import keep_bitmaps, kept_text
 from pagestrata.llm.mixing import mix
 from pagestrata.llm.registry import CHECKS, QUERIES, query  # noqa: F401
+from pagestrata.llm.tokens import token_digests, write_token_files
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @query("op1_mix_sources", checks.MIX)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query("op4_line_dedup", checks.LINES)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = kept_text(docs, keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+@query("op8_token_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(write_token_files(table(spark, sf_dir, "documents"), TOKENIZER))
