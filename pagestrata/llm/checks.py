@@ -55,3 +55,78 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE keeper <> doc_id) AS
     FILTER (WHERE keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
 FROM k LEFT JOIN s USING (key) GROUP BY doc_id
 """
+
+CHATS = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'),
+    (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+  SELECT *, length(regexp_replace(regexp_replace(role || chr(0) || text,
+    '<(\\*/?s>)', '<\\\1', 'g'), '\[(\\*/?INST\])', '[\\\1', 'g')) - 1 AS n FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+    FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(n + length('<s>[INST]  [/INST]</s>') + 1)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+SECRETS = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+p(rank, pattern) AS (VALUES
+  (0, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'AKIA[A-Z0-9]+'), (2, '[0-9a-f]{32,}'),
+  (3, '[0-9A-Fa-f]{24,}'), (4, '[A-Za-z0-9+/=_-]{24,}')
+), x AS (
+  SELECT doc_id, rank, text, unnest(regexp_extract_all(text, pattern)) AS hit,
+    unnest(regexp_extract_all(text, pattern, CASE rank WHEN 0 THEN 1 ELSE 0 END)) AS val,
+    generate_subscripts(regexp_extract_all(text, pattern), 1) AS i,
+    string_split_regex(text, pattern) AS gaps
+  FROM d, p WHERE regexp_matches(text, pattern)
+), y AS (
+  SELECT *, sum(length(gaps[i]) + length(hit)) OVER (PARTITION BY doc_id, rank ORDER BY i) AS stop
+  FROM x
+), z AS (
+  SELECT doc_id, rank, hit, gaps[i] AS gap, stop - length(hit) AS start, stop FROM y
+  WHERE CASE rank WHEN 0 THEN length(val) >= 8 WHEN 1 THEN length(hit) >= 16 ELSE true END
+), r AS (
+  SELECT doc_id, rank, start, hit FROM z
+  WHERE rank > 2 AND NOT regexp_matches(hit, '^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$'
+    '|(?i:example|sample|placeholder|dummy|xxxxxxxx|qwertyuiop|asdfghjkl|abcdefghijkl)|0123456789')
+  AND NOT regexp_matches(right(gap, 24),
+    '(?i:sha1|sha256|sha384|sha512|md5|etag|integrity|;base64)[-:=,\x20"'']{1,3}$')
+), w AS (
+  SELECT doc_id, rank, start AS run, start + k AS start, substr(hit, k::INT + 1, 24) AS win
+  FROM r, unnest(range(length(hit) - 23)) AS u(k)
+), n AS (
+  SELECT doc_id, rank, run, start, c, count(*) AS n
+  FROM (SELECT *, unnest(string_split(win, '')) AS c FROM w) GROUP BY ALL
+), h AS (
+  SELECT doc_id, rank, run, start, sum(round(n * log2(n) * 1048576)::BIGINT) AS total FROM n GROUP BY ALL
+), hot AS (
+  SELECT * FROM h
+  WHERE total <= floor((log2(24) - CASE rank WHEN 3 THEN 3.2 ELSE 4.0 END) * 24 * 1048576)
+), isl AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id, rank, run ORDER BY start) AS island FROM (
+    SELECT *, CASE WHEN start - lag(start) OVER (PARTITION BY doc_id, rank, run ORDER BY start) <= 24
+      THEN 0 ELSE 1 END AS fresh FROM hot)
+), sp AS (
+  SELECT doc_id, rank, start, stop FROM z WHERE rank <= 2
+  UNION ALL
+  SELECT doc_id, rank, min(start), max(start) + 24 FROM isl GROUP BY doc_id, rank, run, island
+), kept AS (
+  SELECT * FROM sp WHERE rank <= 2 OR NOT EXISTS (
+    SELECT 1 FROM z WHERE z.rank <= 2 AND z.doc_id = sp.doc_id AND z.start <= sp.start AND z.stop >= sp.stop)
+), t AS (
+  SELECT doc_id, rank, start, ['assign', 'access', 'hex', 'entropy_hex', 'entropy_base64'][rank + 1]
+    || ':' || start::BIGINT || ':' || stop::BIGINT AS span FROM kept
+)
+SELECT d.doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign,
+  count(*) FILTER (WHERE rank = 1) AS n_access, count(*) FILTER (WHERE rank = 2) AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (WHERE rank <= 2), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans
+FROM d LEFT JOIN t USING (doc_id) GROUP BY d.doc_id
+"""
