@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagestrata.llm import checks
 from pagestrata.llm.chat import chat_digests, format_chats
 from pagestrata.llm.common import table
+from pagestrata.llm.language import fit, held_out, predict
 from pagestrata.llm.lines import keep_bitmaps, kept_text
 from pagestrata.llm.mixing import mix
 from pagestrata.llm.registry import CHECKS, QUERIES, query  # noqa: F401
@@ -50,3 +52,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secret_scan", checks.SECRETS)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
+    return predict(docs, fit(docs.filter("NOT held_out")), keep=("held_out",))
