@@ -11,6 +11,7 @@ from pagestrata.llm.chat import chat_digests, format_chats
 from pagestrata.llm.common import table
 from pagestrata.llm.language import fit, held_out, predict
 from pagestrata.llm.lines import keep_bitmaps, kept_text
+from pagestrata.llm.minhash import near_duplicates
 from pagestrata.llm.mixing import mix
 from pagestrata.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 from pagestrata.llm.secrets import find_secrets, secret_digests
@@ -58,3 +59,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
     return predict(docs, fit(docs.filter("NOT held_out")), keep=("held_out",))
+
+
+@query("op7_minhash_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
