@@ -16,6 +16,7 @@ from pagestrata.llm.mixing import mix
 from pagestrata.llm.registry import CHECKS, QUERIES, query  # noqa: F401
 from pagestrata.llm.secrets import find_secrets, secret_digests
 from pagestrata.llm.tokens import token_digests, write_token_files
+from pagestrata.llm.vectors import near_vectors
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -64,3 +65,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_minhash_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_vector_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
