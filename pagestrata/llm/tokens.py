@@ -39,8 +39,8 @@ PERCENTILE = 99
 #: Text bytes of one file, and so of one task; a longer document is a file of its own size.
 SHARD_BYTES = 64 << 20
 #: Characters that a task encodes at a time, and pieces of text whose ids it remembers.
-CHUNK_CHARS = 8 << 20
-REMEMBERED = 1 << 20
+CHUNK_CHARS = 4 << 20
+REMEMBERED = 1 << 19
 END_ID = 0
 
 
@@ -226,22 +226,27 @@ class Encoder:
         return ids, np.diff(stops[starts + per_doc - 1], prepend=0)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [_bytes(f.ids) for f in found]
+        # The library's results are much larger than the ids, so few are held at a time.
+        found: list[bytes] = []
+        for at in range(0, len(texts), 4096):
+            some = self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)
+            found += [_bytes(f.ids) for f in some]
+        return found
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
         missing = [p for p in pieces if p not in known]
-        if missing:
-            words = [p.rstrip(self.STOPS) for p in missing]
-            words = [w if w[-1:].isalpha() else p for p, w in zip(missing, words, strict=True)]
-            tails = [p[len(w) :] for p, w in zip(missing, words, strict=True)]
-            new = [w for w in {*words, *tails} if w not in known]
-            known.update(zip(new, self._encode(new), strict=True))
-            known.update((p, known[w] + known[t]) for p, w, t in zip(missing, words, tails, strict=True))
-        return list(map(known.__getitem__, pieces))
+        words = [p.rstrip(self.STOPS) for p in missing]
+        words = [w if w[-1:].isalpha() else p for p, w in zip(missing, words, strict=True)]
+        tails = [p[len(w) :] for p, w in zip(missing, words, strict=True)]
+        new = [w for w in {*words, *tails} if w not in known]
+        known.update(zip(new, self._encode(new), strict=True))
+        stopped = {
+            p: known[w] + known[t] for p, w, t in zip(missing, words, tails, strict=True) if t
+        }
+        return [known[p] if p in known else stopped[p] for p in pieces]
 
 
 def _encoder(definition: str) -> Encoder:
