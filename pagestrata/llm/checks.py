@@ -130,3 +130,55 @@ SELECT d.doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign,
   coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans
 FROM d LEFT JOIN t USING (doc_id) GROUP BY d.doc_id
 """
+
+REVISITS = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, CASE WHEN parts[1] = '' THEN url ELSE
+    lower(parts[1]) || CASE WHEN parts[2] = '' THEN '/' ELSE parts[2] END || parts[3] END AS url
+  FROM (SELECT *, regexp_extract(url, '^[a-z]+://([^/?#:]+)([^?#]*)(\\?[^#]*)?(?:#.*)?$',
+    ['1', '2', '3']) AS m, [m['1'], m['2'], m['3']] AS parts FROM pages)
+), r AS (
+  SELECT page_id, page_id * 8 AS record_id, 'response' AS kind, url, 0 AS d, 0 AS v,
+    '"' || page_id || '-1"' AS tag, 'day ' || page_id AS made, html AS payload FROM p
+  UNION ALL
+  SELECT page_id, page_id * 8 + 1, 'revisit', url, 1, 1,
+    CASE WHEN page_id % 5 = 0 THEN '"other"' ELSE '"' || page_id || '-1"' END, NULL, NULL FROM p
+  UNION ALL
+  SELECT page_id, page_id * 8 + 2, 'response', url, 2, 0, '"' || page_id || '-2"',
+    'day ' || page_id, html || '<!-- 2 -->' FROM p WHERE page_id % 3 = 0
+  UNION ALL
+  SELECT page_id, page_id * 8 + 3, 'revisit', url, 3, 1,
+    CASE WHEN page_id % 13 = 0 OR page_id % 7 = 0 THEN NULL
+      ELSE '"' || page_id || CASE WHEN page_id % 3 = 0 THEN '-2"' ELSE '-1"' END END,
+    CASE WHEN page_id % 13 <> 0 AND page_id % 7 = 0 THEN 'day ' || page_id END, NULL FROM p
+  UNION ALL
+  SELECT page_id, page_id * 8 + 4, 'revisit', url, -1, 1, '"' || page_id || '-1"', NULL, NULL
+  FROM p WHERE page_id % 11 = 0
+), t AS (
+  SELECT *, 1700000000 + page_id + d * 86400 AS at_time FROM r
+), l AS (
+  SELECT *, last_value(CASE WHEN kind = 'response' THEN record_id END IGNORE NULLS) OVER (
+    PARTITION BY url ORDER BY at_time, v, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
+  ) AS ref FROM t
+), s AS (
+  SELECT l.*, o.payload AS body, o.made AS old_made, o.tag AS old_tag, CASE WHEN ref IS NULL THEN 'no earlier response'
+    WHEN l.tag IS NULL AND l.made IS NULL THEN 'no validator'
+    WHEN coalesce(l.tag, l.made) = CASE WHEN l.tag IS NULL THEN o.made ELSE o.tag END THEN 'resolved'
+    ELSE 'validators differ' END AS state
+  FROM l LEFT JOIN (SELECT record_id AS o_id, tag, made, payload FROM t WHERE kind = 'response') o ON ref = o_id
+  WHERE l.kind = 'revisit'
+), f AS (
+  SELECT *, chr(13) || chr(10) AS nl, CASE WHEN record_id % 8 = 3 THEN 'W/' ELSE '' END AS weak FROM s
+)
+SELECT record_id, url, state, CASE WHEN state = 'resolved' THEN ref END AS refers_to,
+  CASE WHEN state = 'resolved' THEN 'HTTP/1.1 200 OK' || nl || 'Content-Type: text/html' || nl
+    || 'Content-Length: ' || strlen(body) || nl
+    || CASE WHEN tag IS NULL THEN 'ETag: ' || old_tag || nl ELSE '' END
+    || CASE WHEN made IS NULL THEN 'Last-Modified: ' || old_made || nl ELSE '' END
+    || 'Server: a' || nl
+    || CASE WHEN tag IS NULL THEN '' ELSE 'etag: ' || weak || tag || nl END
+    || CASE WHEN made IS NULL THEN '' ELSE 'Last-Modified: ' || made || nl END
+    || 'Cache-Control: max-age=120' || nl || 'Date: now' || nl || nl END AS http,
+  CASE WHEN state = 'resolved' THEN sha256(body) END AS payload_sha256
+FROM f
+"""

@@ -14,7 +14,9 @@ from pagestrata.llm.lines import keep_bitmaps, kept_text
 from pagestrata.llm.minhash import near_duplicates
 from pagestrata.llm.mixing import mix
 from pagestrata.llm.registry import CHECKS, QUERIES, query  # noqa: F401
+from pagestrata.llm.revisits import resolve_revisits, with_payload
 from pagestrata.llm.secrets import find_secrets, secret_digests
+from pagestrata.llm.templates import find_leaks
 from pagestrata.llm.tokens import token_digests, write_token_files
 from pagestrata.llm.vectors import near_vectors
 
@@ -27,6 +29,79 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.drop("row")
+
+
+def capture_records(pages: DataFrame) -> DataFrame:
+    """Records as a crawler writes them for ``pages`` (``page_id``, ``url``, ``html``).
+
+    Of each page a full response; a day later, found under another spelling of the URL, a
+    revisit, with the validator of something else for every fifth page; for every third
+    page, a new version another day later; then a revisit with a weak validator, or only
+    a date (every seventh), or none (every thirteenth); and for every eleventh, a
+    revisit from before all of them.
+    """
+    page = F.col("page_id")
+    first = F.timestamp_seconds(F.lit(1_700_000_000) + page)
+    made = F.concat(F.lit("day "), page.cast("string"))
+    tag = F.concat(F.lit('"'), page.cast("string"), F.lit('-1"'))
+    tag2 = F.concat(F.lit('"'), page.cast("string"), F.lit('-2"'))
+    newest = F.when(page % 3 == 0, tag2).otherwise(tag)
+    spelled = F.concat(F.upper(F.substring_index("url", "/", 3)), F.substring("url", F.length(F.substring_index("url", "/", 3)) + 1, F.length("url")), F.lit("#again"))
+
+    def block(status: str, *fields: tuple[str, Column]) -> Column:
+        lines = [F.lit(f"HTTP/1.1 {status}\r\n")]
+        lines += [F.when(v.isNotNull(), F.concat(F.lit(f"{n}: "), v, F.lit("\r\n"))).otherwise("") for n, v in fields]
+        return F.concat(*lines, F.lit("\r\n"))
+
+    def full(tag: Column, html: Column) -> Column:
+        return block(
+            "200 OK", ("Content-Type", F.lit("text/html")), ("Content-Length", F.octet_length(html).cast("string")),
+            ("ETag", tag), ("Last-Modified", made), ("Cache-Control", F.lit("max-age=60")), ("Server", F.lit("a")),
+        )
+
+    def unchanged(tag: Column, made: Column) -> Column:
+        return block(
+            "304 Not Modified", ("etag", tag), ("Last-Modified", made), ("Cache-Control", F.lit("max-age=120")),
+            ("Content-Length", F.lit("0")), ("Connection", F.lit("close")), ("Date", F.lit("now")),
+        )
+
+    def record(n: int, kind: str, uri: Column, days: int, http: Column, payload: Column, when: Column | None = None):
+        fields = F.struct(
+            (page * 8 + n).alias("record_id"), F.lit(kind).alias("kind"), uri.alias("uri"),
+            F.timestamp_add("DAY", F.lit(days), first).alias("date"), http.alias("http"), payload.alias("payload"),
+        )
+        return fields if when is None else F.when(when, fields)
+
+    html, none = F.coalesce(F.col("html"), F.lit("")), F.lit(None).cast("string")
+    newer = F.concat(html, F.lit("<!-- 2 -->"))
+    third = (
+        F.when(page % 13 == 0, unchanged(none, none))
+        .when(page % 7 == 0, unchanged(none, made))
+        .otherwise(unchanged(F.concat(F.lit("W/"), newest), none))
+    )
+    records = F.array(
+        record(0, "response", F.col("url"), 0, full(tag, html), html),
+        record(1, "revisit", spelled, 1, unchanged(F.when(page % 5 == 0, F.lit('"other"')).otherwise(tag), none), none),
+        record(2, "response", F.col("url"), 2, full(tag2, newer), newer, page % 3 == 0),
+        record(3, "revisit", F.col("url"), 3, third, none),
+        record(4, "revisit", F.col("url"), -1, unchanged(tag, none), none, page % 11 == 0),
+    )
+    return pages.select(F.explode(F.filter(records, lambda r: r.isNotNull())).alias("r")).select("r.*")
+
+
+@query("op3_warc_revisits", checks.REVISITS)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = capture_records(table(spark, sf_dir, "pages"))
+    found = with_payload(resolve_revisits(records), records)
+    return found.select(
+        "record_id", "url", "state", "refers_to", "http", F.sha2("payload", 256).alias("payload_sha256")
+    )
+
+
 @query("op4_line_dedup", checks.LINES)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
