@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -203,6 +204,20 @@ def predict(docs: DataFrame, net: Network, keep: tuple[str, ...] = ()) -> DataFr
     return source.mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, net: Network, min_score: float) -> DataFrame:
+    """The rows of ``docs`` whose language ``net`` tells with a score of ``min_score`` or more."""
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(net) if net.languages else None
+        for batch in batches:
+            names, scores = _predict(batch.column(text), scorer, net.languages)
+            known = pc.and_(pc.not_equal(names, UNKNOWN), pc.greater_equal(scores, min_score))
+            yield batch.filter(known)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _predict(texts: pa.Array, scorer: Scorer | None, languages: list[str]) -> list[pa.Array]:
     names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     sums = np.zeros((len(texts), len(languages)))

@@ -90,6 +90,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, seed: int = 3) -> D
     )
 
 
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each class of ``near_duplicates``; rows with NULL ids all stay."""
+    first = near_duplicates(docs, percent).filter("doc_id IS NOT NULL AND kept")
+    first = first.select(F.col("doc_id").alias("_kept_id"))
+    known = docs.join(first, docs["doc_id"] == F.col("_kept_id"), "left_semi")
+    return known.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+
+
 def _links(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Links between representatives (``u``, ``v``) that hold all linked ones together."""
     keys = reps.select("rep", "row", "n", F.explode("bands").alias("key"))
