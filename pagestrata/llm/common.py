@@ -23,6 +23,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of up to some 24 bytes that a broadcast may hold.
+FEW = 1_000_000
+
+
+def if_few(df: DataFrame) -> DataFrame:
+    """``df``, stored, with a hint to broadcast it if its rows, which are counted, are few."""
+    df = stored(df)
+    return F.broadcast(df) if df.count() <= FEW else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagestrata.llm.common import stored
+from pagestrata.llm.common import if_few, stored
 from pagestrata.llm.groups import blocks, comparable, components, forest, in_blocks, whole_groups
 
 SHINGLE = 5
@@ -113,7 +113,9 @@ def _links(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             lambda batches: _with_new_partner(batches, percent), block
         )
     )
-    source = texts.select(F.col("doc_id").alias("_rep"), F.col("row").alias("_row"), "text")
+    # The texts wanted are taken out first: all others need not be shuffled.
+    ids = if_few(wanted.select(F.col("rep").alias("_rep"), F.col("row").alias("_row")).distinct())
+    source = texts.withColumnsRenamed({"doc_id": "_rep", "row": "_row"}).join(ids, ["_rep", "_row"], "left_semi")
     sent = wanted.join(source, (F.col("rep") == F.col("_rep")) & (F.col("row") == F.col("_row")))
     return in_blocks(sent, ["part", "rep", "text"]).mapInArrow(
         lambda batches: _compare(batches, percent), "u long, v long"
