@@ -5,17 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagestrata.llm.common import stored
+from pagestrata.llm.common import if_few, stored
 
-#: A leak is a run of so many template words; an item with fewer must be there as a whole.
+#: A leak is a run of so many template words; of an item with fewer, all but one.
 RUN = 13
 #: Words of a window. Every run of 2 * WINDOW - 1 words holds one that starts at a multiple.
 WINDOW = 5
 SHORTEST = 2 * WINDOW - 1
 #: Share of a run's words that must be literal, so that tables of numbers are no leaks.
 LITERAL = 0.6
-#: Rows up to which hashes of windows or found documents are broadcast (some 24 bytes each).
-FEW = 1_000_000
 
 # Placeholders are characters for private use, which are taken out of texts before.
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
@@ -27,9 +25,9 @@ UNITS = (
     "dollars?|cents?|euros?|usd|eur|kmh|mph|degrees?|kb|mb|gb|tb|watts?|kw|volts?|v"
 )
 _NUMERAL = r"\d+(?:[.,:/]\d+)*"
-# A capitalised word within a sentence, which the character two places before it shows.
-_NAMES = r"\p{Lu}(?<=[\p{L}\p{N},;:] \p{Lu})[\p{Ll}\p{M}]+"
-_MEASURES = rf"({_NUMERAL}) ?(?i:({UNITS}))(?![\p{{L}}\p{{N}}])"
+# A capitalised word within a sentence, which the character before the blanks shows.
+_NAMES = r"\p{Lu}(?<=[\p{L}\p{N},;:]\s{1,3}\p{Lu})[\p{Ll}\p{M}]+"
+_MEASURES = rf"({_NUMERAL})\s{{0,3}}(?i:({UNITS}))(?![\p{{L}}\p{{N}}])"
 _OTHERS = rf"(?<![{NUMBER}\d.,:/])({_NUMERAL})"
 _SLOTS = rf"{NUMBER}[\d.,:/]*\d|{NAME}[\p{{L}}\p{{M}}]+|{UNIT}(?:\p{{L}}+|%)"
 _VALUES = rf"([{_OWN}])(?:(?<={NUMBER})[\d.,:/]*\d|(?<={NAME})[\p{{L}}\p{{M}}]+|(?<={UNIT})(?:\p{{L}}+|%))"
@@ -81,7 +79,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
     the item's own values).
 
     Numbers, names and units become typed placeholders. An item is found where ``run``
-    template words in a row (or all, if it has fewer) agree and the slots are consistent:
+    template words in a row (or all but one, if it has fewer) agree and the slots are consistent:
     within the run, equal values of the item are equal values in the document and unequal
     ones unequal. ``LITERAL`` of the words needed must be literal words.
 
@@ -106,12 +104,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
     cut = texts.select("doc_id", "row", F.explode(consecutive).alias("window")).select(
         "doc_id", "row", F.xxhash64(F.rtrim("window")).alias("hash")
     )
-    hit = stored(cut.join(_if_few(hashes), "hash", "left_semi").select("doc_id", "row").distinct())
+    hit = stored(cut.join(if_few(hashes), "hash", "left_semi").select("doc_id", "row").distinct())
 
     key = texts["doc_id"].eqNullSafe(F.col("_id")) & (texts["row"] == F.col("_row"))
     wanted = hit.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
     found = stored(
-        _templated(texts.join(_if_few(wanted), key, "left_semi").distinct(), "doc_id", "row")
+        _templated(texts.join(if_few(wanted), key, "left_semi").distinct(), "doc_id", "row")
         .withColumn("doc", F.xxhash64("doc_id", "row"))
     )
     pairs = (
@@ -126,7 +124,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
         .agg(F.min("at").alias("start"), (F.max("at") + WINDOW).alias("stop"))
     )
     n = F.col("stop") - F.col("start")
-    needed = F.least(F.lit(run), F.size("i.words"))
+    needed = F.least(F.lit(run), F.greatest(F.size("i.words") - 1, F.lit(SHORTEST)))
     runs = (
         runs.filter(n >= SHORTEST)
         .join(items.alias("i"), "item")
@@ -158,10 +156,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> Data
     leaks = find_leaks(docs, benchmark, run).select("doc_id", "row").distinct()
     leaks = stored(leaks).select(F.col("doc_id").alias("_leak_id"), F.col("row").alias("_leak_row"))
     same = docs["doc_id"].eqNullSafe(F.col("_leak_id")) & (F.xxhash64(docs["text"]) == F.col("_leak_row"))
-    return docs.join(_if_few(leaks), same, "left_anti")
+    return docs.join(if_few(leaks), same, "left_anti")
 
-
-def _if_few(df: DataFrame) -> DataFrame:
-    """A hint to broadcast ``df`` if its rows, which are counted, are no more than ``FEW``."""
-    df = stored(df)
-    return F.broadcast(df) if df.count() <= FEW else df
