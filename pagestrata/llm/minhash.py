@@ -94,7 +94,7 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each class of ``near_duplicates``; rows with NULL ids all stay."""
     first = near_duplicates(docs, percent).filter("doc_id IS NOT NULL AND kept")
     first = first.select(F.col("doc_id").alias("_kept_id"))
-    known = docs.join(first, docs["doc_id"] == F.col("_kept_id"), "left_semi")
+    known = docs.join(first, docs["doc_id"] == first["_kept_id"], "left_semi")
     return known.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
 
 

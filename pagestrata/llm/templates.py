@@ -154,7 +154,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
 def without_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFrame:
     """``docs`` without the rows in which an item is found."""
     leaks = find_leaks(docs, benchmark, run).select("doc_id", "row").distinct()
-    leaks = stored(leaks).select(F.col("doc_id").alias("_leak_id"), F.col("row").alias("_leak_row"))
-    same = docs["doc_id"].eqNullSafe(F.col("_leak_id")) & (F.xxhash64(docs["text"]) == F.col("_leak_row"))
-    return docs.join(if_few(leaks), same, "left_anti")
+    leaks = if_few(leaks.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")))
+    same = docs["doc_id"].eqNullSafe(leaks["_id"]) & (F.xxhash64(docs["text"]) == leaks["_row"])
+    return docs.join(leaks, same, "left_anti")
 

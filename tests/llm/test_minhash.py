@@ -1,0 +1,145 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from helpers import documents, empty, prose, rows, with_clashes
+from pagestrata.llm import minhash
+from pagestrata.llm.groups import components
+from pagestrata.llm.minhash import Circulant, n_bands, near_duplicates, one_of_each, sets_of, shared
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def brute(docs, percent=85):
+    sets = [shingles(t) for _, t in docs]
+    low = {i: i for i, _ in docs}
+
+    def root(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    for a in range(len(docs)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = root(docs[a][0]), root(docs[b][0])
+                low[max(x, y)] = min(x, y)
+    return sorted((i, len(s), root(i), root(i) == i) for (i, _), s in zip(docs, sets, strict=True))
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def corpus(rng):
+    docs = [prose(rng, rng.randrange(5, 150)) for _ in range(150)]
+    base = prose(rng, 120)
+    # A group whose members are linked to some others only, and copies that differ in case.
+    docs += [edited(rng, base, rng.randrange(4)) for _ in range(90)]
+    docs += [edited(rng, d, 1) for d in docs[:60]] + [d.upper() + "\n" for d in docs[:30]]
+    docs += [base] * 40 + ["a b c", "A  b\tc", "a b", "", " \n", None, "é" * 4]
+    ids = list(range(len(docs)))
+    rng.shuffle(ids)
+    return list(zip(ids, docs, strict=True))
+
+
+@pytest.mark.parametrize("size", [(200_000, 512), (1500, 8)])
+def test_against_brute_force(spark, monkeypatch, size):
+    monkeypatch.setattr(minhash, "PART_SHINGLES", size[0])
+    monkeypatch.setattr(minhash, "PART_DOCS", size[1])
+    docs = corpus(random.Random(7))
+    found = near_duplicates(documents(spark, docs, 4))
+    got = sorted(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "kept").collect())
+    assert got == brute(docs)
+
+
+def test_other_similarity(spark):
+    docs = corpus(random.Random(8))
+    found = near_duplicates(documents(spark, docs), 80)
+    got = sorted(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "kept").collect())
+    assert got == brute(docs, 80)
+
+
+def test_odd_rows(spark):
+    long = prose(random.Random(1), 200_000, 50_000)
+    docs = [(5, long), (3, long + " end"), (None, long), (None, None), (7, "a b c d e f"), (7, "a b c d e f"), (8, None), (8, None)]
+    got = rows(near_duplicates(documents(spark, docs)), "doc_id", "component_id", "kept")
+    assert got == [
+        (3, 3, True), (5, 3, False), (7, 7, True), (7, 7, True), (8, 8, True), (8, 8, True),
+        (None, None, True), (None, None, True),
+    ]
+    kept = one_of_each(documents(spark, docs))
+    assert rows(kept, "doc_id") == [(3,), (7,), (8,), (None,), (None,)]
+
+
+def test_empty_and_clashing(spark):
+    df = with_clashes(documents(spark, [(1, "a b c d e f"), (2, "a b c d e f")]),
+                      "rep", "row", "hi", "lo", "n", "bands", "component", "kept", "id", "_kept_id")
+    assert near_duplicates(empty(spark, df.schema)).count() == 0
+    assert one_of_each(empty(spark, df.schema)).count() == 0
+    kept = one_of_each(df)
+    assert kept.columns == df.columns and rows(kept, "doc_id") == [(1,)]
+
+
+def test_equal_coordinates_estimate_similarity():
+    hasher, rng = Circulant(2048, 1), np.random.default_rng(2)
+    a = rng.integers(0, 1 << 63, 3000, np.uint64)
+    for same in (0.5, 0.8, 0.95):
+        n = int(3000 * 2 * same / (1 + same))
+        b = np.concatenate([a[:n], rng.integers(0, 1 << 63, 3000 - n, np.uint64)])
+        assert abs((hasher(a) == hasher(b)).mean() - same) < 0.05
+    assert (hasher(a) == hasher(rng.permutation(a))).all()
+
+
+def test_bands_miss_few():
+    for percent in (80, 85, 90):
+        assert (1 - (percent / 100) ** minhash.ROWS) ** n_bands(percent) <= minhash.MISS
+
+
+def test_sets_and_intersections():
+    rng = random.Random(9)
+    texts = [prose(rng, rng.randrange(0, 60), 12) for _ in range(30)] + [None, " a\x0bb ", "\x0c"]
+    sets = list(sets_of(pa.array(texts)))
+    want = [shingles(t) for t in texts]
+    assert [len(s) for s in sets] == [len(w) for w in want]
+    both = shared(sets)
+    for a in range(len(texts)):
+        for b in range(len(texts)):
+            if a != b:
+                assert both[a, b] == len(want[a] & want[b])
+
+
+def test_components(spark):
+    rng = random.Random(10)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)]
+    edges += [(i, i + 1) for i in range(1000, 1400)] + [(5000, i) for i in range(4000, 4100)] + [(7, 7)]
+    low = {}
+
+    def root(x):
+        low.setdefault(x, x)
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    for a, b in edges:
+        x, y = root(a), root(b)
+        low[max(x, y)] = min(x, y)
+    df = spark.createDataFrame(edges, "u long, v long").repartition(5)
+    got = {r.id: r.component for r in components(df).collect()}
+    ends = {x for e in edges for x in e if e[0] != e[1]}
+    assert got == {x: root(x) for x in ends}
+    assert components(df.filter("u < 0")).count() == 0

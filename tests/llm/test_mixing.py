@@ -1,0 +1,90 @@
+import random
+import re
+from fractions import Fraction
+
+import pytest
+
+from helpers import documents, empty, prose, rows, with_clashes
+from pagestrata.llm import mixing
+from pagestrata.llm.mixing import mix, take
+
+
+def water_fill(sizes, weights, share=Fraction(3, 2), most=2):
+    """Targets by plain repetition: fill, cap, reshare the excess among the others."""
+    budget, full = share * sum(sizes.values()), set()
+    while True:
+        left = budget - sum(most * sizes[s] for s in full)
+        free = sum(weights[s] for s in sizes if s not in full)
+        target = {
+            s: most * sizes[s] if s in full else left * weights[s] / free for s in sizes
+        }
+        over = {s for s in sizes if s not in full and target[s] > most * sizes[s]}
+        if not over:
+            return {s: float(t) for s, t in target.items()}
+        full |= over
+
+
+def corpus():
+    rng = random.Random(1)
+    out = []
+    for i in range(900):
+        source = rng.choice(["a", "a", "a", "b", "Zä", "é", None, "c"])
+        out.append((i, prose(rng, rng.choice([0, 1, 7, 30, 90, 400])), None, source))
+    return out
+
+
+def size(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+@pytest.mark.parametrize("chunk", [7, 1000])
+def test_targets_and_copies(spark, monkeypatch, chunk):
+    monkeypatch.setattr(mixing, "CHUNK", chunk)
+    docs = corpus()
+    sizes = {}
+    for _, text, _, source in docs:
+        sizes[source] = sizes.get(source, 0) + size(text)
+    order = sorted((s for s in sizes if s is not None), key=str.encode) + [None]
+    weights = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    want = water_fill(sizes, weights)
+
+    found = mix(documents(spark, docs)).collect()
+    assert len(found) == len(docs)
+    taken = dict.fromkeys(sizes, 0)
+    for r in found:
+        _, text, _, source = docs[r.doc_id]
+        assert (r.source, r.size, r.source_size) == (source, size(text), sizes[source])
+        assert r.target == pytest.approx(want[source])
+        rate = want[source] / sizes[source]
+        assert r.copies in (int(rate), int(rate) + 1) and r.copies <= 2
+        assert r.taken == r.copies * r.size
+        taken[source] += r.taken
+    for source in sizes:
+        assert abs(taken[source] - want[source]) <= 400
+
+
+def test_reruns_and_partitions_agree(spark):
+    one, two = (rows(mix(documents(spark, corpus(), n)), "doc_id", "copies") for n in (2, 7))
+    assert one == two
+
+
+def test_given_weights(spark):
+    weights = spark.createDataFrame([("a", 1.0), ("b", 1.0), (None, 2.0)], "source string, weight double")
+    docs = documents(spark, [(i, "x y z", None, s) for i, s in enumerate(["a"] * 40 + ["b"] * 40 + [None] * 40 + ["c"] * 9)])
+    found = {r.source: r.target for r in mix(docs, weights, share=1.0).collect()}
+    assert found == {"a": 90.0, "b": 90.0, None: 180.0}
+
+
+def test_take_repeats_rows_and_keeps_columns(spark):
+    docs = with_clashes(documents(spark, corpus()), "size", "target", "copies", "row", "_bits", "_chunk")
+    mixed = mix(docs)
+    taken = take(docs)
+    assert taken.columns == docs.columns
+    assert taken.count() == sum(r.copies for r in mixed.collect())
+
+
+def test_odd_rows(spark):
+    found = mix(documents(spark, [(None, None), (None, None), (1, ""), (1, " \t\n"), (1, "a"), (1, "a")]))
+    assert rows(found, "doc_id", "size") == [(1, 0), (1, 0), (1, 1), (1, 1), (None, 0), (None, 0)]
+    assert mix(documents(spark, [(1, ""), (2, None)])).filter("taken <> 0 OR target <> 0").count() == 0
+    assert mix(empty(spark, documents(spark, [(1, "a")]).schema)).count() == 0

@@ -1,0 +1,87 @@
+from helpers import documents, empty, rows, with_clashes
+from pagestrata.llm.templates import find_leaks, without_leaks
+
+ITEM = (
+    "A train leaves the town with Alice at noon and runs 60 km per hour for 3 hours; "
+    "then Bob asks Alice how far the train with 60 seats has come by now."
+)
+OTHER = (
+    "a train leaves the town with Carol at noon and runs 75 miles per hour for 4 hours; "
+    "then Dave asks Carol how far the train with 75 seats has come by now."
+)
+BROKEN = OTHER.replace("Dave asks Carol", "Dave asks Erin")
+FILLER = "nothing of this kind is in here but other words about the weather of last week, "
+
+
+def benchmark(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+
+
+def found(spark, docs, *items):
+    leaks = find_leaks(documents(spark, docs), benchmark(spark, *items))
+    return rows(leaks, "doc_id", "item_id", "verbatim")
+
+
+def test_same_and_other_values(spark):
+    docs = [
+        (1, FILLER + ITEM + " " + FILLER),
+        (2, FILLER + OTHER),
+        (3, FILLER * 9),
+        (4, ITEM.upper().replace("ALICE", "Alice").replace("BOB", "Bob")),
+        (5, "»" + ITEM.replace(" ", " \n ") + "«"),
+        (6, None),
+        (7, ""),
+    ]
+    got = found(spark, docs, ITEM, "how short", None, "")
+    assert got == [(1, 0, True), (2, 0, False), (4, 0, True), (5, 0, True)]
+
+
+def test_inconsistent_slots_are_another_question(spark):
+    assert found(spark, [(1, BROKEN)], ITEM) == []
+    # Two names of the item must not be one in the document either.
+    assert found(spark, [(1, OTHER.replace("Dave", "Carol"))], ITEM) == []
+
+
+def test_runs_at_every_offset(spark):
+    words = [f"word{chr(97 + i)}" for i in range(26)]
+    item = " ".join(words)
+    docs = []
+    for start in range(26 - 12):
+        for shift in range(5):
+            docs.append((len(docs), "x " * shift + " ".join(words[start : start + 13]) + " y y"))
+    assert len(found(spark, docs, item)) == len(docs)
+    twelve = [(i, "x " * i + " ".join(words[5:17]) + " y y y") for i in range(5)]
+    assert found(spark, twelve, item) == []
+
+
+def test_short_items_need_all_words(spark):
+    item = "one two three four five six seven eight nine"
+    docs = [(i, "z " * i + item + " z") for i in range(6)] + [(9, item.replace("nine", "ten"))]
+    assert [r[0] for r in found(spark, docs, item)] == list(range(6))
+
+
+def test_tables_of_numbers_are_no_leaks(spark):
+    numbers = " ".join(str(i) for i in range(40))
+    assert found(spark, [(1, numbers), (2, " ".join(str(i * 7) for i in range(40)))], numbers) == []
+
+
+def test_long_texts_repeated_rows_and_many_copies(spark):
+    long = FILLER * 4000 + ITEM + FILLER * 4000
+    docs = [(1, long), (1, long), (1, FILLER), (None, ITEM)] + [(i, FILLER + ITEM) for i in range(100, 400)]
+    got = found(spark, docs, ITEM, ITEM)
+    assert len(got) == 2 * 302 and (1, 0, True) in got and (None, 1, True) in got
+
+
+def test_without_leaks_and_clashing_names(spark):
+    docs = with_clashes(documents(spark, [(1, ITEM), (2, FILLER), (None, None)]), "row", "hash", "item_id", "words", "window", "_id", "_row")
+    items = with_clashes(benchmark(spark, ITEM), "doc_id", "row", "at", "words")
+    kept = without_leaks(docs, items)
+    assert kept.columns == docs.columns
+    assert rows(kept, "doc_id") == [(2,), (None,)]
+    assert rows(find_leaks(docs, items), "doc_id", "item_id") == [(1, 0)]
+
+
+def test_empty_tables(spark):
+    docs, items = documents(spark, [(1, ITEM)]), benchmark(spark, ITEM)
+    assert find_leaks(empty(spark, docs.schema), items).count() == 0
+    assert find_leaks(docs, empty(spark, items.schema)).count() == 0
