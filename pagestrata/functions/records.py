@@ -15,9 +15,14 @@ def parse_compact_time(text: Column) -> Column:
 
 
 def parse_iso_time(text: Column) -> Column:
-    """The first 19 characters of an ISO-8601 date-time, in UTC; else the epoch."""
-    utc = F.concat(F.substring(text, 1, 19), F.lit("Z"))
-    return _or_epoch(F.try_to_timestamp(utc, F.lit("yyyy-MM-dd'T'HH:mm:ssX")))
+    """An ISO-8601 date-time with seconds; else the epoch. A fraction of a second is left out,
+    an offset is applied, and without one the time is UTC."""
+    parts = r"^(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d)(?:[.,]\d+)?(Z|[+-]\d\d(?::?\d\d)?)?$"
+    zone = F.regexp_replace(F.regexp_extract(text, parts, 2), r"^([+-]\d\d):?(\d\d)?$", "$1:$2")
+    # An offset of hours alone is written with its minutes, as the parser wants it.
+    zone = F.when(zone.endswith(":"), F.concat(zone, F.lit("00"))).otherwise(zone)
+    utc = F.concat(F.regexp_extract(text, parts, 1), F.when(zone == "", "Z").otherwise(zone))
+    return _or_epoch(F.try_to_timestamp(utc, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
 
 
 def _or_epoch(parsed: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,22 +13,26 @@ SNAPSHOT_BODY = "https://web.archive.org/web/"
 CRAWL_INDEX = "https://index.commoncrawl.org/"
 CRAWL_BODY = "https://data.commoncrawl.org/"
 
-_HOST = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://)?([^/?#:]+)"
-_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://)?[^/?#]+([^#]*)"
+_START = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://)?(?:[^/?#@]*@)?"
+_HOST = _START + r"(\[[^\]]*\]|[^/?#:]+)"
+_PORT = _HOST + r":([0-9]+)"
+_PATH = _START + r"[^/?#]+([^#]*)"
 
 
 def host_of(url: Column) -> Column:
-    """Host of a URL, lower case, without port."""
+    """Host of a URL, lower case, without user and port; an IPv6 address in its brackets."""
     return F.lower(F.regexp_extract(url, _HOST, 1))
 
 
+def port_of(url: Column) -> Column:
+    """Port of a URL as text, empty if it names none."""
+    return F.regexp_extract(url, _PORT, 2)
+
+
 def surt(url: Column) -> Column:
     """SURT key: host labels reversed, then ``)`` and the lower-case path and query."""
     labels = F.reverse(F.split(host_of(url), r"\."))
-    path = F.lower(F.regexp_extract(url, _PATH, 1))
-    # The path group starts at the port where there is one.
-    path = F.regexp_replace(path, r"^:[0-9]*", "")
-    return F.concat(F.array_join(labels, ","), F.lit(")"), path)
+    return F.concat(F.array_join(labels, ","), F.lit(")"), F.lower(F.regexp_extract(url, _PATH, 1)))
 
 
 def surt_host(urlkey: Column) -> Column:
@@ -39,6 +45,13 @@ def surt_of_host(host: str) -> str:
     return ",".join(reversed(host.lower().split(".")))
 
 
+def surt_hosts(host: str) -> list[str]:
+    """The reversed forms a key may have for ``host``: as it is, and without ``www``, which
+    indexes with canonical keys leave out."""
+    bare = re.sub(r"^www\d*\.", "", host.lower())
+    return list(dict.fromkeys(surt_of_host(h) for h in (host, bare)))
+
+
 def compact_time(ts: Column) -> Column:
     """14-digit form of a timestamp, as index files and requests write it."""
     return F.date_format(ts, "yyyyMMddHHmmss")

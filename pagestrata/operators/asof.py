@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagestrata.operators.ordered import with_last_seen
 from pagestrata.plans.ranges import ROWS_PER_RANGE
 from pagestrata.schema import tie_breakers
 
 
-# URLs a broadcast may hold; at a few hundred bytes each this is some tens of megabytes.
-FEW_URLS = 100_000
-
-
 def as_of(
     df: DataFrame,
     requests: DataFrame,
@@ -25,25 +24,26 @@ def as_of(
 
     Captures and requests are put into one order by URL and time and the last capture
     is carried forward. Nothing is paired up, so a URL with very many captures and
-    requests costs no more than their sum. Where few URLs are asked for (which is
-    counted first) the captures of all others are dropped before that.
+    requests costs no more than their sum. Captures of URLs that nobody asks for are left
+    out before. Bodies and other wide columns are not carried; they are joined at the end, one
+    of each URL, time and tie-breakers.
     """
     columns = columns or df.columns
     ties = [c for c in tie_breakers(df) if c != "url"]
+    place = ["url", "timestamp", *ties]
+    wide = [c for c in columns if not isinstance(df.schema[c].dataType, T.AtomicType)]
+    wide += [c for c in columns if isinstance(df.schema[c].dataType, T.BinaryType)]
+    wide = [c for c in wide if c not in place]
     asked = requests.select("url", "at", F.struct(*requests.columns).alias("_request"))
-    wanted = asked.select("url").distinct()
-    if wanted.limit(FEW_URLS + 1).count() <= FEW_URLS:
-        df = df.join(F.broadcast(wanted), "url", "left_semi")
-    found = df.select(
+    known = df.join(asked.select("url").distinct(), "url", "left_semi")
+    found = known.select(
         "url",
         F.col("timestamp").alias("at"),
         F.lit(0).alias("_kind"),
         *[F.col(c).alias(f"_tie_{c}") for c in ties],
-        F.struct(*columns).alias("_capture"),
-    )
-    both = found.unionByName(
-        asked.withColumn("_kind", F.lit(1)), allowMissingColumns=True
+        F.struct(*[c for c in df.columns if c in place or c in columns and c not in wide]).alias("_capture"),
     )
+    both = found.unionByName(asked.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
     carried = with_last_seen(
         both,
         ["url", "at", "_kind", *[f"_tie_{c}" for c in ties]],
@@ -52,5 +52,15 @@ def as_of(
         "_last",
         rows_per_range,
     )
-    capture = F.when(F.col("_last.u") == F.col("url"), F.col("_last.c"))
-    return carried.filter("_kind = 1").select("_request.*", capture.alias("capture"))
+    last = F.when(F.col("_last.u") == F.col("url"), F.col("_last.c"))
+    answered = carried.filter("_kind = 1").select("_request", last.alias("_c"))
+    if wide:
+        bodies = known.dropDuplicates(place).select(
+            *[F.col(c).alias(f"_p_{c}") for c in place], *[F.col(c).alias(f"_w_{c}") for c in wide]
+        )
+        same = reduce(
+            Column.__and__, [F.col(f"_c.{c}").eqNullSafe(F.col(f"_p_{c}")) for c in place]
+        )
+        answered = answered.join(bodies, F.col("_c").isNotNull() & same, "left")
+    capture = F.struct(*[(F.col(f"_w_{c}") if c in wide else F.col(f"_c.{c}")).alias(c) for c in columns])
+    return answered.select("_request.*", F.when(F.col("_c").isNotNull(), capture).alias("capture"))

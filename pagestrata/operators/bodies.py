@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagestrata.session import written
+
 # Error texts of a body that cannot be had.
 MISSING_KEY = "Missing timestamp or URL"
 NOT_STORED = "No stored body"
 
+# Snapshots whose hashes (8 bytes each) are broadcast to the store; more are joined.
+FEW_SNAPSHOTS = 1_000_000
+
 
 def attach_bodies(df: DataFrame, store: DataFrame) -> DataFrame:
     """Add ``response`` (``body``, ``error``) from ``store`` (``url``, ``timestamp``,
-    ``body``), which holds one row per snapshot.
+    ``body``). Of several rows for one snapshot, the smallest body is taken.
 
     Filter the captures first: only what is left is joined. Captures without a complete
     key are spread by a hash of the row, so many of them do not meet in one task; a
@@ -24,11 +29,16 @@ def attach_bodies(df: DataFrame, store: DataFrame) -> DataFrame:
     # NUL occurs in no URL, so such a key meets no stored body.
     spread = F.concat(F.lit("\0"), F.hex(F.xxhash64(*flat)))
     keyed = df.withColumn("_url", F.when(known, F.col("url")).otherwise(spread))
-    stored = store.select(
-        F.col("url").alias("_stored_url"),
-        F.col("timestamp").alias("_stored_ts"),
-        F.col("body").cast("binary").alias("_body"),
-    )
+    # Which snapshots are asked for is settled by their keys; other bodies stay where they are.
+    wanted = written(keyed.filter(known).select(F.xxhash64("url", "timestamp").alias("_wanted")).distinct())
+    few = wanted.count() <= FEW_SNAPSHOTS
+    asked = F.xxhash64(F.col("url"), F.col("timestamp").cast(df.schema["timestamp"].dataType))
+    held = store.withColumn("_wanted", asked)
+    held = held.join(F.broadcast(wanted) if few else wanted, "_wanted", "left_semi")
+    stored = (
+        held.groupBy(F.col("url").alias("_stored_url"), F.col("timestamp").alias("_stored_ts"))
+        .agg(F.min(F.col("body").cast("binary")).alias("_body"))
+    )
     same = (F.col("_url") == F.col("_stored_url")) & (F.col("timestamp") == F.col("_stored_ts"))
     error = F.when(F.col("_url").startswith("\0"), MISSING_KEY).when(
         F.col("_stored_url").isNull(), NOT_STORED

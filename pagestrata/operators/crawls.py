@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagestrata.operators.filters import instant
 
+# Spans of the left side that an overlap join puts into one part.
+ROWS_PER_PART = 25_000
+
 
 def in_crawls(df: DataFrame, *crawl_ids: str) -> DataFrame:
     """Captures of the named crawls; a partition filter on an index table."""
@@ -40,21 +44,33 @@ def latest_crawl(df: DataFrame, catalog: DataFrame) -> DataFrame:
     return df.filter(F.col("crawl_id") == newest)
 
 
-def overlap_join(left: DataFrame, right: DataFrame) -> DataFrame:
+def overlap_join(
+    left: DataFrame, right: DataFrame, rows_per_part: int = ROWS_PER_PART
+) -> DataFrame:
     """Pair rows of ``left`` (``lo``, ``hi``) with rows of ``right`` (``from_ts``,
     ``to_ts``) whose spans overlap. All four bounds must be present.
 
     Spans are spread over the months they touch and joined on the month. A pair is
-    kept only in the first month both touch, so each pair comes out once.
+    kept only in the first month both touch, so each pair comes out once. A month may hold
+    most spans, so ``left`` is dealt out to one part per ``rows_per_part`` of its rows (counted
+    first), and ``right`` repeated for each part.
     """
+    parts = -(-left.count() // rows_per_part) or 1
     month = F.expr("interval 1 month")
 
     def months(start: str, end: str):
         first, last = F.trunc(F.to_date(start), "month"), F.trunc(F.to_date(end), "month")
         return F.explode(F.when(first <= last, F.sequence(first, last, month)))
 
-    l = left.withColumn("_month", months("lo", "hi"))
-    r = right.withColumn("_month", months("from_ts", "to_ts"))
+    dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns if _hashable(left, c)]), F.lit(parts))
+    l = left.withColumn("_part", dealt.cast("int")).withColumn("_month", months("lo", "hi"))
+    r = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    r = r.withColumn("_month", months("from_ts", "to_ts"))
     start = F.trunc(F.greatest(F.to_date("lo"), F.to_date("from_ts")), "month")
     touch = (F.col("to_ts") >= F.col("lo")) & (F.col("from_ts") <= F.col("hi"))
-    return l.join(r, "_month").filter(touch & (F.col("_month") == start)).drop("_month")
+    both = l.join(r, ["_month", "_part"]).filter(touch & (F.col("_month") == start))
+    return both.drop("_month", "_part")
+
+
+def _hashable(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.AtomicType)

@@ -9,6 +9,7 @@ from pagestrata.functions.urls import compact_time
 from pagestrata.operators.ordered import neighbour_in_ranges
 from pagestrata.plans.ranges import RANGE, ROWS_PER_RANGE, with_range
 from pagestrata.schema import index_order
+from pagestrata.session import written
 
 
 def key_expression(spec: str) -> Column:
@@ -56,10 +57,13 @@ def collapse_adjacent(
     """
     specs = [fields] if isinstance(fields, str) else list(fields)
     order = order or index_order(df)
-    kept, split = with_range(df, order, rows_per_range)
-    for spec in specs:
+    kept = with_range(df, order, rows_per_range)
+    for i, spec in enumerate(specs):
+        if i:
+            # Each pass reads its input twice, so what the pass before left is written out.
+            kept = written(kept)
         value = key_expression(spec)
-        seen = neighbour_in_ranges(kept, split, order, value, "_before", -1)
+        seen = neighbour_in_ranges(kept, order, value, "_before", -1)
         repeat = F.col("_before").isNotNull() & F.col("_before.v").eqNullSafe(value)
         kept = seen.filter(~repeat).drop("_before")
     return kept.drop(RANGE)

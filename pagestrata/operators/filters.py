@@ -7,13 +7,14 @@ are written with ``~``. Conjunctions are ``&``.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagestrata.functions.urls import host_of, surt_of_host
+from pagestrata.functions.urls import host_of, port_of, surt_hosts
 
 
 class UrlFilterRequired(ValueError):
@@ -35,46 +36,101 @@ def matches_whole(column: str, pattern: str) -> Column:
     return F.col(column).cast("string").rlike(rf"\A(?:{pattern})\z")
 
 
-def on_host(host: str) -> Column:
+def on_host(host: str, keyed: bool = False) -> Column:
     """Captures of exactly this host, without its subdomains."""
-    return host_of(F.col("url")) == host.lower()
+    return _bounded(host_of(F.col("url")) == host.lower(), host, keyed)
 
 
 def in_domain(host: str) -> Column:
-    """Captures of this host and its subdomains, by SURT key.
+    """Captures of this host and its subdomains, by SURT key, whatever their port.
 
-    Both prefixes reach the scan, so an index sorted by urlkey skips row groups.
+    The prefixes reach the scan, so an index sorted by urlkey skips row groups.
     """
-    key = surt_of_host(host)
-    return F.col("urlkey").startswith(f"{key},") | F.col("urlkey").startswith(f"{key})")
+    return _starts(*[f"{key}{end}" for key in surt_hosts(host) for end in ",):"])
 
 
-def url_pattern(pattern: str) -> Column:
-    """The forms a URL filter takes.
+def url_pattern(pattern: str, keyed: bool = False) -> Column:
+    """The forms a URL filter takes. ``%`` and ``_`` are ordinary characters here.
 
-    * ``%`` makes it SQL LIKE on the URL.
-    * ``*.example.com`` is a host with its subdomains.
+    * ``*.example.com`` is a host with its subdomains, ``*.example.com/a*`` their paths.
     * With a scheme, it is the URL itself, or its beginning if it ends in ``*``.
     * Without a scheme, ``example.com/a`` and ``example.com/a*`` are looked up in the
-      SURT key, which knows neither scheme nor port.
+      SURT key, which knows no scheme. A port is compared if the pattern names one.
+
+    ``keyed`` says that there is a SURT key: a URL with a scheme is then bounded by it too.
     """
-    if "%" in pattern:
-        return F.col("url").like(pattern)
     start = pattern.removesuffix("*")
     if pattern.startswith("*."):
-        return in_domain(pattern[2:].removesuffix("/*"))
+        host, slash, path = pattern[2:].partition("/")
+        if path in ("", "*"):
+            return in_domain(host)
+        return in_domain(host) & _path_of_key(f"{slash}{path}")
     if "*" in start:
         raise ValueError(f"* may only start or end a URL pattern: {pattern!r}; use LIKE or a regex")
     if "://" in pattern:
-        column, value = F.col("url"), start
-    else:
-        host, slash, path = start.partition("/")
-        column, value = F.col("urlkey"), f"{surt_of_host(host)}){slash}{path.lower()}"
+        url = F.col("url")
+        found = url.startswith(start) if pattern.endswith("*") else url == start
+        rest = start.partition("://")[2]
+        host = re.match(r"(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)", rest)
+        # A beginning that ends within the host says nothing about the whole host.
+        whole = not pattern.endswith("*") or host.end() < len(rest)
+        return _bounded(found, host[1], keyed and whole)
+    host, slash, path = start.partition("/")
+    host, _, port = host.partition(":")
+    path = f"{slash}{path.lower()}"
+    keys = [f"{key}){path}" for key in surt_hosts(host)]
+    ports = [f"{key}:{port or '%'}){path}" for key in surt_hosts(host)]
+    key = F.col("urlkey")
     if pattern.endswith("*"):
-        return column.startswith(value)
-    if value.endswith(")"):
-        return column.isin(value, f"{value}/")
-    return column == value
+        plain = _starts(*keys)
+        named = _any([key.like(_as_like(p) + "%") for p in ports])
+    else:
+        ends = [""] if path else ["", "/"]
+        plain = key.isin([k + e for k in keys for e in ends])
+        named = _any([key.like(_as_like(p + e)) for p in ports for e in ends])
+    if port:
+        plain = plain & (port_of(F.col("url")) == port)
+    return plain | named
+
+
+def url_like(pattern: str, keyed: bool = False) -> Column:
+    """SQL LIKE on the URL. A pattern that begins with a host, as ``example.com/news%``, is
+    compared without the scheme."""
+    url = F.col("url")
+    if "://" in pattern or pattern.startswith("%"):
+        return url.like(pattern)
+    found = F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://", "").like(pattern)
+    host, slash, _ = pattern.partition("/")
+    return _bounded(found, host, keyed and bool(slash) and not re.search(r"[%_:@\\]", host))
+
+
+def _bounded(found: Column, host: str, keyed: bool) -> Column:
+    """``found``, with the prefixes that the key of a URL on ``host`` has."""
+    if not keyed:
+        return found
+    return found & _starts(*[f"{key}{end}" for key in surt_hosts(host) for end in "):"])
+
+
+def _starts(*prefixes: str) -> Column:
+    return _any([F.col("urlkey").startswith(p) for p in prefixes])
+
+
+def _any(tests: list[Column]) -> Column:
+    return reduce(Column.__or__, tests)
+
+
+def _as_like(text: str) -> str:
+    """``text`` for LIKE, where only a ``%`` for any port stays a wildcard."""
+    before, wildcard, after = text.partition(":%)")
+    literal = [re.sub(r"([%_\\])", r"\\\1", t) for t in (before, after)]
+    return wildcard.join(literal) if wildcard else literal[0]
+
+
+def _path_of_key(path: str) -> Column:
+    """Whether the path in the SURT key is ``path``, or begins with it if it ends in ``*``."""
+    own = F.substring(F.col("urlkey"), F.instr("urlkey", ")") + 1, F.length("urlkey"))
+    start = path.removesuffix("*").lower()
+    return own.startswith(start) if path.endswith("*") else own == start
 
 
 def instant(df: DataFrame, value: str | dt.date | dt.datetime, column: str = "timestamp") -> Column:

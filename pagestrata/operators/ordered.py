@@ -26,12 +26,12 @@ def with_neighbour(
 ) -> DataFrame:
     """Add struct ``name`` with field ``v``: ``value`` on the row before (-1) or
     after (+1). The struct itself is NULL where there is no such row."""
-    ranged, split = with_range(df, order, rows_per_range)
-    return neighbour_in_ranges(ranged, split, order, value, name, step).drop(RANGE)
+    ranged = with_range(df, order, rows_per_range)
+    return neighbour_in_ranges(ranged, order, value, name, step).drop(RANGE)
 
 
 def neighbour_in_ranges(
-    ranged: DataFrame, split: bool, order: list[str], value: Column, name: str, step: int
+    ranged: DataFrame, order: list[str], value: Column, name: str, step: int
 ) -> DataFrame:
     """``with_neighbour`` over rows that already carry their range."""
 
@@ -40,9 +40,6 @@ def neighbour_in_ranges(
 
     ranged = ranged.withColumn("_v", F.struct(value.alias("v")))
     inner = Window.partitionBy(RANGE).orderBy(*order)
-    if not split:
-        return ranged.withColumn(name, shift("_v").over(inner)).drop("_v")
-
     edge = F.max_by if step < 0 else F.min_by
     borders = ranged.groupBy(RANGE).agg(edge("_v", F.struct(*order)).alias("_edge"))
     across = borders.select(RANGE, shift("_edge").over(Window.orderBy(RANGE)).alias("_edge"))
@@ -64,16 +61,13 @@ def with_last_seen(
 ) -> DataFrame:
     """Add ``name``: ``value`` of the last row at or before this one that meets
     ``where``. ``value`` must not be NULL on those rows (use a struct)."""
-    ranged, split = with_range(df.withColumn("_v", F.when(where, value)), order, rows_per_range)
+    ranged = with_range(df.withColumn("_v", F.when(where, value)), order, rows_per_range)
     upto = (
         Window.partitionBy(RANGE)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = ranged.withColumn("_n", F.last("_v", ignorenulls=True).over(upto))
-    if not split:
-        return found.withColumn(name, F.col("_n")).drop("_v", "_n", RANGE)
-
     key = F.when(F.col("_v").isNotNull(), F.struct(*order))
     borders = ranged.groupBy(RANGE).agg(F.max_by("_v", key).alias("_edge"))
     before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
@@ -101,11 +95,7 @@ def with_rank(
     pieces; at most one carried count per range border is broadcast. Pieces that start
     beyond ``at_most`` are dropped before the rows are shuffled.
     """
-    ranged, split = with_range(df, [*group, *order], rows_per_range)
-    if split:
-        ranged = _with_rows_before(ranged, group, descending)
-    else:
-        ranged = ranged.withColumn("_before", F.lit(0).cast("long"))
+    ranged = _with_rows_before(with_range(df, [*group, *order], rows_per_range), group, descending)
     if at_most is not None:
         ranged = ranged.filter(F.col("_before") < at_most)
     inner = Window.partitionBy(RANGE, *group).orderBy(*directed(order, descending))
@@ -117,7 +107,14 @@ def with_rank(
 
 def _with_rows_before(ranged: DataFrame, group: list[str], descending: bool) -> DataFrame:
     """Add ``_before``, the rows of the same group in the ranges ahead of this one."""
-    counts = ranged.groupBy(RANGE, *group).agg(F.count("*").alias("_rows"))
+    # Only the first and the last group of a range can go on in another one.
+    own = F.struct(*group)
+    edges = ranged.groupBy(RANGE).agg(F.min(own).alias("_first"), F.max(own).alias("_last"))
+    at_edge = own.eqNullSafe(F.col("_first")) | own.eqNullSafe(F.col("_last"))
+    counts = (
+        ranged.select(RANGE, *group).join(F.broadcast(edges), RANGE).filter(at_edge)
+        .groupBy(RANGE, *group).agg(F.count("*").alias("_rows"))
+    )
     ahead = (
         Window.partitionBy(*group)
         .orderBy(*directed([RANGE], descending))
@@ -147,9 +144,7 @@ def rows_between(
     Counting the rows per range tells which ranges can hold them; only those ranges are
     shuffled and sorted.
     """
-    ranged, split = with_range(df, order, rows_per_range)
-    if not split:
-        return df.orderBy(*directed(order, descending)).offset(first - 1).limit(last - first + 1)
+    ranged = with_range(df, order, rows_per_range)
     counts = ranged.groupBy(RANGE).agg(F.count("*").alias("_rows"))
     # One row per range, so one task may order them.
     ahead = Window.orderBy(*directed([RANGE], descending)).rowsBetween(

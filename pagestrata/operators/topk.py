@@ -1,7 +1,8 @@
 """Limits, pages and the latest captures, exact and deterministic.
 
 Small limits use Spark's top-k and rank-limit plans, where every map task sends up to
-the limit to one task. Larger limits are answered by counting rows range by range.
+the limit to one of a few hundred tasks, and each of these up to the limit to one task.
+Larger limits are answered by counting rows range by range.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ TOP_K_ROWS = 200
 # Rows of one group every map task may send to the task that ranks the group. Spark
 # prunes such a rank filter before the shuffle (windowGroupLimitThreshold is 1000).
 PRUNED_RANK = 100
+# Tasks that merge what the map tasks send, before one task merges the rest.
+MERGERS = 512
 
 
 def take_ordered(
@@ -31,7 +34,8 @@ def take_ordered(
     """Rows ``offset + 1`` to ``offset + n`` along ``order``, in that order."""
     _check(n, offset)
     if offset + n <= TOP_K_ROWS:
-        return df.orderBy(*directed(order, descending)).offset(offset).limit(n)
+        merged = _merged(df, [], directed(order, descending), offset + n)
+        return merged.orderBy(*directed(order, descending)).offset(offset).limit(n)
     return rows_between(df, order, offset + 1, offset + n, descending, rows_per_range)
 
 
@@ -68,7 +72,16 @@ def rank_at_most(
     if n > PRUNED_RANK:
         return with_rank(df, group, order, "_rank", descending, n, rows_per_range)
     by = Window.partitionBy(*group).orderBy(*directed(order, descending))
-    return df.withColumn("_rank", F.row_number().over(by)).filter(F.col("_rank") <= n)
+    merged = _merged(df, group, directed(order, descending), n)
+    return merged.withColumn("_rank", F.row_number().over(by)).filter(F.col("_rank") <= n)
+
+
+def _merged(df: DataFrame, group: list[str], order: list, n: int) -> DataFrame:
+    """Rows that can be among the first ``n`` of their group, at most ``n`` from a merger."""
+    merger = F.pmod(F.spark_partition_id(), F.lit(MERGERS))
+    by = Window.partitionBy(*group, "_merger").orderBy(*order)
+    found = df.withColumn("_merger", merger).withColumn("_r", F.row_number().over(by))
+    return found.filter(F.col("_r") <= n).drop("_merger", "_r")
 
 
 def latest_per_url(df: DataFrame, n: int = 1) -> DataFrame:

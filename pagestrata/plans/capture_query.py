@@ -11,6 +11,7 @@ def find_captures(
     df: DataFrame,
     url: str | None = None,
     *,
+    url_like: str | None = None,
     host: str | None = None,
     domain: str | None = None,
     statuscode: int | list[int] | None = None,
@@ -28,18 +29,20 @@ def find_captures(
     offset: int = 0,
     allow_full_scan: bool = False,
 ) -> DataFrame:
-    """Captures by URL pattern and other conditions.
+    """Captures by URL (``url`` exact or with ``*``, ``url_like`` SQL LIKE) and other conditions.
 
     Filters come first, then adjacent collapse, one capture per key, the per-crawl cap,
     and last the limit. ``years`` is an inclusive pair, ``where`` any further condition.
     ``newest`` takes the latest captures, ``limit`` and ``offset`` a page in index
     order. Nothing is capped unless asked for.
     """
-    tests = []
+    tests, keyed = [], "urlkey" in df.columns
     if url is not None:
-        tests.append(filters.url_pattern(url))
+        tests.append(filters.url_pattern(url, keyed))
+    if url_like is not None:
+        tests.append(filters.url_like(url_like, keyed))
     if host is not None:
-        tests.append(filters.on_host(host))
+        tests.append(filters.on_host(host, keyed))
     if domain is not None:
         tests.append(filters.in_domain(domain))
     filters.require_url_filter(bool(tests), allow_full_scan)

@@ -9,13 +9,22 @@ function of its key, hence a wrong guess by the sample costs balance, never rows
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_RANGE = 250_000
-MAX_RANGES = 1 << 15
+ROWS_PER_RANGE = 100_000
+# Bytes of wide rows in a range, and the rows that tell how wide they are.
+BYTES_PER_RANGE = 128 << 20
+MEASURED_ROWS = 1000
+# Split points travel in the plan, so there are no more than this. Beyond it (6.5 billion
+# rows) a range grows in proportion; its task sorts on disk.
+MAX_RANGES = 1 << 16
 SAMPLES_PER_RANGE = 4
+# Characters of a text that a split point keeps; a cut costs balance only.
+SPLIT_CHARS = 200
 # Split points are searched in two stages: the block, then the place in the block.
 BLOCK = 128
 
@@ -27,20 +36,21 @@ def with_range(
     order: list[str],
     rows_per_range: int = ROWS_PER_RANGE,
     max_ranges: int = MAX_RANGES,
-) -> tuple[DataFrame, bool]:
-    """Add ``_range``, an int that never falls along ``order``, and tell whether
-    there is more than one range.
+    bytes_per_range: int = BYTES_PER_RANGE,
+) -> DataFrame:
+    """Add ``_range``, an int that never falls along ``order``.
 
-    Reads the key columns twice (count, sample) before the plan is returned. Both
-    the sample and the split points are bounded by ``max_ranges``, not by the data.
+    Reads the key columns twice (count, sample) before the plan is returned. Rows that
+    hold binary or nested values are measured on the first ``MEASURED_ROWS``, so that fewer
+    of them share a range. The sample and the split points are bounded by ``max_ranges``,
+    not by the data.
     """
     keys = df.select(*order)
     rows = keys.count()
-    ranges = min(max_ranges, -(-rows // rows_per_range))
-    if ranges <= 1:
-        return df.withColumn(RANGE, F.lit(0)), False
+    fitting = max(1, bytes_per_range // max(_width(df), 1))
+    ranges = max(1, min(max_ranges, -(-rows // min(rows_per_range, fitting))))
 
-    n_splits, firsts, blocks, none = _split_points(keys, order, ranges / rows)
+    n_splits, firsts, blocks, none = _split_points(keys, order, ranges / max(rows, 1))
     found = df.withColumn("_key", F.struct(*order))
     found = _count_at_most(found, "_block", firsts, -(-n_splits // BLOCK))
     # Not a bare element of the literal, which would be copied into every step.
@@ -50,14 +60,37 @@ def with_range(
     place = F.greatest(F.col("_block") - 1, F.lit(0)) * BLOCK + F.col("_place")
     # The one-element explode makes _range a column of its own. Otherwise optimizer rules
     # that follow a join key to its source would write the search steps into one another.
-    return found.select(*df.columns, F.explode(F.array(place)).alias(RANGE)), True
+    return found.select(*df.columns, F.explode(F.array(place)).alias(RANGE))
+
+
+def _width(df: DataFrame) -> int:
+    """Average bytes of a row's texts and bytes, 0 if all its columns are flat and short."""
+
+    def sizes(field: T.StructField, value: Column) -> list[Column]:
+        if isinstance(field.dataType, T.StructType):
+            return [x for f in field.dataType.fields for x in sizes(f, value[f.name])]
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return [F.octet_length(value)]
+        if isinstance(field.dataType, (T.ArrayType, T.MapType)):
+            return [F.octet_length(F.to_json(value))]
+        return []
+
+    if all(not isinstance(f.dataType, (T.BinaryType, T.StructType, T.ArrayType, T.MapType)) for f in df.schema):
+        return 0
+    parts = [F.coalesce(x, F.lit(0)) for f in df.schema for x in sizes(f, F.col(f"`{f.name}`"))]
+    total = reduce(Column.__add__, parts, F.lit(0))
+    return int(df.limit(MEASURED_ROWS).agg(F.avg(total)).first()[0] or 0)
 
 
 def _split_points(keys: DataFrame, order: list[str], density: float):
     """Sorted split points, ``density`` of the rows: how many there are, and as literals
     the first of each block, the blocks, and an empty block."""
     fraction = min(1.0, density * SAMPLES_PER_RANGE)
-    picked = F.sort_array(F.collect_list(F.struct(*order)))
+    short = [
+        F.substring(c, 1, SPLIT_CHARS).alias(c) if keys.schema[c].dataType == T.StringType() else c
+        for c in order
+    ]
+    picked = F.sort_array(F.collect_list(F.struct(*short)))
     every = F.filter("picked", lambda _, i: (i + 1) % SAMPLES_PER_RANGE == 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("splits"), F.lit(1)), F.lit(BLOCK))
     row = (

@@ -24,29 +24,63 @@ SNAPSHOT_FIELDS = (
 )
 CRAWL_FIELDS = ("url", "timestamp", "mime", "status", "digest", "filename", "offset", "length")
 
+# What a value must not hold as it is, since it would end or split it.
+RESERVED = {"%": "%25", "&": "%26", "#": "%23", "+": "%2B", " ": "%20"}
+# The characters with a meaning in the index's regular expressions.
 _REGEX_CHARS = r"([.\[\]{}+?^$|*])"
+_BACKSLASH = "%5C"
 
 
-def url_filter(pattern: Column) -> Column:
-    """A LIKE pattern in the wildcards of a request."""
-    return F.translate(pattern, "%_", "*?")
+def encoded(value: Column) -> Column:
+    """A literal value as part of a request."""
+    for char, code in RESERVED.items():
+        value = F.replace(value, F.lit(char), F.lit(code))
+    return value
+
+
+def requested_url(url: Column, match: Column, single: str) -> Column:
+    """What is asked for: an ``exact`` URL (also without a match kind), a ``prefix``, or a
+    ``like`` pattern, whose ``%`` becomes ``*`` and whose ``_`` becomes ``single``."""
+    wildcards = F.translate(url, "%_", f"*{single}")
+    like = F.replace(F.replace(wildcards, F.lit("&"), F.lit("%26")), F.lit("#"), F.lit("%23"))
+    return (
+        F.when(match == "like", F.replace(like, F.lit(" "), F.lit("%20")))
+        .when(match == "prefix", F.concat(encoded(url), F.lit("*")))
+        .otherwise(encoded(url))
+    )
+
+
+def _separate(value: Column) -> Column:
+    """Keep what would end a filter within it."""
+    return F.replace(F.replace(value, F.lit("&"), F.lit("%26")), F.lit("#"), F.lit("%23"))
 
 
 def literal_regex(value: Column) -> Column:
-    """A value as a regular expression that finds it literally. The backslash is
+    """A value as a regular expression that finds it literally. Backslashes are
     percent-encoded, parentheses stay as they are."""
-    return F.regexp_replace(value, _REGEX_CHARS, "%5C$1")
+    doubled = F.replace(value, F.lit("\\"), F.lit(_BACKSLASH * 2))
+    return _separate(F.regexp_replace(doubled, _REGEX_CHARS, f"{_BACKSLASH}$1"))
 
 
 def like_regex(pattern: Column) -> Column:
-    """A LIKE pattern as a regular expression, anchored where it has no outer ``%``."""
-    # % is also the first character of an encoded backslash, hence the stand-in.
-    body = F.regexp_replace(pattern, _REGEX_CHARS, "\u0001$1")
+    """A LIKE pattern as a regular expression, anchored where it has no outer ``%``. A
+    backslash takes the meaning from the character behind it."""
+    # Stand-ins: for a literal backslash, percent sign and underscore, and for an escape, since
+    # the encoded backslash has a percent sign itself.
+    literal = {"\\\\": "\u0002", "\\%": "\u0003", "\\_": "\u0004"}
+    body = pattern
+    for text, stand_in in literal.items():
+        body = F.replace(body, F.lit(text), F.lit(stand_in))
+    open_start, open_end = body.startswith("%"), body.endswith("%")
+    body = F.regexp_replace(body, _REGEX_CHARS, "\u0001$1")
     body = F.replace(F.replace(body, F.lit("%"), F.lit(".*")), F.lit("_"), F.lit("."))
-    body = F.replace(body, F.lit("\u0001"), F.lit("%5C"))
-    start = F.when(pattern.startswith("%"), "").otherwise("^")
-    end = F.when(pattern.endswith("%"), "").otherwise("$")
-    return F.concat(start, body, end)
+    for stand_in, code in (
+        ("\u0001", _BACKSLASH), ("\u0002", _BACKSLASH * 2), ("\u0003", "%25"), ("\u0004", "_"),
+    ):
+        body = F.replace(body, F.lit(stand_in), F.lit(code))
+    start = F.when(open_start, "").otherwise("^")
+    end = F.when(open_end, "").otherwise("$")
+    return _separate(F.concat(start, body, end))
 
 
 def snapshot_filter(f: Column) -> Column:
@@ -88,10 +122,10 @@ def _filter_value(f: Column) -> Column:
 def plan_requests(targets: DataFrame, fields=SNAPSHOT_FIELDS) -> DataFrame:
     """Add ``cdx_url``, the snapshot-index request of every target.
 
-    Target columns: ``url`` (pattern), ``since`` and ``until`` (timestamps), ``filters``
+    Target columns: ``url``, ``match`` (``exact``, ``prefix`` or ``like``), ``since`` and ``until`` (timestamps), ``filters``
     (array of ``field``, ``op``, ``values``), ``collapse`` (array of specs), ``max_rows``,
     ``skip`` and ``newest`` (boolean: the last rows instead of the first). All but
-    ``url`` and ``max_rows`` may be NULL.
+    ``url`` and ``max_rows`` may be NULL, and ``match`` may be missing, which is exact.
     """
     wanted = ",".join(f for f in SNAPSHOT_FIELDS if f in set(fields) | {"original"})
     rows = F.col("max_rows").cast("string")
@@ -102,7 +136,7 @@ def plan_requests(targets: DataFrame, fields=SNAPSHOT_FIELDS) -> DataFrame:
     request = F.concat_ws(
         "",
         F.lit(f"{SNAPSHOT_INDEX}?url="),
-        url_filter(F.col("url")),
+        requested_url(F.col("url"), _optional(targets, "match", "string"), "_"),
         F.lit(f"&output=csv&fl={wanted}"),
         _time_bounds(),
         limit,
@@ -116,33 +150,47 @@ def plan_requests(targets: DataFrame, fields=SNAPSHOT_FIELDS) -> DataFrame:
 def plan_crawl_requests(targets: DataFrame, catalog: DataFrame, fields=CRAWL_FIELDS) -> DataFrame:
     """One row per target and crawl it touches, with ``crawl_id`` and ``cdx_url``.
 
-    Crawls are those overlapping [``since``, ``until``]; an open end reaches as far as
-    the catalog does, and a target without either goes to the latest crawl only.
+    A target that names crawls in ``crawls`` (an array of ids, which may be missing or
+    NULL) goes to those. Others go to the crawls overlapping [``since``, ``until``], where an
+    open end reaches as far as the catalog does, or without either to the latest crawl.
     """
-    lo, hi, newest = (
-        catalog.agg(x).scalar()
-        for x in (F.min("from_ts"), F.max("to_ts"), F.max_by("from_ts", F.struct("to_ts", "id")))
-    )
+    ends = catalog.agg(
+        F.struct(
+            F.min("from_ts").alias("first"),
+            F.max("to_ts").alias("last"),
+            F.max_by("id", F.struct("to_ts", "id")).alias("newest"),
+        )
+    ).scalar()
+    named = _optional(targets, "crawls", "array<string>")
+    by_name = targets.filter(named.isNotNull()).withColumn("id", F.explode(F.array_distinct(named)))
+    spans = targets.filter(named.isNull()).withColumn("_ends", ends)
     open_ended = F.col("since").isNull() & F.col("until").isNull()
-    spans = targets.withColumn("lo", F.when(open_ended, hi).otherwise(F.coalesce("since", lo)))
-    spans = spans.withColumn("hi", F.coalesce("until", hi))
+    latest = spans.filter(open_ended).withColumn("id", F.col("_ends.newest"))
+    spans = spans.filter(~open_ended).select(
+        "*",
+        F.coalesce("since", "_ends.first").alias("lo"),
+        F.coalesce("until", "_ends.last").alias("hi"),
+    )
     touched = overlap_join(spans, catalog.select("id", "from_ts", "to_ts"))
-    touched = touched.filter(~open_ended | (F.col("from_ts") == newest))
+    columns = [*targets.columns, "id"]
+    touched = touched.select(*columns).union(latest.select(*columns)).union(by_name.select(*columns))
     wanted = ",".join(f for f in CRAWL_FIELDS if f in set(fields) | {"url"})
     request = F.concat_ws(
         "",
         F.lit(CRAWL_INDEX),
         F.col("id"),
         F.lit("-index?url="),
-        url_filter(F.col("url")),
+        requested_url(F.col("url"), _optional(targets, "match", "string"), "?"),
         F.lit(f"&output=json&fl={wanted}&limit="),
         F.col("max_rows").cast("string"),
         _time_bounds(),
         _repeated("&filter=", F.transform("filters", crawl_filter)),
     )
-    return touched.withColumn("cdx_url", request).withColumnRenamed("id", "crawl_id").drop(
-        "lo", "hi", "from_ts", "to_ts"
-    )
+    return touched.withColumn("cdx_url", request).withColumnRenamed("id", "crawl_id")
+
+
+def _optional(df: DataFrame, column: str, kind: str) -> Column:
+    return F.col(column) if column in df.columns else F.lit(None).cast(kind)
 
 
 def plan_fetches(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", name: str = "pagestrata") -> SparkSession:
@@ -27,6 +27,13 @@ def local_session(cores: int | str = "*", name: str = "pagestrata") -> SparkSess
     return spark
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once to a shared folder and read back, which ends its lineage."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder that every executor can reach.
 

@@ -68,6 +68,8 @@ def parse_cdxj(
         number_or_zero(F.col("_j.length"), "bigint").alias("length"),
         crawl.cast("string").alias("crawl_id"),
         key.alias("urlkey"),
+        F.year(parse_compact_time(time)).alias("year"),
+        F.month(parse_compact_time(time)).alias("month"),
         (
             is_bad_number(F.col("_j.status"), "int").cast("int")
             + is_bad_number(F.col("_j.offset"), "bigint").cast("int")

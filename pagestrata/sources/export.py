@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagestrata.sources.files import file_system
+from pagestrata.sources.files import file_system, qualified
 
 
 def write_captures(df: DataFrame, path: str, fmt: str = "csv") -> None:
@@ -29,6 +29,7 @@ def export_bodies(df: DataFrame, folder: str, suffix: str = ".html") -> DataFram
         "url", F.date_format("timestamp", "yyyyMMddHHmmss").alias("taken"), "response.body"
     ).filter(F.col("body").isNotNull())
     schema = "url string, taken string, path string, bytes long"
+    folder = qualified(df.sparkSession, folder)
     written = rows.mapInArrow(_object_writer(f"{folder}/objects", suffix), schema)
     written.write.parquet(f"{folder}/manifest")
     manifest = df.sparkSession.read.parquet(f"{folder}/manifest")

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagestrata.schema import index_order
 
+# Rows that one task sorts and writes, some hundreds of megabytes without bodies.
+ROWS_PER_TASK = 2_000_000
+
 
 def to_index_table(
     df: DataFrame, path: str, files: int | None = None, rows_per_file: int = 20_000_000
@@ -14,11 +17,15 @@ def to_index_table(
 
     Rows are spread by range, so a very large crawl or site is cut into several files
     and each file covers a narrow span of keys that row-group statistics can skip.
-    ``files`` is about how many tasks write; by default the shuffle partitions.
+    ``files`` is about how many tasks write; by default one for each ``ROWS_PER_TASK`` rows,
+    which are counted first, and at least the shuffle partitions.
     """
+    if files is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        files = max(least, -(-df.count() // ROWS_PER_TASK))
     order = [c for c in index_order(df) if c != "crawl_id"]
     by = ["crawl_id", *order]
-    spread = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
+    spread = df.repartitionByRange(files, *by)
     writer = spread.sortWithinPartitions(*by).write.option("maxRecordsPerFile", rows_per_file)
     writer.partitionBy("crawl_id").parquet(path)
 

@@ -23,13 +23,17 @@ from pagestrata.functions.records import (
     record_version,
     repair_utf8,
 )
-from pagestrata.sources.files import file_system
+from pagestrata.sources.files import file_system, qualified
 
 # Retry schedule and time budget of one record.
 ATTEMPTS = 5
 FIRST_DELAY_SECONDS = 0.1
 BUDGET_SECONDS = 180
 
+# Reads of one task: a read over a network takes about as long whatever its length.
+RECORDS_PER_TASK = 250
+BYTES_PER_TASK = 256 << 20
+
 # Payload bytes handed back to Spark at a time.
 BATCH_BYTES = 32 << 20
 
@@ -57,15 +61,18 @@ def fetch_records(
     ``root``. Filter first: every row left is read.
 
     Rows are spread by file and offset, so a task reads forward through few files, a
-    very large file is shared by many tasks, and so are many pointers to one record.
+    very large file is shared by many tasks, and so are many pointers to one record. There
+    is a task for every ``RECORDS_PER_TASK`` records and every ``BYTES_PER_TASK`` to read, which
+    one aggregate over ``df`` tells, unless ``partitions`` says how many.
     """
+    if partitions is None:
+        n, size = df.agg(F.count("*"), F.sum(F.greatest("length", F.lit(0)))).first()
+        partitions = max(1, -(-n // RECORDS_PER_TASK), -(-(size or 0) // BYTES_PER_TASK))
     flat = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
     spot = ["filename", "offset", F.xxhash64(*flat)]
-    spread = (
-        df.repartitionByRange(partitions, *spot) if partitions else df.repartitionByRange(*spot)
-    )
-    sorted_rows = spread.sortWithinPartitions("filename", "offset")
+    sorted_rows = df.repartitionByRange(partitions, *spot).sortWithinPartitions("filename", "offset")
     schema = T.StructType([*df.schema.fields, *_PARTS.fields])
+    root = qualified(df.sparkSession, root)
     read = sorted_rows.mapInArrow(_reader(root, attempts, budget_seconds), schema)
     return _with_parsed(read).drop(*_PARTS.names)
 
@@ -148,7 +155,7 @@ class _Files:
         for attempt in range(1, self.attempts + 1):
             spent = time.monotonic() - started
             if spent >= self.budget:
-                raise TimeoutError(f"Timeout after {int(spent)}s (limit: {int(self.budget)}s)")
+                raise TimeoutError(f"No time left: {int(spent)} of {int(self.budget)} seconds used")
             try:
                 self._open(name)
                 self.handle.seek(offset)
@@ -158,7 +165,7 @@ class _Files:
             except OSError as error:
                 self.close()
                 if attempt == self.attempts:
-                    raise OSError(f"Failed after {attempt} retries: {error}") from error
+                    raise OSError(f"Not read in {attempt} attempts: {error}") from error
                 time.sleep(delay)
                 delay *= 2
 
@@ -186,6 +193,8 @@ def cut_record(record: bytes) -> tuple:
     head, block = record[: first.start()], record[first.end() :]
     length = _CONTENT_LENGTH.search(head)
     if length is not None:
+        if len(block) < int(length.group(1)):
+            return head, None, None, "Record shorter than its Content-Length"
         block = block[: int(length.group(1))]
     second = _HEAD_END.search(block)
     if second is None:

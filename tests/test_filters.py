@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagestrata import distinct_on, find_captures, in_crawls, latest, latest_crawl, select_crawls
 from pagestrata import to_index_table
-from pagestrata.functions.urls import host_of, surt, surt_host
+from pagestrata.functions.urls import host_of, port_of, surt, surt_host
 from pagestrata.operators import filters as f
 from pagestrata.session import shared_folder
 
@@ -37,13 +37,72 @@ def urls(df):
         ("example.com/a", {URLS[1]}),
         ("example.com/*", {URLS[0], URLS[1], URLS[3]}),
         ("*.example.com", {URLS[0], URLS[1], URLS[2], URLS[3], URLS[6]}),
+        ("www.example.com/*", {URLS[0], URLS[1], URLS[2], URLS[3]}),
+        ("example.com:8080/p*", {URLS[3]}),
+        ("example.com:81/p*", set()),
+        ("*.example.com/a*", {URLS[1], URLS[2]}),
+        ("*.example.com/a", {URLS[1]}),
+    ],
+)
+@pytest.mark.parametrize("keyed", [False, True])
+def test_url_pattern(pages, pattern, wanted, keyed):
+    assert urls(pages.filter(f.url_pattern(pattern, keyed))) == wanted
+
+
+@pytest.mark.parametrize(
+    "pattern, wanted",
+    [
         ("%.example.com/%", {URLS[2]}),
         ("%a*b", {URLS[7]}),
         ("%a_b", {URLS[2], URLS[7], URLS[8]}),
+        ("example.com/a%", {URLS[1]}),
+        ("http://example.com/%", {URLS[0], URLS[1]}),
+        ("example.com%", {URLS[0], URLS[1], URLS[3], URLS[5], URLS[6]}),
+    ],
+)
+@pytest.mark.parametrize("keyed", [False, True])
+def test_url_like(pages, pattern, wanted, keyed):
+    assert urls(pages.filter(f.url_like(pattern, keyed))) == wanted
+
+
+# Keys as an index with canonical keys writes them, by hand.
+CANONICAL = [
+    ("http://www.example.com/a", "com,example)/a"), ("http://example.com:8080/a", "com,example:8080)/a"),
+    ("http://u:p@example.com/a", "com,example)/a"), ("http://example.com/a%20b", "com,example)/a%20b"),
+    ("http://example.com/aZZ20b", "com,example)/azz20b"), ("http://m.example.com/a", "com,example,m)/a"),
+]
+
+
+@pytest.mark.parametrize(
+    "condition, wanted",
+    [
+        (lambda: f.url_pattern("http://example.com/a%20b", True), [3]),
+        (lambda: f.url_pattern("http://example.com/a*", True), [3, 4]),
+        (lambda: f.url_pattern("http://www.example.com/*", True), [0]),
+        (lambda: f.url_pattern("www.example.com/*"), [0, 1, 2, 3, 4]),
+        (lambda: f.url_pattern("example.com/a"), [0, 1, 2]),
+        (lambda: f.url_pattern("example.com:8080/a"), [1]),
+        (lambda: f.in_domain("example.com"), [0, 1, 2, 3, 4, 5]),
+        (lambda: f.on_host("example.com", True), [1, 2, 3, 4]),
+        (lambda: f.url_like("example.com/a\\%20b", True), [3]),
+        (lambda: f.url_pattern("http://exam*", True), [1, 3, 4]),
     ],
 )
-def test_url_pattern(pages, pattern, wanted):
-    assert urls(pages.filter(f.url_pattern(pattern))) == wanted
+def test_canonical_keys(spark, condition, wanted):
+    rows = [(i, *r) for i, r in enumerate(CANONICAL)]
+    df = spark.createDataFrame(rows, "i int, url string, urlkey string")
+    assert sorted(r.i for r in df.filter(condition()).collect()) == wanted
+
+
+def test_hosts_with_users_ports_and_addresses(spark):
+    cases = {
+        "http://u:p@Example.com/x": ("example.com", ""), "http://[::1]:81/x": ("[::1]", "81"),
+        "https://e.com:8080": ("e.com", "8080"), "e.com/a:1": ("e.com", ""),
+    }
+    df = spark.createDataFrame([(u,) for u in cases], "u string")
+    got = df.select("u", host_of(F.col("u")).alias("h"), port_of(F.col("u")).alias("p")).collect()
+    assert {r.u: (r.h, r.p) for r in got} == cases
+    assert df.filter("u LIKE '%Example%'").select(surt(F.col("u"))).first()[0] == "com,example)/x"
 
 
 def test_inner_star_is_refused():
@@ -125,6 +184,7 @@ def test_partial_and_whole_regex(index):
 
 
 def plan_of(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", 4000)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -132,14 +192,16 @@ def test_filters_reach_the_scan(index):
     df = find_captures(index, "http://e.com/*", statuscode=200, years=(2024, 2024), crawl_id="C1")
     plan = plan_of(df.select("url"))
     assert "PartitionFilters: [isnotnull(crawl_id" in plan and "(crawl_id#" in plan
-    for pushed in ("StringStartsWith(url,http://e.com/)", "StringStartsWith"):
+    for pushed in ("StringStartsWith(url,http://e.com/)", "StringStartsWith(urlkey,com,e))"):
         assert pushed in plan
-    schema = plan.split("ReadSchema: ")[1]
-    assert "mimetype" not in schema and "urlkey" not in schema
+    assert "mimetype" not in plan.split("ReadSchema: ")[1]
+    for bounded in (f.url_pattern("http://e.com/1", True), f.on_host("e.com", True), f.url_like("e.com/1%", True)):
+        assert "StringStartsWith(urlkey,com,e))" in plan_of(index.filter(bounded))
 
 
 def test_domain_filter_reaches_the_scan(index):
-    assert "PushedFilters: [Or(StringStartsWith(urlkey," in plan_of(index.filter(f.in_domain("e.com")))
+    plan = plan_of(index.filter(f.in_domain("e.com")))
+    assert all(f"StringStartsWith(urlkey,com,e{end})" in plan for end in ",):")
 
 
 def test_rank_limit_before_the_shuffle(index):

@@ -176,8 +176,8 @@ def test_retry_and_budget(stored, monkeypatch):
     monkeypatch.setattr(warc._Files, "_open", failing)
     monkeypatch.setattr(warc, "FIRST_DELAY_SECONDS", 0.001)
     error = warc._Files(folder, 3, 60).record(*spots["first"])[3]
-    assert len(calls) == 3 and error == "Failed after 3 retries: connection lost"
-    assert warc._Files(folder, 3, 0).record(*spots["first"])[3] == "Timeout after 0s (limit: 0s)"
+    assert len(calls) == 3 and error == "Not read in 3 attempts: connection lost"
+    assert warc._Files(folder, 3, 0).record(*spots["first"])[3] == "No time left: 0 of 0 seconds used"
 
 
 def test_retry_recovers(stored, monkeypatch):

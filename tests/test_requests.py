@@ -3,19 +3,20 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagestrata import overlap_join, plan_crawl_requests, plan_fetches, plan_requests
 
 TARGET = (
-    "url string, since timestamp, until timestamp, "
+    "url string, match string, since timestamp, until timestamp, "
     "filters array<struct<field:string,op:string,values:array<string>>>, collapse array<string>, "
     "max_rows long, skip long, newest boolean"
 )
 
 
-def plan(spark, url="example.com", since=None, until=None, filters=None, collapse=None, max_rows=10,
+def plan(spark, url="example.com", match=None, since=None, until=None, filters=None, collapse=None, max_rows=10,
          skip=None, newest=None):
-    row = (url, since, until, filters, collapse, max_rows, skip, newest)
+    row = (url, match, since, until, filters, collapse, max_rows, skip, newest)
     return plan_requests(spark.createDataFrame([row], TARGET)).first().cdx_url
 
 
@@ -29,8 +30,15 @@ def test_shape(spark):
 @pytest.mark.parametrize(
     "options, parts",
     [
-        ({"url": "example.com/%"}, ["url=example.com/*&"]),
-        ({"url": "%.example.com"}, ["url=*.example.com&"]),
+        ({"url": "example.com/%", "match": "like"}, ["url=example.com/*&"]),
+        ({"url": "%.example.com", "match": "like"}, ["url=*.example.com&"]),
+        ({"url": "https://x.org/foo_bar", "match": "like"}, ["url=https://x.org/foo_bar&"]),
+        ({"url": "https://x.org/foo_bar"}, ["url=https://x.org/foo_bar&"]),
+        ({"url": "https://x.org/a%20b"}, ["url=https://x.org/a%2520b&"]),
+        ({"url": "https://x.org/a", "match": "prefix"}, ["url=https://x.org/a*&"]),
+        ({"url": "https://x.org/?a=1&limit=9#x +"}, ["url=https://x.org/?a=1%26limit=9%23x%20%2B&output"]),
+        ({"filters": [("digest", "eq", ["a\\b&c"])]}, ["&filter=digest:a%5C%5Cb%26c"]),
+        ({"filters": [("urlkey", "like", ["a\\_b\\%_\\\\%"])]}, ["&filter=urlkey:^a_b%25.%5C%5C.*"]),
         ({"max_rows": 5}, ["&limit=5"]),
         ({"skip": 50}, ["&limit=10&offset=50"]),
         ({"newest": True}, ["&fastLatest=true&limit=-10"]),
@@ -87,7 +95,7 @@ def catalog(spark):
     ],
 )
 def test_crawls_of_a_target(spark, catalog, since, until, crawls):
-    row = ("example.com/%", since, until, [("statuscode", "eq", ["200"]), ("mimetype", "ne", ["a+b"])],
+    row = ("example.com/%", "like", since, until, [("statuscode", "eq", ["200"]), ("mimetype", "ne", ["a+b"])],
            None, 7, None, None)
     got = plan_crawl_requests(spark.createDataFrame([row], TARGET), catalog).orderBy("crawl_id").collect()
     assert [r.crawl_id for r in got] == crawls
@@ -98,6 +106,35 @@ def test_crawls_of_a_target(spark, catalog, since, until, crawls):
         assert r.cdx_url.endswith("&filter==status:200&filter=!=mime:a+b") and "&limit=7" in r.cdx_url
 
 
+def test_named_crawls_and_ties(spark):
+    day = dt.datetime(2024, 1, 1)
+    catalog = spark.createDataFrame([("A", day, day), ("C", day, day), ("B", day, day)], "id string, from_ts timestamp, to_ts timestamp")
+    rows = [("e.com/_", None, None, None, ["A", "B", "A"]), ("e.com/x", None, None, None, None), ("e.com/y", day, None, None, None)]
+    df = spark.createDataFrame(rows, "url string, since timestamp, until timestamp, match string, crawls array<string>")
+    df = df.selectExpr("*", "CAST(NULL AS array<struct<field:string,op:string,values:array<string>>>) AS filters", "1 AS max_rows")
+    got = sorted((r.url, r.crawl_id) for r in plan_crawl_requests(df, catalog).collect())
+    assert got == [("e.com/_", "A"), ("e.com/_", "B"), ("e.com/x", "C"), ("e.com/y", "A"), ("e.com/y", "B"), ("e.com/y", "C")]
+    like = df.limit(1).withColumn("match", F.lit("like"))
+    assert "url=e.com/?&" in plan_crawl_requests(like, catalog).first().cdx_url
+
+
+def test_spans_of_one_month_use_many_partitions(spark):
+    spans = spark.range(200_000).selectExpr("id", "timestamp'2024-01-05' AS lo", "timestamp'2024-01-06' AS hi")
+    catalog = spark.createDataFrame(CRAWLS, "id string, from_ts timestamp, to_ts timestamp").withColumnRenamed("id", "crawl")
+    # Partitions as small as these would be put together again, so that is turned off.
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        joined = overlap_join(spans, catalog).withColumn("p", F.spark_partition_id())
+        counts = [r["count"] for r in joined.groupBy("p").count().collect()]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sum(counts) == 200_000 and len(counts) >= 4 and max(counts) < 120_000
+
+
 def test_overlap_join_gives_each_pair_once(spark, catalog):
     import random
 

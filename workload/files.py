@@ -25,7 +25,7 @@ from pagestrata import (
 from pagestrata.functions.urls import compact_time
 from pagestrata.operators.bodies import attach_bodies
 from pagestrata.session import shared_folder
-from pagestrata.sources.files import file_system
+from pagestrata.sources.files import file_system, qualified
 from pagestrata.streaming.tail import append_to_table, tail_cdx
 from workload.derived import CATALOG, captures, crawl_catalog, table, with_captures
 from workload.registry import query
@@ -114,15 +114,14 @@ def write_cdxj(df: DataFrame, folder: str) -> None:
 SELECT url, "timestamp", concat(CASE WHEN capture_id % 20 = 0 THEN 'a"b/' ELSE '' END, mimetype)
     AS mimetype,
   CAST(CASE WHEN capture_id % 30 = 0 THEN 0 ELSE statuscode END AS INT) AS statuscode, digest,
-  'crawl/' || crawl_id || '.warc.gz' AS filename, capture_id AS "offset", length, crawl_id
-FROM captures WHERE crawl_id IN ('CC-MAIN-2020-18', 'CC-MAIN-2022-50')"""),
+  'crawl/' || crawl_id || '.warc.gz' AS filename, capture_id AS "offset", length, crawl_id,
+  "year", "month"
+FROM captures"""),
 )
 def crawl_index_files(spark, sf_dir):
     folder = shared_folder(spark)
     write_cdxj(captures(spark, sf_dir), folder)
-    found = read_cdxj(spark, folder).filter(
-        F.col("crawl_id").isin("CC-MAIN-2020-18", "CC-MAIN-2022-50")
-    )
+    found = read_cdxj(spark, folder)
     return found.withColumn("timestamp", naive("timestamp")).drop("urlkey")
 
 
@@ -153,16 +152,12 @@ def crawl_catalog_file(spark, sf_dir):
 @query(
     "index_table",
     with_captures("""
-SELECT capture_id, url, urlkey, "timestamp", statuscode, crawl_id FROM captures
-WHERE crawl_id = 'CC-MAIN-2021-34' AND urlkey LIKE 'com,example,%'"""),
+SELECT capture_id, url, urlkey, "timestamp", statuscode, crawl_id FROM captures"""),
 )
 def index_table(spark, sf_dir):
     folder = shared_folder(spark)
     to_index_table(captures(spark, sf_dir), folder)
-    found = read_index_table(spark, folder).filter(
-        (F.col("crawl_id") == "CC-MAIN-2021-34") & F.col("urlkey").startswith("com,example,")
-    )
-    return found.select("capture_id", "url", "urlkey", "timestamp", "statuscode", "crawl_id")
+    return read_index_table(spark, folder).select("capture_id", "url", "urlkey", "timestamp", "statuscode", "crawl_id")
 
 
 @query(
@@ -205,23 +200,23 @@ def csv_export(spark, sf_dir):
     "body_export",
     with_captures("""
 SELECT DISTINCT p.url, md5(p.html) AS hash, octet_length(encode(p.html)) AS bytes
-FROM captures c JOIN pages p USING (page_id) WHERE c.statuscode = 404"""),
+FROM captures c JOIN pages p USING (page_id)"""),
 )
 def body_export(spark, sf_dir):
-    """One body per URL that was ever gone, written as objects and read back."""
+    """The body of every capture, written as objects and read back."""
     folder = shared_folder(spark)
-    gone = captures(spark, sf_dir).filter("statuscode = 404")
+    found = captures(spark, sf_dir)
     pages = table(spark, sf_dir, "pages")
-    store = gone.select("url", "timestamp", "page_id").distinct().join(
+    store = found.select("url", "timestamp", "page_id").distinct().join(
         pages.select("page_id", F.col("html").alias("body")), "page_id"
     )
-    manifest = export_bodies(attach_bodies(gone, store.drop("page_id")), folder)
+    manifest = export_bodies(attach_bodies(found, store.drop("page_id")), folder)
     objects = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     named = objects.load(f"{folder}/objects").select(
         F.substring_index("path", "/", -1).alias("name"), "content"
     )
-    found = manifest.withColumn("name", F.substring_index("path", "/", -1)).join(named, "name")
-    return found.select("url", F.md5("content").alias("hash"), "bytes").distinct()
+    written = manifest.withColumn("name", F.substring_index("path", "/", -1)).join(named, "name")
+    return written.select("url", F.md5("content").alias("hash"), "bytes").distinct()
 
 
 def write_records(pages: DataFrame, folder: str) -> DataFrame:
@@ -230,7 +225,7 @@ def write_records(pages: DataFrame, folder: str) -> DataFrame:
     """
     schema = "page_id long, url string, filename string, offset long, length long"
     written = pages.select("page_id", "url", "html").mapInArrow(
-        _record_writer(f"{folder}/records"), schema
+        _record_writer(qualified(pages.sparkSession, f"{folder}/records")), schema
     )
     # Written once, so that the pointers always match the files of the same attempt.
     written.write.parquet(f"{folder}/pointers")

@@ -31,9 +31,9 @@ def url_exact(spark, sf_dir):
     return captures(spark, sf_dir).filter(F.col("url") == wanted).select(*SHOWN)
 
 
-_filtered("url_prefix", lambda d: f.url_pattern("https://blog.%"), "url LIKE 'https://blog.%'")
-_filtered("url_suffix", lambda d: f.url_pattern("%.html"), "url LIKE '%.html'")
-_filtered("url_contains", lambda d: f.url_pattern("%/en/%"), "url LIKE '%/en/%'")
+_filtered("url_prefix", lambda d: f.url_pattern("https://blog.*"), "url LIKE 'https://blog.%'")
+_filtered("url_suffix", lambda d: f.url_like("%.html"), "url LIKE '%.html'")
+_filtered("url_contains", lambda d: f.url_like("%/en/%"), "url LIKE '%/en/%'")
 _filtered("url_like", lambda d: f.like("url", "http_://%.example.___/en/%"),
           "url LIKE 'http_://%.example.___/en/%'")
 _filtered("url_on_host", lambda d: f.on_host("blog.tionsh.example.net"),
@@ -58,12 +58,25 @@ _filtered("url_not_matches", lambda d: ~f.matches("url", "utm_source"),
           "NOT regexp_matches(url, 'utm_source')")
 _filtered("url_not_contains", lambda d: ~d.url.contains("example.org"),
           "NOT contains(url, 'example.org')")
-_filtered("url_not_equal", lambda d: d.url != "https://example.com/", "url <> 'https://example.com/'")
+_filtered("url_like_without_scheme", lambda d: f.url_like("blog.tionsh.example.net/en/%", keyed=True),
+          "url LIKE 'http://blog.tionsh.example.net/en/%' "
+          "OR url LIKE 'https://blog.tionsh.example.net/en/%'")
+
+
+@query(
+    "url_not_equal",
+    with_captures(f"SELECT {_COLUMNS} FROM captures WHERE url <> (SELECT max(url) FROM pages)"),
+)
+def url_not_equal(spark, sf_dir):
+    other = table(spark, sf_dir, "pages").agg(F.max("url")).scalar()
+    return captures(spark, sf_dir).filter(F.col("url") != other).select(*SHOWN)
+
+
 
 _filtered("urlkey_like", lambda d: f.like("urlkey", "net,example,%)/en%"),
           "urlkey LIKE 'net,example,%)/en%'")
-_filtered("statuscode_like", lambda d: f.like("statuscode", "_0_"),
-          "CAST(statuscode AS VARCHAR) LIKE '_0_'")
+_filtered("statuscode_like", lambda d: f.like("statuscode", "_01"),
+          "CAST(statuscode AS VARCHAR) LIKE '_01'")
 _filtered("mimetype_not_like", lambda d: ~f.like("mimetype", "text/%"),
           "mimetype NOT LIKE 'text/%'")
 _filtered("urlkey_prefix", lambda d: d.urlkey.startswith("com,example,"),
@@ -102,8 +115,28 @@ _filtered("time_between", lambda d: f.time_range(d, "2021-01-10 10:00:00", "2022
 _filtered("year_equal", lambda d: f.year_range(d, 2021, 2021), "\"year\" = 2021")
 _filtered("year_from", lambda d: f.year_range(d, first=2023), "\"year\" >= 2023")
 _filtered("year_below", lambda d: f.year_range(d, last=2019), "\"year\" < 2020")
-_filtered("null_tests", lambda d: d.url.isNotNull() & ~d.urlkey.isNull(),
-          "url IS NOT NULL AND urlkey IS NOT NULL")
+
+
+@query(
+    "null_tests",
+    with_captures("""
+SELECT capture_id, nullif(mimetype, 'application/pdf') IS NULL AS no_type,
+  nullif(statuscode, 404) IS NOT NULL AS has_status FROM captures
+WHERE nullif(mimetype, 'application/pdf') IS NULL OR nullif(statuscode, 404) IS NOT NULL"""),
+)
+def null_tests(spark, sf_dir):
+    """Media types and statuses that are really missing."""
+    df = captures(spark, sf_dir).select(
+        "capture_id",
+        F.nullif("mimetype", F.lit("application/pdf")).alias("mimetype"),
+        F.nullif("statuscode", F.lit(404)).alias("statuscode"),
+    )
+    no_type, has_status = F.col("mimetype").isNull(), F.col("statuscode").isNotNull()
+    return df.filter(no_type | has_status).select(
+        "capture_id", no_type.alias("no_type"), has_status.alias("has_status")
+    )
+
+
 _filtered("crawl_in", lambda d: f.one_of("crawl_id", ["CC-MAIN-2020-18", "CC-MAIN-2023-50"]),
           "crawl_id IN ('CC-MAIN-2020-18', 'CC-MAIN-2023-50')")
 

@@ -57,7 +57,7 @@ _distinct("distinct_on_url", ["url"], "url")
 _distinct("distinct_on_url_year_month", ["url", "year", "month"], 'url, "year", "month"')
 _distinct("distinct_on_digest_status", ["digest", "statuscode"], "digest, statuscode")
 _distinct("distinct_on_length", ["length"], "length")
-_distinct("distinct_on_timestamp", ["timestamp"], '"timestamp"')
+_distinct("distinct_on_timestamp", ["timestamp:12"], "strftime(\"timestamp\", '%Y%m%d%H%M')")
 _distinct("distinct_on_mimetype", ["mimetype"], "mimetype")
 _distinct("distinct_on_urlkey_prefix", ["urlkey:18"], "substring(urlkey, 1, 18)")
 _distinct("distinct_on_day", ["timestamp:8"], "strftime(\"timestamp\", '%Y%m%d')")
@@ -167,9 +167,9 @@ _top("collapsed_page",
 _top("cap_per_crawl", lambda d: cap_per_crawl(d, 20),
      f"""SELECT *, row_number() OVER (PARTITION BY crawl_id ORDER BY {_ORDER}) AS rn
          FROM captures QUALIFY rn <= 20""", ("capture_id", "url", "crawl_id"))
-_top("cap_per_crawl_large", lambda d: cap_per_crawl(d, 1500),
+_top("cap_per_crawl_large", lambda d: cap_per_crawl(d, 300),
      f"""SELECT *, row_number() OVER (PARTITION BY crawl_id ORDER BY {_ORDER}) AS rn
-         FROM captures QUALIFY rn <= 1500""", ("capture_id", "url", "crawl_id"))
+         FROM captures QUALIFY rn <= 300""", ("capture_id", "url", "crawl_id"))
 _top("cap_per_crawl_by_ranges",
      lambda d: rank_at_most(d, ["crawl_id"], index_order(d), 250, rows_per_range=SMALL_RANGE),
      f"""SELECT *, row_number() OVER (PARTITION BY crawl_id ORDER BY {_ORDER}) AS rn

@@ -106,7 +106,7 @@ def gaps_in_ranges(spark, sf_dir):
 )
 def ordered_by_time(spark, sf_dir):
     found = captures(spark, sf_dir).filter("statuscode = 404")
-    return found.select("url", "timestamp", "statuscode").orderBy(F.desc("timestamp"))
+    return found.select("url", "timestamp", "statuscode").orderBy(F.desc("timestamp"), "url")
 
 
 @query(
@@ -347,6 +347,7 @@ def _targets(spark, sf_dir):
     return pages.select(
         "page_id",
         F.concat("url", F.when(n % 5 == 0, "%").otherwise("")).alias("url"),
+        F.when(n % 5 == 0, "like").when(n % 5 == 1, "prefix").when(n % 5 == 2, "exact").alias("match"),
         start.alias("since"),
         F.when(n % 3 > 1, start + F.expr("INTERVAL 200 DAY")).alias("until"),
         by_kind.alias("filters"),
@@ -360,8 +361,12 @@ def _targets(spark, sf_dir):
 # Wildcard, time bounds and conditions of the targets, per page.
 _TARGETS = """
 targets AS (
-  SELECT page_id, replace(replace(
-      url || CASE WHEN page_id % 5 = 0 THEN '%' ELSE '' END, '%', '*'), '_', '?') AS pattern,
+  SELECT page_id, CASE WHEN page_id % 5 = 0
+      THEN replace(replace(replace(url, '%', '*'), '&', '%26'), '#', '%23') || '*'
+      ELSE replace(replace(replace(replace(replace(
+        url, '%', '%25'), '&', '%26'), '#', '%23'), '+', '%2B'), ' ', '%20')
+        || CASE WHEN page_id % 5 = 1 THEN '*' ELSE '' END END AS asked,
+    CASE WHEN page_id % 5 = 0 THEN replace(asked, '_', '?') ELSE asked END AS crawl_asked,
     CASE WHEN page_id % 3 > 0 THEN make_timestamp(2019 + page_id % 6, 10, 10, 0, 0, 0.0) END AS since,
     10 + page_id % 90 AS max_rows FROM pages
 ),
@@ -377,7 +382,7 @@ bounded AS (
 @query(
     "request_plan",
     f"""WITH {_TARGETS}
-SELECT page_id, 'https://web.archive.org/cdx/search/cdx?url=' || pattern ||
+SELECT page_id, 'https://web.archive.org/cdx/search/cdx?url=' || asked ||
   '&output=csv&fl=urlkey,timestamp,original,mimetype,statuscode,digest,length' || bounds ||
   CASE WHEN page_id % 11 = 0 THEN '&fastLatest=true&limit=-' ELSE '&limit=' END || max_rows ||
   CASE WHEN page_id % 2 = 1 THEN '&offset=50' ELSE '' END ||
@@ -396,7 +401,7 @@ def request_plan(spark, sf_dir):
     with_captures(
         """
 SELECT page_id, c.id AS crawl_id, 'https://index.commoncrawl.org/' || c.id || '-index?url=' ||
-  pattern || '&output=json&fl=url,timestamp,mime,status,digest,filename,offset,length&limit=' ||
+  crawl_asked || '&output=json&fl=url,timestamp,mime,status,digest,filename,offset,length&limit=' ||
   max_rows || bounds ||
   CASE page_id % 4 WHEN 0 THEN '&filter==status:200'
     WHEN 1 THEN '&filter=~status:(200|301)&filter=!=mime:application/xhtml+xml'
