@@ -41,31 +41,41 @@ def parse(formatted: Column) -> Column:
     turns leave ``4 n + 1`` pieces, of which each turn's second is the role, the third the
     text between two blanks, the fourth empty, and the fifth a line feed.
     """
-    pieces = F.split(formatted, CONTROL, -1)
     marks = F.regexp_extract_all(formatted, F.lit(CONTROL), F.lit(0))
+    cut = F.struct(F.split(formatted, CONTROL, -1).alias("pieces"), marks.alias("marks"))
+    return _once(cut, lambda c: _turns(c["pieces"], c["marks"]))
+
+
+def _turns(pieces: Column, marks: Column) -> Column:
     n = F.floor(F.size(marks) / 4).cast("int")
-    expected = F.array_repeat(F.lit("".join(TURN_MARKS)), n)
+    number = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    expected = F.array_join(F.array_repeat(F.lit("".join(TURN_MARKS)), n), "")
+
+    def sound(i: Column) -> Column:
+        text = F.get(pieces, i * 4 + 2)
+        return (
+            (F.length(text) >= 2) & text.startswith(" ") & text.endswith(" ")
+            & (F.get(pieces, i * 4 + 3) == "") & (F.get(pieces, i * 4 + 4) == "\n")
+        )
+
+    whole = (
+        (F.get(pieces, F.lit(0)) == "") & (F.array_join(marks, "") == expected) & F.forall(number, sound)
+    )
     turns = F.transform(
-        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")),
+        number,
         lambda i: F.struct(
             unescape(F.get(pieces, i * 4 + 1)).alias("role"),
             unescape(_between_blanks(F.get(pieces, i * 4 + 2))).alias("text"),
         ),
     )
-    # Put together again, the turns must give the text, down to every blank and line feed.
-    again = F.array_join(
-        F.transform(
-            F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")),
-            lambda i: render(
-                F.get(pieces, i * 4 + 1), _between_blanks(F.get(pieces, i * 4 + 2))
-            ),
-        ),
-        "",
-    )
-    whole = (F.array_join(marks, "") == F.array_join(expected, "")) & (again == formatted)
     return F.when(whole, turns)
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _between_blanks(piece: Column) -> Column:
     return F.substring(piece, F.lit(2), F.length(piece) - 2)
 
@@ -93,12 +103,12 @@ def format_chats(
         F.coalesce(F.col("role"), F.lit("")).alias("role"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    raw = render(F.col("role"), F.col("text"))
-    same = _comes_back(raw)
-    rendered = F.when(same, raw).otherwise(render(escape(F.col("role")), escape(F.col("text"))))
-    turns = turns.withColumn("_turn", rendered).withColumn(
-        "_head", F.length(F.when(same, F.col("role")).otherwise(escape(F.col("role")))) + len(OPEN + BEGIN) + 1
-    )
+    # An array of one, exploded, is a column that is computed once for all its uses.
+    comes_back = F.explode(F.array(_comes_back(render(F.col("role"), F.col("text")))))
+    turns = turns.select("*", comes_back.alias("_same"))
+    role, text = (F.when(F.col("_same"), F.col(c)).otherwise(escape(F.col(c))) for c in ("role", "text"))
+    turns = turns.select("conv_id", "turn", "role", "text", role.alias("_role"), render(role, text).alias("_turn"))
+    turns = turns.withColumn("_head", F.length("_role") + len(f"{OPEN}{BEGIN} ")).drop("_role")
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     turns = turns.withColumn("_n", F.row_number().over(order)).withColumn(
@@ -114,7 +124,8 @@ def format_chats(
         ).alias("_turns")
     )
     formatted = F.array_join(F.transform("_turns", lambda t: t["_turn"]), "")
-    chats = chats.withColumn("formatted", formatted).withColumn("_read", parse(F.col("formatted")))
+    chats = chats.select("*", F.explode(F.array(formatted)).alias("formatted"))
+    chats = chats.select("*", F.explode(F.array(parse(F.col("formatted")))).alias("_read"))
     source = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     lost = F.raise_error(F.concat(F.lit("not read back: conversation "), F.col("conv_id").cast("string")))
     return chats.select(
@@ -141,7 +152,13 @@ def chat_digests(chats: DataFrame, trained: tuple[str, ...] = ("assistant",)) ->
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(texts, ""), 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
+        F.explode(F.array(loss)).alias("loss"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+    ).select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
     )
