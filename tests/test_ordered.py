@@ -35,6 +35,37 @@ def test_ranges_follow_the_order_and_split_hot_keys(index, size):
     assert largest < max(60, 6 * size)
 
 
+def test_wide_rows_share_a_range_with_fewer_others(spark):
+    df = spark.range(600).select(F.col("id").alias("k"), F.struct(F.repeat(F.lit("x"), 20_000).cast("binary").alias("body")).alias("response"))
+    ranges = with_range(df, ["k"], bytes_per_range=1 << 20).select(RANGE).distinct().count()
+    assert 6 <= ranges <= 24
+    assert with_range(df.select("k"), ["k"]).select(RANGE).distinct().count() == 1
+
+
+def test_empty_and_one_row(spark):
+    for n in (0, 1):
+        df = spark.range(n).select(F.col("id").alias("k"))
+        assert with_range(df, ["k"]).count() == n
+        assert with_neighbour(df, ["k"], F.col("k"), "near").count() == n
+
+
+def test_collapse_plans_grow_with_the_number_of_passes(index):
+    def windows(fields):
+        plan = collapse_adjacent(index, fields)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Window [")
+
+    assert windows(["digest", "statuscode", "mimetype", "timestamp:8"]) == windows(["digest"])
+
+
+def test_as_of_joins_wide_columns_afterwards(spark, index):
+    body = F.struct(F.concat(F.lit("body "), "capture_id").cast("binary").alias("body"))
+    df = index.withColumn("response", body)
+    asked = index.filter("url IS NOT NULL AND timestamp IS NOT NULL").select("url", F.col("timestamp").alias("at"), F.col("capture_id").alias("q"))
+    slim = {r.q: r.capture.capture_id for r in as_of(index, asked, rows_per_range=50).collect()}
+    wide = {r.q: (r.capture.capture_id, bytes(r.capture.response.body)) for r in as_of(df, asked, rows_per_range=50).collect()}
+    assert wide == {q: (c, f"body {c}".encode()) for q, c in slim.items()}
+
+
 @pytest.mark.parametrize("size", SIZES)
 @pytest.mark.parametrize("step", [-1, 1])
 def test_neighbour(index, size, step):

@@ -31,10 +31,10 @@ def test_compact_time(spark):
 
 
 def test_iso_time(spark):
-    texts = ["2025-11-06T20:07:18", "2025-11-06T20:07:18.123Z", "2025-11-06", "x", None]
-    assert evaluate(spark, r.parse_iso_time, texts) == [
-        dt.datetime(2025, 11, 6, 20, 7, 18), dt.datetime(2025, 11, 6, 20, 7, 18), EPOCH, EPOCH, EPOCH,
-    ]
+    at = dt.datetime(2025, 11, 6, 20, 7, 18)
+    texts = ["2025-11-06T20:07:18", "2025-11-06T20:07:18.123Z", "2025-11-06T22:07:18+02:00",
+             "2025-11-06T18:37:18.5-0130", "2025-11-06T21:07:18+01", "2025-11-06", "x", None]
+    assert evaluate(spark, r.parse_iso_time, texts) == [at, at, at, at, at, EPOCH, EPOCH, EPOCH]
 
 
 def test_numbers(spark):
@@ -90,6 +90,7 @@ def stored(spark):
         "newlines": record(b"one\n\ntwo", gap=b"\n"),
         "no_length": record(b"text", length=False),
         "empty": record(b""),
+        "short": gzip.compress(gzip.decompress(record(b"all of it"))[:-10]),
         "no_http": gzip.compress(b"WARC/1.0\r\nWARC-Type: metadata\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"),
         "no_head": gzip.compress(b"nothing here"),
         "not_gzip": b"WARC/1.0 plain bytes, not a gzip member",
@@ -137,13 +138,22 @@ def test_fetch_other_line_ends_and_no_length(spark, stored):
 def test_fetch_errors_stay_with_their_row(spark, stored):
     rows = fetched(spark, *stored)
     errors = {name: row.response.error for name, row in rows.items()}
-    bad = {"no_http", "no_head", "not_gzip", "truncated", "missing_file", "beyond_end", "no_name", "zero_length"}
+    bad = {"short", "no_http", "no_head", "not_gzip", "truncated", "missing_file", "beyond_end", "no_name", "zero_length"}
     assert {name for name, error in errors.items() if error} == bad
     assert "truncated" in errors["truncated"] and "gone.warc.gz" in errors["missing_file"]
     assert all(rows[name].response.body is None for name in bad)
     assert rows["no_http"].warc.headers["WARC-Type"] == "metadata"
 
 
+def test_small_pointers_are_read_by_many_tasks(spark, stored):
+    spots, folder = stored
+    name, offset, length = spots["first"]
+    df = spark.range(2500).select("id", F.lit(name).alias("filename"), F.lit(offset).alias("offset"), F.lit(length).alias("length"))
+    read = fetch_records(df, folder).withColumn("task", F.spark_partition_id())
+    counts = [r["count"] for r in read.filter("response.error IS NULL").groupBy("task").count().collect()]
+    assert sum(counts) == 2500 and len(counts) >= 8
+
+
 def test_fetch_many_pointers_to_one_record(spark, stored):
     spots, folder = stored
     many = {f"copy{i}": spots["first"] for i in range(500)} | {"binary": spots["binary"]}

@@ -74,6 +74,19 @@ def test_large_pages_agree_with_small_ones(index, monkeypatch):
     assert ids(take_ordered(index, order, 90, 30, rows_per_range=25)) == small
 
 
+@pytest.mark.parametrize("n", [topk.TOP_K_ROWS, topk.TOP_K_ROWS + 1])
+def test_limits_agree_at_the_border(index, n):
+    assert ids(page(index, n - 3, 3)) == [r[0] for r in in_order(ROWS)][3:n]
+
+
+@pytest.mark.parametrize("n", [topk.PRUNED_RANK, topk.PRUNED_RANK + 1])
+def test_caps_agree_at_the_border(index, n):
+    want = []
+    for crawl in {r[4] for r in ROWS}:
+        want += [r[0] for r in in_order([r for r in ROWS if r[4] == crawl])][:n]
+    assert sorted(ids(cap_per_crawl(index, n))) == sorted(want)
+
+
 def test_latest_takes_the_newest(index):
     want = sorted(ROWS, key=lambda r: sort_key(r[3], r[0]), reverse=True)[:6]
     assert ids(latest(index, 6)) == [r[0] for r in want]

@@ -145,6 +145,21 @@ def test_bodies(spark):
     assert bytes(got[1].body) == "x\0é".encode() and got[4].body is None
 
 
+def test_one_body_for_each_snapshot_and_only_those_asked_for(spark):
+    at = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("u1", at, 1), ("u2", at, 2)], BODY)
+    rows = [("u1", at, "b"), ("u1", at, "a"), ("u2", at, "c")] + [(f"x{i}", at, "no") for i in range(500)]
+    folder = shared_folder(spark)
+    spark.createDataFrame(rows, "url string, timestamp timestamp, body string").write.parquet(folder)
+    joined = attach_bodies(df, spark.read.parquet(folder))
+    got = {r.n: bytes(r.response.body) for r in joined.collect()}
+    assert got == {1: b"a", 2: b"c"}
+    # The join on the wanted keys stands below the first shuffle of the store.
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    store = plan[: plan.index(folder.rsplit("/", 1)[-1])]
+    assert store.rindex("LeftSemi") > store.rindex("Exchange hashpartitioning")
+
+
 def test_exports(spark):
     folder = shared_folder(spark)
     at = dt.datetime(2024, 1, 1)
