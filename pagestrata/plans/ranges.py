@@ -22,7 +22,7 @@ MEASURED_ROWS = 1000
 # Split points travel in the plan, so there are no more than this. Beyond it (6.5 billion
 # rows) a range grows in proportion; its task sorts on disk.
 MAX_RANGES = 1 << 16
-SAMPLES_PER_RANGE = 4
+SAMPLES_PER_RANGE = 16
 # Characters of a text that a split point keeps; a cut costs balance only.
 SPLIT_CHARS = 200
 # Split points are searched in two stages: the block, then the place in the block.
