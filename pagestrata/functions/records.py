@@ -56,8 +56,11 @@ def header_map(block: Column) -> Column:
     with its values joined by ``", "``; names are case-sensitive."""
     lines = F.filter(F.split(block, r"\r?\n"), lambda line, i: (i > 0) & line.contains(": "))
     pairs = F.transform(
-        F.transform(lines, lambda line: F.split(line, ": ", 2)),
-        lambda p: F.struct(p[0].alias("name"), p[1].alias("value")),
+        lines,
+        lambda line: F.struct(
+            F.substring_index(line, ": ", 1).alias("name"),
+            F.substring(line, F.instr(line, ": ") + 2, F.length(line)).alias("value"),
+        ),
     )
     return _once(
         pairs, lambda p: _once(F.array_distinct(p["name"]), lambda names: _joined(p, names))
