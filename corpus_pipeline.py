@@ -16,6 +16,9 @@ from pagestrata.llm.tokens import token_digests, write_token_files
 MIN_SCORE = 0.35
 #: Documents of this similarity (in percent, by 5-word shingles) or more are one.
 SIMILAR = 80
+#: Pieces of text whose ids a task remembers: few, as executors still hold the memory that the
+#: stages before have taken.
+REMEMBERED = 1 << 18
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -41,7 +44,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the order of ids, read back: a digest of each document."""
-    return token_digests(write_token_files(docs, TOKENIZER))
+    return token_digests(write_token_files(docs, TOKENIZER, remembered=REMEMBERED))
 
 
 STAGES = [

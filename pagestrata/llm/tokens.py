@@ -40,17 +40,21 @@ PERCENTILE = 99
 SHARD_BYTES = 64 << 20
 #: Characters that a task encodes at a time, and pieces of text whose ids it remembers.
 CHUNK_CHARS = 4 << 20
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 END_ID = 0
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer_path: str, root: str | None = None, shard_bytes: int = SHARD_BYTES
+    docs: DataFrame,
+    tokenizer_path: str,
+    root: str | None = None,
+    shard_bytes: int = SHARD_BYTES,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Write the ids of ``docs`` (``doc_id``, ``text``) below ``root`` by ascending ``doc_id``.
 
-    ``tokenizer_path`` is read on the driver and sent to the tasks (some megabytes). Every
-    document ends with id 0. Documents are range-partitioned by id; a task encodes its
+    ``tokenizer_path`` is read on the driver and sent to the tasks (some megabytes), each of
+    which remembers the ids of ``remembered`` pieces of text (some 200 bytes each). Every document ends with id 0. Documents are range-partitioned by id; a task encodes its
     range and writes one file, under a name of its attempt first. Returns the manifest
     (``shard``, ``path``, ``n_docs``, ``n_ids``, ``start``: the ids in all files before).
 
@@ -67,7 +71,7 @@ def write_token_files(
     shards = max(1, -(-total // shard_bytes))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(tokenizer.value)
+        encode = Encoder(tokenizer.value, remembered)
         task = TaskContext.get()
         shard = task.partitionId()
         files, folder = file_system(root)
@@ -175,12 +179,13 @@ class Encoder:
 
     STOPS = ".,;:!?"
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.known: dict[str, bytes] = {}
+        self.remembered = remembered
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts with an end id after each, and the number of ids of each."""
@@ -235,7 +240,7 @@ class Encoder:
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         known = self.known
-        if len(known) > REMEMBERED:
+        if len(known) > self.remembered:
             known.clear()
         missing = [p for p in pieces if p not in known]
         words = [p.rstrip(self.STOPS) for p in missing]
@@ -249,18 +254,6 @@ class Encoder:
         return [known[p] if p in known else stopped[p] for p in pieces]
 
 
-def _encoder(definition: str) -> Encoder:
-    """The worker process's encoder. Task functions are unpickled anew for each task, so
-    what is to outlive a task hangs on a module that is imported."""
-    import tokenizers
-
-    kept = vars(tokenizers).setdefault("_encoders", {})
-    if definition not in kept:
-        kept.clear()
-        kept[definition] = Encoder(definition)
-    return kept[definition]
-
-
 def _bytes(ids: list[int]) -> bytes:
     return array.array("I", ids).tobytes()
 

@@ -11,7 +11,6 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from helpers import documents, empty, prose, rows, with_clashes
-from pagestrata.llm import tokens
 from pagestrata.llm.tokens import (
     Encoder, Reader, Writer, pack_block, read_token_files, token_digests, unpack_block, write_token_files,
 )
@@ -103,9 +102,8 @@ def test_empty_and_clashing(spark):
     assert token_digests(write_token_files(empty(spark, df.schema), PATH)).count() == 0
 
 
-def test_forgetting_pieces(library, monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+def test_forgetting_pieces(library):
     with open(PATH, encoding="utf-8") as f:
-        encode = Encoder(f.read())
+        encode = Encoder(f.read(), 3)
     for text in ("a b c d e f", "g h, i. a b", "a b c!"):
         assert encode(pa.array([text]))[0].tolist() == ids_of(library, text)
