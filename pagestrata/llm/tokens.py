@@ -40,7 +40,7 @@ PERCENTILE = 99
 SHARD_BYTES = 64 << 20
 #: Characters that a task encodes at a time, and pieces of text whose ids it remembers.
 CHUNK_CHARS = 4 << 20
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 END_ID = 0
 
 
@@ -50,11 +50,13 @@ def write_token_files(
     root: str | None = None,
     shard_bytes: int = SHARD_BYTES,
     remembered: int = REMEMBERED,
+    lasting: bool = False,
 ) -> DataFrame:
     """Write the ids of ``docs`` (``doc_id``, ``text``) below ``root`` by ascending ``doc_id``.
 
     ``tokenizer_path`` is read on the driver and sent to the tasks (some megabytes), each of
-    which remembers the ids of ``remembered`` pieces of text (some 200 bytes each). Every document ends with id 0. Documents are range-partitioned by id; a task encodes its
+    which remembers the ids of ``remembered`` pieces of text (some 200 bytes each); with
+    ``lasting``, worker processes keep them for their next tasks, of any kind. Every document ends with id 0. Documents are range-partitioned by id; a task encodes its
     range and writes one file, under a name of its attempt first. Returns the manifest
     (``shard``, ``path``, ``n_docs``, ``n_ids``, ``start``: the ids in all files before).
 
@@ -71,7 +73,8 @@ def write_token_files(
     shards = max(1, -(-total // shard_bytes))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer.value, remembered)
+        make = _lasting_encoder if lasting else Encoder
+        encode = make(tokenizer.value, remembered)
         task = TaskContext.get()
         shard = task.partitionId()
         files, folder = file_system(root)
@@ -254,6 +257,18 @@ class Encoder:
         return [known[p] if p in known else stopped[p] for p in pieces]
 
 
+def _lasting_encoder(definition: str, remembered: int) -> Encoder:
+    """The worker process's encoder. Task functions are unpickled anew for each task, so
+    what is to outlive a task hangs on a module that is imported."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_encoders", {})
+    if (definition, remembered) not in kept:
+        kept.clear()
+        kept[definition, remembered] = Encoder(definition, remembered)
+    return kept[definition, remembered]
+
+
 def _bytes(ids: list[int]) -> bytes:
     return array.array("I", ids).tobytes()
 

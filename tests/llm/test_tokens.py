@@ -82,7 +82,7 @@ def test_digests_against_the_library(spark, library):
     rng = random.Random(5)
     docs = [(i * 37 % 301, prose(rng, rng.randrange(60))) for i in range(301)]
     docs += [(None, "no id"), (400, None), (401, ""), (402, "same"), (402, "same"), (403, prose(rng, 30_000))]
-    manifest = write_token_files(documents(spark, docs), PATH, shard_bytes=20_000)
+    manifest = write_token_files(documents(spark, docs), PATH, shard_bytes=20_000, lasting=True)
     assert manifest.count() > 5
     found = token_digests(manifest).collect()
     order = sorted(docs, key=lambda d: (d[0] is not None, d[0]))
