@@ -75,13 +75,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
     ``text``), with the values of the item or with others.
 
     Returns a row per row of ``docs`` and item found in it: ``doc_id``, ``row`` (``xxhash64``
-    of its text), ``item_id``, ``n_words`` (the longest run), ``verbatim`` (whether a run has
-    the item's own values).
+    of its text), ``item_id``, ``n_words`` (the longest run), ``verbatim`` (whether a stretch
+    long enough has the item's own values).
 
     Numbers, names and units become typed placeholders. An item is found where ``run``
     template words in a row (or all but one, if it has fewer) agree and the slots are consistent:
     within the run, equal values of the item are equal values in the document and unequal
-    ones unequal. ``LITERAL`` of the words needed must be literal words.
+    ones unequal. ``LITERAL`` of the words needed must be literal words. Where slots of a run are
+    not consistent, a stretch of it that is long enough and has the item's own values is found
+    all the same.
 
     All documents are cut into consecutive windows, those of items start at every word;
     a run always holds one such window whole. Only the windows' hashes meet all documents; those
@@ -144,13 +146,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
         F.size(F.array_distinct("slots.there")) == mapped
     )
     literal = F.col("n") - F.size("slots") >= F.ceil(F.col("needed") * LITERAL)
+    runs = runs.withColumn("own", _own_words()).withColumn("whole", consistent & literal)
     return (
-        runs.filter(consistent & literal)
+        runs.filter(F.col("whole") | (F.col("own") >= F.col("needed")) & literal)
         .groupBy("doc_id", "row", "item_id")
-        .agg(F.max("n").alias("n_words"), F.bool_or(F.col("here") == F.col("there")).alias("verbatim"))
+        .agg(
+            F.max(F.when(F.col("whole"), F.col("n")).otherwise(F.col("own"))).alias("n_words"),
+            F.bool_or(F.col("own") >= F.col("needed")).alias("verbatim"),
+        )
     )
 
 
+def _own_words() -> Column:
+    """The longest stretch of a run (``here``, ``there``) with the item's own values."""
+    same = F.zip_with("here", "there", lambda a, b: F.when(a == b, "w").otherwise("-"))
+    stretches = F.split(F.array_join(same, ""), "-+")
+    return F.array_max(F.transform(stretches, F.length)).cast("long")
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFrame:
     """``docs`` without the rows in which an item is found."""
     leaks = find_leaks(docs, benchmark, run).select("doc_id", "row").distinct()

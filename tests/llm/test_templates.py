@@ -42,6 +42,12 @@ def test_inconsistent_slots_are_another_question(spark):
     assert found(spark, [(1, OTHER.replace("Dave", "Carol"))], ITEM) == []
 
 
+def test_copied_stretch_beside_a_broken_slot(spark):
+    tail = " It " + " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(30)) + "."
+    changed = (ITEM + tail).replace("60 seats", "75 seats")
+    assert found(spark, [(1, FILLER + changed), (2, BROKEN)], ITEM + tail) == [(1, 0, True)]
+
+
 def test_runs_at_every_offset(spark):
     words = [f"word{chr(97 + i)}" for i in range(26)]
     item = " ".join(words)
