@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagestrata.llm.common import if_few, stored
 
-#: A leak is a run of so many template words; of an item with fewer, all but one.
+#: A leak is a run of so many words; of an item with fewer, all but one.
 RUN = 13
 #: Words of a window. Every run of 2 * WINDOW - 1 words holds one that starts at a multiple.
 WINDOW = 5
 SHORTEST = 2 * WINDOW - 1
-#: Share of a run's words that must be literal, so that tables of numbers are no leaks.
+#: Share of the words of a run with other values that must be literal, so that tables of
+#: numbers are no leaks.
 LITERAL = 0.6
 
 # Placeholders are characters for private use, which are taken out of texts before.
@@ -32,6 +35,7 @@ _OTHERS = rf"(?<![{NUMBER}\d.,:/])({_NUMERAL})"
 _SLOTS = rf"{NUMBER}[\d.,:/]*\d|{NAME}[\p{{L}}\p{{M}}]+|{UNIT}(?:\p{{L}}+|%)"
 _VALUES = rf"([{_OWN}])(?:(?<={NUMBER})[\d.,:/]*\d|(?<={NAME})[\p{{L}}\p{{M}}]+|(?<={UNIT})(?:\p{{L}}+|%))"
 _LITERALS = r"[\p{L}\p{M}\p{N}]+"
+_NUMERIC = rf"^(?:{NUMBER}|\p{{N}}+)$"
 
 
 def marked(text: Column) -> Column:
@@ -54,10 +58,19 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(marked(text)), F.lit(f"{_SLOTS}|{_LITERALS}"), F.lit(0))
 
 
+def plain(text: Column) -> Column:
+    """The words of ``text`` in lower case, a blank after each, without placeholders."""
+    words = F.regexp_replace(F.lower(F.upper(text)), r"[^\p{L}\p{M}\p{N}]+", " ")
+    return F.ltrim(F.concat(words, F.lit(" ")))
+
+
+def _split(words: Column) -> Column:
+    return F.filter(F.split(words, " +"), lambda w: w != "")
+
+
 def _templated(df: DataFrame, *keys: str) -> DataFrame:
     """``keys``, ``words`` (template), ``values`` (the same with values) of ``df``'s texts."""
-    words = F.filter(F.split(template(F.col("text")), " +"), lambda w: w != "")
-    return df.select(*keys, words.alias("words"), words_of(F.col("text")).alias("values"))
+    return df.select(*keys, _split(template(F.col("text"))).alias("words"), words_of(F.col("text")).alias("values"))
 
 
 def _windows(df: DataFrame, *keys: str) -> DataFrame:
@@ -81,20 +94,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
     Numbers, names and units become typed placeholders. An item is found where ``run``
     template words in a row (or all but one, if it has fewer) agree and the slots are consistent:
     within the run, equal values of the item are equal values in the document and unequal
-    ones unequal. ``LITERAL`` of the words needed must be literal words. Where slots of a run are
-    not consistent, a stretch of it that is long enough and has the item's own values is found
-    all the same.
+    ones unequal. ``LITERAL`` of the words needed must be literal words. A stretch that is long
+    enough and has the item's own values is found all the same, if not all of it are numbers.
+    Items of fewer than ``SHORTEST`` words are found where all their words stand in a row, in
+    any case and with any signs between, if not all are numbers.
 
     All documents are cut into consecutive windows, those of items start at every word;
     a run always holds one such window whole. Only the windows' hashes meet all documents; those
     with a hit are compared at every word, and runs are put together along diagonals.
 
-    NULL and empty texts hold nothing. Items that are NULL or have fewer than ``SHORTEST``
-    words are not looked for: they are no evidence. Rows that repeat an id are searched each;
+    NULL and empty texts hold nothing. Items that are NULL or have no words but numbers are not
+    looked for: they are no evidence. Rows that repeat an id are searched each;
     repeated rows and items give their result once. No rows on either side give no rows.
     """
+    benchmark = benchmark.filter("text IS NOT NULL").select("item_id", "text").distinct()
     items = stored(
-        _templated(benchmark.filter("text IS NOT NULL").select("item_id", "text").distinct(), "item_id")
+        _templated(benchmark, "item_id")
         .filter(F.size("words") >= SHORTEST)
         .withColumn("item", F.xxhash64("item_id", "values"))
     )
@@ -147,21 +162,52 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
     )
     literal = F.col("n") - F.size("slots") >= F.ceil(F.col("needed") * LITERAL)
     runs = runs.withColumn("own", _own_words()).withColumn("whole", consistent & literal)
+    own = F.col("own") >= F.col("needed")
+    runs = runs.filter(F.col("whole") | own).select(
+        "doc_id", "row", "item_id",
+        F.when(F.col("whole"), F.col("n")).otherwise(F.col("own")).alias("n_words"), own.alias("verbatim"),
+    )
     return (
-        runs.filter(F.col("whole") | (F.col("own") >= F.col("needed")) & literal)
+        runs.unionByName(_whole_items(texts, benchmark))
         .groupBy("doc_id", "row", "item_id")
-        .agg(
-            F.max(F.when(F.col("whole"), F.col("n")).otherwise(F.col("own"))).alias("n_words"),
-            F.bool_or(F.col("own") >= F.col("needed")).alias("verbatim"),
-        )
+        .agg(F.max("n_words").alias("n_words"), F.bool_or("verbatim").alias("verbatim"))
     )
 
 
 def _own_words() -> Column:
-    """The longest stretch of a run (``here``, ``there``) with the item's own values."""
-    same = F.zip_with("here", "there", lambda a, b: F.when(a == b, "w").otherwise("-"))
-    stretches = F.split(F.array_join(same, ""), "-+")
-    return F.array_max(F.transform(stretches, F.length)).cast("long")
+    """The longest stretch of a run (``words``, ``here``, ``there``) with the item's own values
+    that has a word besides numbers, 0 without one."""
+    sort = F.transform(
+        F.arrays_zip("words", "here", "there"),
+        lambda s: F.when(s["here"] != s["there"], "-").when(s["words"].rlike(_NUMERIC), "n").otherwise("w"),
+    )
+    stretches = F.filter(F.split(F.array_join(sort, ""), "-+"), lambda s: s.contains("w"))
+    return F.coalesce(F.array_max(F.transform(stretches, F.length)), F.lit(0)).cast("long")
+
+
+def _whole_items(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The items too short for windows that ``texts`` (``doc_id``, ``row``, ``text``) hold
+    whole, by a hash of all their words: only for lengths that such items have."""
+    short = stored(
+        benchmark.select("item_id", _split(plain(F.col("text"))).alias("words"))
+        .filter((F.size("words") < SHORTEST) & F.exists("words", lambda w: ~w.rlike(_NUMERIC)))
+        .select("item_id", F.xxhash64("words").alias("hash"), F.size("words").cast("long").alias("n_words"))
+        .distinct()
+    )
+    lengths = sorted(r["n_words"] for r in short.select("n_words").distinct().collect())
+
+    def hashes(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size("words") - n + 1)
+        grams = F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, n)))
+        return F.when(F.size("words") >= n, grams).otherwise(F.array().cast("array<bigint>"))
+
+    split = texts.select("doc_id", "row", _split(plain(F.col("text"))).alias("words"))
+    # Apart for each length: a text's hashes of all lengths at once would be many.
+    found = [split.select("doc_id", "row", F.explode(hashes(n)).alias("hash")) for n in lengths]
+    few = if_few(short)
+    nothing = split.filter("false").select("doc_id", "row", F.lit(0).cast("long").alias("hash"))
+    grams = reduce(DataFrame.unionByName, found, nothing)
+    return grams.join(few, "hash").select("doc_id", "row", "item_id", "n_words", F.lit(True).alias("verbatim"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFrame:

@@ -71,6 +71,26 @@ def test_tables_of_numbers_are_no_leaks(spark):
     assert found(spark, [(1, numbers), (2, " ".join(str(i * 7) for i in range(40)))], numbers) == []
 
 
+def test_copies_of_numbers_and_names(spark):
+    sums = "What is 12 * 7 + 45 - 18 / 3 + 99 * 2 + 14?"
+    title = (
+        "Which Old King Of The Northern Islands Built The Great Stone Bridge Over The River Near "
+        "His Castle Before The War Began Again"
+    )
+    other = sums.replace("12", "31").replace("45", "8")
+    docs = [(1, FILLER + sums + " " + FILLER), (2, FILLER + title + ", " + FILLER), (3, FILLER + other)]
+    assert found(spark, docs, sums, title) == [(1, 0, True), (2, 1, True)]
+
+
+def test_items_below_the_shortest(spark):
+    items = ["Who wrote Hamlet in 1601?", "Capital of Peru", "17 4", "Paris", "", "Capital of Chad"]
+    docs = [
+        (1, FILLER + "who wrote HAMLET, in 1601 " + FILLER), (2, "capital of\nPeru"), (3, "Who wrote Hamlet in 1602?"),
+        (4, "17 4 " * 20), (5, "Parisian"), (6, "in Paris."), (7, "Peru capital of"),
+    ]
+    assert found(spark, docs, *items) == [(1, 0, True), (2, 1, True), (6, 3, True)]
+
+
 def test_long_texts_repeated_rows_and_many_copies(spark):
     long = FILLER * 4000 + ITEM + FILLER * 4000
     docs = [(1, long), (1, long), (1, FILLER), (None, ITEM)] + [(i, FILLER + ITEM) for i in range(100, 400)]
