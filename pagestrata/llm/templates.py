@@ -64,6 +64,14 @@ def plain(text: Column) -> Column:
     return F.ltrim(F.concat(words, F.lit(" ")))
 
 
+def _plain_items(benchmark: DataFrame) -> DataFrame:
+    """``item_id``, ``words``: the plain words of the items; also those that are left where signs
+    are deleted instead of read as blanks, if they are others."""
+    closed = F.regexp_replace("text", r"[^\p{L}\p{M}\p{N}\s]+", "")
+    texts = benchmark.select("item_id", F.explode(F.array_distinct(F.array("text", closed))).alias("text"))
+    return texts.select("item_id", _split(plain(F.col("text"))).alias("words")).distinct()
+
+
 def _split(words: Column) -> Column:
     return F.filter(F.split(words, " +"), lambda w: w != "")
 
@@ -96,10 +104,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
     within the run, equal values of the item are equal values in the document and unequal
     ones unequal. ``LITERAL`` of the words needed must be literal words. A stretch that is long
     enough and has the item's own values is found all the same, if not all of it are numbers.
+    The same holds for plain lower-case words without placeholders, so that copies in other
+    case or without signs, which have other placeholders, are found; what either kind finds counts.
     Items of fewer than ``SHORTEST`` words are found where all their words stand in a row, in
     any case and with any signs between, if not all are numbers.
 
-    All documents are cut into consecutive windows, those of items start at every word;
+    All documents are cut into consecutive windows of both kinds, those of items start at every word;
     a run always holds one such window whole. Only the windows' hashes meet all documents; those
     with a hit are compared at every word, and runs are put together along diagonals.
 
@@ -108,30 +118,42 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
     repeated rows and items give their result once. No rows on either side give no rows.
     """
     benchmark = benchmark.filter("text IS NOT NULL").select("item_id", "text").distinct()
+    plain_items = _plain_items(benchmark)
+    # Templates and plain words are kinds that never meet each other.
     items = stored(
-        _templated(benchmark, "item_id")
+        _templated(benchmark, "item_id").withColumn("kind", F.lit(0))
+        .unionByName(plain_items.withColumns({"values": F.col("words"), "kind": F.lit(1)}))
         .filter(F.size("words") >= SHORTEST)
-        .withColumn("item", F.xxhash64("item_id", "values"))
+        .withColumn("item", F.xxhash64("item_id", "kind", "values"))
     )
-    windows = stored(_windows(items, "item").withColumn("hash", F.xxhash64("window")))
+    windows = stored(_windows(items, "item", "kind").withColumn("hash", F.xxhash64("window")))
     hashes = windows.select("hash").distinct()
 
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("row")).filter("text IS NOT NULL")
-    consecutive = F.regexp_extract_all(template(F.col("text")), F.lit(f"(?:[^ ]+ ){{{WINDOW}}}"), F.lit(0))
-    cut = texts.select("doc_id", "row", F.explode(consecutive).alias("window")).select(
+    consecutive = [
+        F.regexp_extract_all(words(F.col("text")), F.lit(f"(?:[^ ]+ ){{{WINDOW}}}"), F.lit(0))
+        for words in (template, plain)
+    ]
+    cut = texts.select("doc_id", "row", F.explode(F.concat(*consecutive)).alias("window")).select(
         "doc_id", "row", F.xxhash64(F.rtrim("window")).alias("hash")
     )
     hit = stored(cut.join(if_few(hashes), "hash", "left_semi").select("doc_id", "row").distinct())
 
     key = texts["doc_id"].eqNullSafe(F.col("_id")) & (texts["row"] == F.col("_row"))
     wanted = hit.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
+    wanted = stored(texts.join(if_few(wanted), key, "left_semi").distinct())
+    words = wanted.select("doc_id", "row", _split(plain(F.col("text"))).alias("words"))
     found = stored(
-        _templated(texts.join(if_few(wanted), key, "left_semi").distinct(), "doc_id", "row")
-        .withColumn("doc", F.xxhash64("doc_id", "row"))
+        _templated(wanted, "doc_id", "row").withColumn("kind", F.lit(0))
+        .unionByName(words.withColumns({"values": F.col("words"), "kind": F.lit(1)}))
+        .withColumn("doc", F.xxhash64("doc_id", "row", "kind"))
     )
     pairs = (
-        _windows(found, "doc").withColumn("hash", F.xxhash64("window"))
-        .join(windows.select("item", F.col("at").alias("item_at"), "window", "hash"), ["hash", "window"])
+        _windows(found, "doc", "kind").withColumn("hash", F.xxhash64("window"))
+        .join(
+            windows.select("item", "kind", F.col("at").alias("item_at"), "window", "hash"),
+            ["hash", "window", "kind"],
+        )
         .select("doc", "item", "at", (F.col("at") - F.col("item_at")).alias("shift"))
     )
     along = Window.partitionBy("doc", "item", "shift").orderBy("at")
@@ -148,7 +170,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
         .filter(n >= needed)
         .join(found.alias("d"), "doc")
         .select(
-            "d.doc_id", "d.row", "i.item_id", n.cast("long").alias("n"), needed.alias("needed"),
+            "d.doc_id", "d.row", "i.item_id", "i.kind", n.cast("long").alias("n"), needed.alias("needed"),
             F.slice("d.words", F.col("start") + 1, n).alias("words"),
             F.slice("d.values", F.col("start") + 1, n).alias("here"),
             F.slice("i.values", F.col("start") - F.col("shift") + 1, n).alias("there"),
@@ -161,14 +183,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
         F.size(F.array_distinct("slots.there")) == mapped
     )
     literal = F.col("n") - F.size("slots") >= F.ceil(F.col("needed") * LITERAL)
-    runs = runs.withColumn("own", _own_words()).withColumn("whole", consistent & literal)
+    runs = runs.withColumn("own", _own_words()).withColumn("whole", (F.col("kind") == 0) & consistent & literal)
     own = F.col("own") >= F.col("needed")
     runs = runs.filter(F.col("whole") | own).select(
         "doc_id", "row", "item_id",
         F.when(F.col("whole"), F.col("n")).otherwise(F.col("own")).alias("n_words"), own.alias("verbatim"),
     )
     return (
-        runs.unionByName(_whole_items(texts, benchmark))
+        runs.unionByName(_whole_items(texts, plain_items))
         .groupBy("doc_id", "row", "item_id")
         .agg(F.max("n_words").alias("n_words"), F.bool_or("verbatim").alias("verbatim"))
     )
@@ -185,12 +207,11 @@ def _own_words() -> Column:
     return F.coalesce(F.array_max(F.transform(stretches, F.length)), F.lit(0)).cast("long")
 
 
-def _whole_items(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The items too short for windows that ``texts`` (``doc_id``, ``row``, ``text``) hold
+def _whole_items(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """The ``items`` (plain) too short for windows that ``texts`` (``doc_id``, ``row``, ``text``) hold
     whole, by a hash of all their words: only for lengths that such items have."""
     short = stored(
-        benchmark.select("item_id", _split(plain(F.col("text"))).alias("words"))
-        .filter((F.size("words") < SHORTEST) & F.exists("words", lambda w: ~w.rlike(_NUMERIC)))
+        items.filter((F.size("words") < SHORTEST) & F.exists("words", lambda w: ~w.rlike(_NUMERIC)))
         .select("item_id", F.xxhash64("words").alias("hash"), F.size("words").cast("long").alias("n_words"))
         .distinct()
     )

@@ -1,3 +1,5 @@
+import re
+
 from helpers import documents, empty, rows, with_clashes
 from pagestrata.llm.templates import find_leaks, without_leaks
 
@@ -82,6 +84,17 @@ def test_copies_of_numbers_and_names(spark):
     assert found(spark, docs, sums, title) == [(1, 0, True), (2, 1, True)]
 
 
+def test_other_case_and_signs(spark):
+    prices = "It's known that Ms O'Neill paid 1,250.50 euros for well-made chairs, didn't she, in Rome and Paris?"
+    docs = []
+    for i, item in enumerate((ITEM, prices)):
+        kept, blank = re.sub(r"[^\w\s]", "", item), re.sub(r"[^\w\s]", " ", item)
+        for text in (item.upper(), item.lower(), kept, blank, kept.upper(), blank.lower(), item.title()):
+            docs.append((10 * len(docs) + i, FILLER + text + " " + FILLER))
+    want = sorted((d, d % 10, True) for d, _ in docs)
+    assert sorted(found(spark, [*docs, (1000, FILLER * 3)], ITEM, prices)) == want
+
+
 def test_items_below_the_shortest(spark):
     items = ["Who wrote Hamlet in 1601?", "Capital of Peru", "17 4", "Paris", "", "Capital of Chad"]
     docs = [
