@@ -17,6 +17,8 @@ WINDOW = 256
 #: Windows per language that the network is fitted on at most, and languages at most.
 SAMPLE = 1500
 LANGUAGES = 200
+#: Texts that pass for the sample besides, so that small samples are full too.
+SPARE = 64
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 DIMENSIONS = 8
@@ -53,14 +55,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS, seed: int = 5
     labelled = docs.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
     labelled = labelled.filter(F.col("text").rlike(r"\p{L}"))
     picked = labelled.withColumn("_hash", F.xxhash64("text"))
-    counts = picked.groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    counts = picked.groupBy("lang").agg(F.approx_count_distinct("_hash").alias("n"))
+    counts = counts.limit(LANGUAGES + 1).collect()
     if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
+    none = np.zeros(0)
+    unknown = Network([], none, [], [], none, none)
     if not counts:
-        none = np.zeros(0)
-        return Network([], none, [], [], none, none)
-    # Twice as many as wanted pass by their hash, the smallest hashes of them are taken.
-    rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], 2.0 * sample / r["count"])])
+        return unknown
+    # Of the distinct texts, all copies of which pass or none, twice as many as wanted and some
+    # more pass by their hash; the smallest hashes of them are taken.
+    rates = [F.lit(x) for r in counts for x in (r["lang"], (2.0 * sample + SPARE) / max(1, r["n"]))]
+    rates = F.create_map(*rates)
     place = F.pmod(F.shiftrightunsigned("_hash", 20), F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1)
     windows = (
         picked.filter(F.pmod("_hash", F.lit(1 << 20)) < F.element_at(rates, F.col("lang")) * (1 << 20))
@@ -70,6 +76,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS, seed: int = 5
     by_hash = Window.partitionBy("lang").orderBy(F.pmod("_hash", F.lit(1 << 20)), "window")
     rows = windows.withColumn("_n", F.row_number().over(by_hash)).filter(F.col("_n") <= sample)
     rows = sorted((r["lang"], r["_n"], r["window"]) for r in rows.drop("_hash").collect())
+    if not rows:
+        return unknown
     languages = sorted({r[0] for r in rows})
     x = np.concatenate([windows_of(r[2].encode()[:WINDOW])[:1] for r in rows])
     y = np.array([languages.index(r[0]) for r in rows])

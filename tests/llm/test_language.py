@@ -94,6 +94,19 @@ def test_nothing_to_learn_from(spark):
     assert rows(predict(docs, one), "lang_pred", "score")[0] == ("aa", 1.0)
 
 
+def test_repeated_texts_leave_the_sample_full(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(language, "train", lambda x, y, languages, *_: taken.append((languages, np.bincount(y).tolist())))
+    ids = spark.range(40_000).withColumn("k", F.col("id") % 500)
+    many = ids.selectExpr("concat('text ', k) AS text", "'aa' AS lang")
+    few = ids.selectExpr("concat('wort ', k % 7) AS text", "'bb' AS lang")
+    fit(many.unionByName(few), sample=30)
+    fit(ids.selectExpr("'the same' AS text", "'cc' AS lang"), sample=30)
+    fit(ids.selectExpr("concat('text ', id) AS text", "'aa' AS lang"), sample=1)
+    assert taken == [(["aa", "bb"], [30, 7]), (["cc"], [1]), (["aa"], [1])]
+    assert fit(many, sample=0).languages == []
+
+
 def test_labels_are_no_inputs(spark, network):
     docs = documents(spark, labelled(60))
     other = docs.withColumn("lang", F.lit("cc")).withColumn("source", F.lit("x")).withColumn("doc_id", -F.col("doc_id"))
