@@ -182,3 +182,160 @@ SELECT record_id, url, state, CASE WHEN state = 'resolved' THEN ref END AS refer
   CASE WHEN state = 'resolved' THEN sha256(body) END AS payload_sha256
 FROM f
 """
+
+#: Rules of op11: verdict, host and path.
+URL_RULES = (
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+    ("allow", "com/fr/"), ("block", "com/de/"),
+)
+
+_DOUBLE_SUFFIXES = (
+    "'ac.uk','co.uk','gov.uk','org.uk','com.au','net.au','org.au','co.jp','ne.jp','or.jp','co.kr',"
+    "'co.nz','co.za','com.br','com.cn','com.mx','com.tr','co.in','com.sg','com.tw'"
+)
+
+
+def _variation(level: str) -> str:
+    """What is left for the variation between the children of a level, and the strength of its prior."""
+    spread = "parent * (1.0::DOUBLE - parent)"
+
+    def whole(x: str) -> str:
+        return f"sum(CAST(floor(({x}) / 0.00000095367431640625::DOUBLE + 0.5::DOUBLE) AS DECIMAL(38,0)))"
+
+    return f"""
+SELECT 1.0::DOUBLE / least(greatest(CASE WHEN coalesce(more, 0) = 0 THEN 0.1::DOUBLE
+    ELSE (seen::DOUBLE - chance::DOUBLE) / more::DOUBLE END, 0.001::DOUBLE), 0.5::DOUBLE) - 1.0::DOUBLE AS strength
+FROM (SELECT {whole('(k - n * parent) * (k - n * parent) / n')} AS seen, {whole(spread)} AS chance,
+        {whole(spread + ' * (n - 1.0::DOUBLE)')} AS more FROM {level} WHERE n > 0)"""
+
+
+URLS = rf"""
+WITH a AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), b AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a
+), c AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule FROM b
+), d AS (
+  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS says FROM c
+), h0 AS (
+  SELECT host, count(says)::DOUBLE AS n, count(*) FILTER (WHERE says = 'allow')::DOUBLE AS k,
+    regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM d GROUP BY host
+), h1 AS (
+  SELECT *, string_split(name, '.') AS labels,
+    CASE WHEN array_to_string(string_split(name, '.')[-2:], '.') IN ({_DOUBLE_SUFFIXES}) THEN 2 ELSE 1 END AS s FROM h0
+), h AS (
+  SELECT host, n, k,
+    CASE WHEN len(labels) <= s OR regexp_matches(name, '^[0-9.]+$|^\[') THEN name ELSE array_to_string(labels[-s - 1:], '.') END AS domain,
+    CASE WHEN len(labels) <= s OR regexp_matches(name, '^[0-9.]+$|^\[') THEN name ELSE array_to_string(labels[-s:], '.') END AS suffix FROM h1
+), root AS (SELECT (coalesce(sum(k), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1.0::DOUBLE) AS mean FROM h),
+s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT mean FROM root) AS parent FROM h GROUP BY suffix),
+sv AS ({_variation('s0')}),
+s1 AS (SELECT suffix, (parent * strength + k) / (n + strength) AS mean FROM s0, sv),
+d0 AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k, max(mean) AS parent FROM h JOIN s1 USING (suffix) GROUP BY domain, suffix),
+dv AS ({_variation('d0')}),
+d1 AS (SELECT domain, (parent * strength + k) / (n + strength) AS mean FROM d0, dv),
+e0 AS (SELECT host, n, k, mean AS parent FROM h JOIN d1 USING (domain)),
+ev AS ({_variation('e0')}),
+e1 AS (SELECT host, (parent * strength + k) / (n + strength) AS mean, n + strength AS strength FROM e0, ev)
+SELECT page_id, host, path, rule,
+  coalesce(says, CASE WHEN mean + sqrt(mean * (1.0::DOUBLE - mean) / (strength + 1.0::DOUBLE)) * 1.0::DOUBLE < 0.5 THEN 'block'
+    ELSE 'allow' END) AS verdict
+FROM d JOIN e1 USING (host)
+"""
+
+REPAIR = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+        concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')), ''), lambda c: ascii(c)::BIGINT)),
+      lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)),
+        lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)),
+      4294967295::BIGINT) % 20 AS kind
+  FROM conversations
+), hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM keyed WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER o AS k, lag(role) OVER o AS before,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+    rtrim(text, E' \t\n\x0B\f\r') AS core
+  FROM hurt WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)
+), faulty AS (
+  SELECT *, CASE WHEN core = '' THEN 'blank' WHEN seen THEN 'duplicate'
+    WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, left(role, 1) AS initial
+  FROM placed
+), put(s, n, t, new) AS (VALUES
+  ('-', 0, '-', ''), ('-', 1, 'u', E'\nuser:'), ('-', 2, 'a', E'\nuser:\nassistant:'),
+  ('s', 0, 's', ''), ('s', 1, 'u', E'\nuser:'), ('s', 2, 'a', E'\nuser:\nassistant:'),
+  ('u', 0, 'u', ''), ('u', 1, 'a', E'\nassistant:'), ('u', 2, 'u', E'\nassistant:\nuser:'),
+  ('a', 0, 'a', ''), ('a', 1, 'u', E'\nuser:'), ('a', 2, 'a', E'\nuser:\nassistant:')
+), act(t, edit, initial, cost, to_state, role) AS (VALUES
+  ('-', 'D', NULL, 2, '-', NULL), ('s', 'D', NULL, 2, 's', NULL), ('u', 'D', NULL, 2, 'u', NULL), ('a', 'D', NULL, 2, 'a', NULL),
+  ('-', 'R', NULL, 1, 'u', 'user'), ('s', 'R', NULL, 1, 'u', 'user'), ('u', 'R', NULL, 1, 'a', 'assistant'),
+  ('a', 'R', NULL, 1, 'u', 'user'),
+  ('-', 'K', 's', 0, 's', NULL), ('-', 'K', 'u', 0, 'u', NULL), ('s', 'K', 'u', 0, 'u', NULL),
+  ('u', 'K', 'a', 0, 'a', NULL), ('a', 'K', 'u', 0, 'u', NULL)
+), moves AS (
+  SELECT p.s, p.n, p.new, a.edit, a.initial, a.cost, a.to_state, a.role FROM put p JOIN act a ON p.t = a.t
+), walk(conv_id, k, state, best) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, '-', {'cost': 0::BIGINT, 'audit': '', 'text': ''} FROM faulty
+  UNION ALL
+  SELECT w.conv_id, w.k + 1, m.to_state,
+    min({'cost': w.best.cost + 5 * m.n + m.cost + CASE WHEN f.fault = 'truncated' AND m.edit <> 'D' THEN 5 ELSE 0 END,
+         'audit': concat(w.best.audit, repeat('I', m.n), m.edit),
+         'text': concat(w.best.text, m.new, CASE WHEN m.edit <> 'D' THEN concat(E'\n', coalesce(m.role, f.role), ':', f.text) ELSE '' END)})
+  FROM walk w
+  JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.k = w.k + 1
+  JOIN moves m ON m.s = w.state AND (m.edit = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+    AND (m.initial IS NULL OR m.initial = f.initial)
+  GROUP BY w.conv_id, w.k, m.to_state
+), counts AS (
+  SELECT conv_id, max(k) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE concat(left(before, 1), initial) NOT IN ('su', 'ua', 'au') AND before IS NOT NULL) AS illegal
+  FROM faulty GROUP BY conv_id
+), ended AS (
+  SELECT c.conv_id, min({'cost': w.best.cost + 5 * p.n, 'audit': concat(w.best.audit, repeat('I', p.n)),
+    'text': concat(w.best.text, p.new)}) AS best
+  FROM counts c JOIN walk w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.k = c.n
+  JOIN put p ON p.s = w.state AND (p.t = 'a' OR p.t = '-' AND p.n = 0)
+  GROUP BY c.conv_id
+)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank,
+  coalesce(c.duplicate, 0)::BIGINT AS duplicate, coalesce(c.truncated, 0)::BIGINT AS truncated,
+  coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(e.best.cost, 0)::BIGINT AS cost,
+  coalesce(e.best.audit, '') AS audit, sha256(coalesce(substr(e.best.text, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+MIDDLE = r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256(concat('1:', coalesce(doc_id::VARCHAR, ''))) AS h FROM documents
+), d AS (
+  SELECT doc_id, text, length(text) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM h
+), c AS (
+  SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN concat('<P>', substr(text, 1, a), '<S>', substr(text, b + 1), '<M>', substr(text, a + 1, b - a))
+    ELSE concat('<S>', substr(text, b + 1), '<P>', substr(text, 1, a), '<M>', substr(text, a + 1, b - a)) END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM c
+"""

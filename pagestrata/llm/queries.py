@@ -11,9 +11,12 @@ from pagestrata.llm.chat import chat_digests, format_chats
 from pagestrata.llm.common import table
 from pagestrata.llm.language import fit, held_out, predict
 from pagestrata.llm.lines import keep_bitmaps, kept_text
+from pagestrata.llm.middle import middle_digests
 from pagestrata.llm.minhash import near_duplicates
 from pagestrata.llm.mixing import mix
 from pagestrata.llm.registry import CHECKS, QUERIES, query  # noqa: F401
+from pagestrata.llm.repair import damaged, repair_digests
+from pagestrata.llm.reputation import judge_urls
 from pagestrata.llm.revisits import resolve_revisits, with_payload
 from pagestrata.llm.secrets import find_secrets, secret_digests
 from pagestrata.llm.templates import find_leaks
@@ -146,3 +149,27 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_vector_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_url_filter", checks.URLS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(table(spark, sf_dir, "pages"), checks.URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op12_repair_conversations", checks.REPAIR)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    all_ids = conversations.select(F.col("conv_id").alias("_id")).distinct()
+    found = repair_digests(damaged(conversations))
+    of_id = all_ids.join(found, F.col("_id").eqNullSafe(F.col("conv_id")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    # Nothing is left of some conversations.
+    nothing = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)} | {c: F.lit(0) for c in counts}
+    known = [F.coalesce(c, v).alias(c) for c, v in nothing.items()]
+    return of_id.select(F.col("_id").alias("conv_id"), *known)
+
+
+@query("op13_fill_in_middle", checks.MIDDLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle_digests(table(spark, sf_dir, "documents"))
