@@ -13,7 +13,7 @@ is the one that the ``PERCENTILE`` smallest need.
 
 from __future__ import annotations
 
-import array
+import json
 import os
 import struct
 import zlib
@@ -38,9 +38,14 @@ BLOCK = 4096
 PERCENTILE = 99
 #: Text bytes of one file, and so of one task; a longer document is a file of its own size.
 SHARD_BYTES = 64 << 20
+#: Tasks that write or read; beyond that, each has several files.
+MOST_TASKS = 20_000
 #: Characters that a task encodes at a time, and pieces of text whose ids it remembers.
 CHUNK_CHARS = 4 << 20
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 21
+#: Bytes of a piece that is remembered, and pieces that are encoded as one text.
+LONGEST = 64
+JOINED = 512
 END_ID = 0
 
 
@@ -50,15 +55,16 @@ def write_token_files(
     root: str | None = None,
     shard_bytes: int = SHARD_BYTES,
     remembered: int = REMEMBERED,
-    lasting: bool = False,
 ) -> DataFrame:
     """Write the ids of ``docs`` (``doc_id``, ``text``) below ``root`` by ascending ``doc_id``.
 
     ``tokenizer_path`` is read on the driver and sent to the tasks (some megabytes), each of
-    which remembers the ids of ``remembered`` pieces of text (some 200 bytes each); with
-    ``lasting``, worker processes keep them for their next tasks, of any kind. Every document ends with id 0. Documents are range-partitioned by id; a task encodes its
-    range and writes one file, under a name of its attempt first. Returns the manifest
-    (``shard``, ``path``, ``n_docs``, ``n_ids``, ``start``: the ids in all files before).
+    which remembers the ids of ``remembered`` pieces of text (some 50 bytes each) until it
+    ends. Every document ends with id 0. Documents are range-partitioned by id; a task encodes its
+    range and begins a new file after every ``shard_bytes`` of text. Files have the attempt in their
+    names, so that no attempt touches those of another; only those in the manifest count. Returns
+    the manifest (``shard``, which orders the files, ``path``, ``n_docs``, ``n_ids``, ``start``: the
+    ids in all files before).
 
     NULL texts are empty, NULL ids come first, rows that repeat an id stand by text. Extra
     columns are not read. No documents give no files and no rows.
@@ -70,49 +76,46 @@ def write_token_files(
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     texts = docs.select("doc_id", text)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    tasks = min(MOST_TASKS, max(1, -(-total // shard_bytes)))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = _lasting_encoder if lasting else Encoder
-        encode = make(tokenizer.value, remembered)
+        encode = Encoder(tokenizer.value, remembered)
         task = TaskContext.get()
-        shard = task.partitionId()
         files, folder = file_system(root)
         files.create_dir(folder, recursive=True)
-        own = f"{folder}/_{shard:06d}-{task.taskAttemptId()}"
-        path = f"{folder}/{shard:06d}.pfor"
-        with files.open_output_stream(own) as out:
-            writer = Writer(out)
-            for batch in batches:
-                for some in _chunks(batch):
-                    ids, lengths = encode(some.column(1))
-                    writer.add(some.column(0), ids, lengths)
+        out = writer = None
+        shard, size = task.partitionId() << 32, 0
+
+        def closed() -> pa.RecordBatch:
             writer.close()
-        if not writer.n_docs:
-            files.delete_file(own)
-            return
-        # Another attempt has written the same bytes.
-        if files.get_file_info(path).type != 0:
-            files.delete_file(path)
-        files.move(own, path)
-        yield pa.RecordBatch.from_pydict(
-            {"shard": [shard], "n_docs": [writer.n_docs], "n_ids": [writer.n_ids]}
-        )
+            out.close()
+            row = {"shard": [shard], "path": [path], "n_docs": [writer.n_docs], "n_ids": [writer.n_ids]}
+            return pa.RecordBatch.from_pydict(row)
+
+        for batch in batches:
+            for some in _chunks(batch):
+                if writer is None:
+                    path = f"{root}/{shard:016x}-{task.taskAttemptId()}.pfor"
+                    out = files.open_output_stream(f"{folder}/{path.rpartition('/')[2]}")
+                    writer = Writer(out)
+                ids, lengths = encode(some.column(1))
+                writer.add(some.column(0), ids, lengths)
+                size += some.column(1).nbytes
+                # The last task of a small corpus has somewhat more than its share.
+                if size >= 2 * shard_bytes:
+                    yield closed()
+                    writer, shard, size = None, shard + 1, 0
+        if writer is not None:
+            yield closed()
 
     written = stored(
-        texts.repartitionByRange(shards, "doc_id", F.xxhash64("text"))
+        texts.repartitionByRange(tasks, "doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
-        .mapInArrow(write, "shard long, n_docs long, n_ids long")
+        .mapInArrow(write, "shard long, path string, n_docs long, n_ids long")
     )
     # One row per file.
     ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return written.select(
-        "shard",
-        F.concat(F.lit(f"{root}/"), F.lpad(F.col("shard").cast("string"), 6, "0"), F.lit(".pfor")).alias("path"),
-        "n_docs",
-        "n_ids",
-        F.coalesce(F.sum("n_ids").over(ahead), F.lit(0)).alias("start"),
-    )
+    return written.withColumn("start", F.coalesce(F.sum("n_ids").over(ahead), F.lit(0)))
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -129,8 +132,8 @@ def token_digests(manifest: DataFrame) -> DataFrame:
 
 
 def _spread(manifest: DataFrame) -> DataFrame:
-    n = manifest.count()
-    return manifest.select("shard", "path", "start").repartitionByRange(max(n, 1), "shard")
+    n = min(max(manifest.count(), 1), MOST_TASKS)
+    return manifest.select("shard", "path", "start").repartitionByRange(n, "shard")
 
 
 def _read(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
@@ -176,19 +179,19 @@ class Encoder:
 
     The byte-level pattern starts a new token at every single blank between two other
     characters, so a text's ids are those of its pieces cut before such blanks. A text with any
-    other blank (at an end, or beside white space) is encoded as a whole. It also starts one
-    where ``STOPS`` follow a letter, so these are encoded apart from the word before them.
+    other blank (at an end, or beside white space) is encoded as a whole, and so is every
+    text if the definition has another pattern or changes texts first.
     """
 
-    STOPS = ".,;:!?"
-
     def __init__(self, definition: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, bytes] = {}
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 and cuts_at_blanks(json.loads(definition)) else None
         self.remembered = remembered
+        self._forget()
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts with an end id after each, and the number of ids of each."""
@@ -203,74 +206,138 @@ class Encoder:
 
         cut = first[1:] | (_solid(words, -1)[at[:-1]] & _solid(words, 0)[at[1:]])
         owner = np.repeat(np.arange(len(counts)), counts)
-        odd = np.zeros(len(counts), bool)
+        odd = np.full(len(counts), self.line is None)
         odd[owner[1:][~cut]] = True
 
         usual = ~odd[owner]
         place = (at * 2 + ~first)[usual]
         used = np.zeros(2 * len(words), bool)
         used[place] = True
-        keys = np.flatnonzero(used)
-        words = words.to_pylist()
-        parts = self._pieces([" " + words[k >> 1] if k & 1 else words[k >> 1] for k in keys.tolist()])
+        flat, begin, lengths = self._pieces(words, np.flatnonzero(used))
         whole = np.flatnonzero(odd)
-        parts += self._encode(texts.take(pa.array(whole)).to_pylist())
-        parts.append(_bytes([END_ID]))
+        apart = [*self._encode(texts.take(pa.array(whole)).to_pylist()), np.array([END_ID], np.uint32)]
+        sizes = np.array([len(x) for x in apart], np.int64)
+        begin = np.concatenate([begin, len(flat) + np.cumsum(sizes) - sizes])
+        lengths = np.concatenate([lengths, sizes])
+        flat = np.concatenate([flat, *apart])
 
         # The parts of all documents in order: pieces, or the one whole text, then the end.
         per_doc = np.where(odd, 1, counts) + 1
         starts = np.cumsum(per_doc) - per_doc
-        order = np.full(int(per_doc.sum()), len(parts) - 1, np.int64)
+        order = np.full(int(per_doc.sum()), len(begin) - 1, np.int64)
         inside = np.arange(len(at)) - (ends - counts)[owner]
         order[(starts[owner] + inside)[usual]] = (np.cumsum(used) - 1)[place]
-        order[starts[whole]] = len(keys) + np.arange(len(whole))
+        order[starts[whole]] = len(begin) - len(apart) + np.arange(len(whole))
 
-        lengths = np.array([len(p) for p in parts], np.int64) // 4
-        flat = np.frombuffer(b"".join(parts), np.uint32)
-        begin = np.cumsum(lengths) - lengths
         sizes = lengths[order]
         stops = np.cumsum(sizes)
         ids = flat[np.repeat(begin[order] - (stops - sizes), sizes) + np.arange(stops[-1])]
         return ids, np.diff(stops[starts + per_doc - 1], prepend=0)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _forget(self) -> None:
+        # By the first hash, in order; the ids of all pieces lie behind each other.
+        self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _pieces(self, words: pa.Array, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and for each of ``keys`` where they begin and how many they are. A key is twice
+        the number of a word, plus one for a blank before it."""
+        first, second = (h[keys >> 1] + (keys & 1).astype(np.uint64) * _BLANK for h in _hashes(words))
+        plain = _plain(words)[keys >> 1]
+        at = np.searchsorted(self.first, first)
+        near = np.minimum(at, max(len(self.first) - 1, 0))
+        known = plain & (len(self.first) > 0)
+        if len(self.first):
+            known &= (self.first[near] == first) & (self.second[near] == second)
+        begin, length = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        begin[known], length[known] = self.begin[near[known]], self.length[near[known]]
+
+        flat = [self.flat]
+        size = len(self.flat)
+        for chosen, encode in ((plain & ~known, self._joined), (~plain, self._encode)):
+            where = np.flatnonzero(chosen)
+            texts = words.take(pa.array(keys[where] >> 1)).to_pylist()
+            found = encode([" " + w if k & 1 else w for w, k in zip(texts, keys[where].tolist(), strict=True)])
+            sizes = np.array([len(x) for x in found], np.int64)
+            begin[where], length[where] = size + np.cumsum(sizes) - sizes, sizes
+            flat += found
+            size += int(sizes.sum())
+        flat = np.concatenate(flat)
+
+        new = np.flatnonzero(plain & ~known)
+        if len(self.first) + len(new) > self.remembered:
+            self._forget()
+        else:
+            new = new[np.argsort(first[new])]
+            spot = np.searchsorted(self.first, first[new])
+            self.first = np.insert(self.first, spot, first[new])
+            self.second = np.insert(self.second, spot, second[new])
+            self.begin = np.insert(self.begin, spot, begin[new])
+            self.length = np.insert(self.length, spot, length[new])
+            self.flat = flat[: int(max((begin[new] + length[new]).max(initial=0), len(self.flat)))]
+        return flat, begin, length
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         # The library's results are much larger than the ids, so few are held at a time.
-        found: list[bytes] = []
+        found: list[np.ndarray] = []
         for at in range(0, len(texts), 4096):
             some = self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)
-            found += [_bytes(f.ids) for f in some]
+            found += [np.array(f.ids, np.uint32) for f in some]
         return found
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > self.remembered:
-            known.clear()
-        missing = [p for p in pieces if p not in known]
-        words = [p.rstrip(self.STOPS) for p in missing]
-        words = [w if w[-1:].isalpha() else p for p, w in zip(missing, words, strict=True)]
-        tails = [p[len(w) :] for p, w in zip(missing, words, strict=True)]
-        new = [w for w in {*words, *tails} if w not in known]
-        known.update(zip(new, self._encode(new), strict=True))
-        stopped = {
-            p: known[w] + known[t] for p, w, t in zip(missing, words, tails, strict=True) if t
-        }
-        return [known[p] if p in known else stopped[p] for p in pieces]
-
-
-def _lasting_encoder(definition: str, remembered: int) -> Encoder:
-    """The worker process's encoder. Task functions are unpickled anew for each task, so
-    what is to outlive a task hangs on a module that is imported."""
-    import tokenizers
-
-    kept = vars(tokenizers).setdefault("_encoders", {})
-    if (definition, remembered) not in kept:
-        kept.clear()
-        kept[definition, remembered] = Encoder(definition, remembered)
-    return kept[definition, remembered]
-
-
-def _bytes(ids: list[int]) -> bytes:
-    return array.array("I", ids).tobytes()
+    def _joined(self, pieces: list[str]) -> list[np.ndarray]:
+        """The ids of pieces without white space but for a blank in front. A line end is a token
+        of its own between two such pieces, so that many of them are one text."""
+        found: list[np.ndarray] = []
+        for at in range(0, len(pieces), JOINED):
+            some = pieces[at : at + JOINED]
+            ids = self.tokenizer.encode("\n".join(some) + "\n", add_special_tokens=False).ids
+            ids = np.array(ids, np.uint32)
+            ends = np.flatnonzero(ids == self.line)
+            if len(ends) == len(some):
+                found += [x[x != self.line] for x in np.split(ids, ends[:-1])]
+            else:
+                found += self._encode(some)
+        return found
+
+
+def cuts_at_blanks(rules: dict) -> bool:
+    """Whether the tokenizer defined by ``rules`` leaves texts as they are and splits them by the
+    byte-level pattern that ``Encoder`` knows."""
+    split = rules.get("pre_tokenizer") or {}
+    usual = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    added = [t for t in rules.get("added_tokens") or [] if t.get("lstrip") or t.get("rstrip") or " " in t["content"] or "\n" in t["content"]]
+    return usual and not rules.get("normalizer") and not added
+
+
+#: Random odd multipliers for the places of a word's bytes, two sets, and one for the length.
+_PLACES = np.random.default_rng(17).integers(1, 1 << 63, (2, LONGEST + 1), np.uint64) * np.uint64(2) + np.uint64(1)
+_BLANK = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of 64 bits of each word; only the first ``LONGEST`` bytes are sure to count."""
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int64 if pa.types.is_large_string(words.type) else np.int32)
+    ends = ends[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    lengths = np.diff(ends)
+    inside = (np.arange(len(data)) - np.repeat(ends[:-1], lengths)) % LONGEST
+    values = data.astype(np.uint64) + np.uint64(1)
+    both = []
+    for places in _PLACES:
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(places[inside] * values)])
+        both.append(sums[ends[1:]] - sums[ends[:-1]] + lengths.astype(np.uint64) * places[LONGEST])
+    return both[0], both[1]
+
+
+def _plain(words: pa.Array) -> np.ndarray:
+    """Which words are not empty, at most ``LONGEST`` bytes and without white space."""
+    blank = pc.match_substring_regex(words, r"[\s\x0b\x1c-\x1f\x85\pZ]")
+    length = np.asarray(pc.binary_length(words))
+    return (length > 0) & (length <= LONGEST) & ~np.asarray(blank).astype(bool)
 
 
 def _solid(words: pa.Array, end: int) -> np.ndarray:

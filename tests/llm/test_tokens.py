@@ -1,4 +1,5 @@
 import io
+import json
 import random
 import zlib
 
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 
 from helpers import documents, empty, prose, rows, with_clashes
 from pagestrata.llm.tokens import (
-    Encoder, Reader, Writer, pack_block, read_token_files, token_digests, unpack_block, write_token_files,
+    Encoder, Reader, Writer, cuts_at_blanks, pack_block, read_token_files, token_digests, unpack_block, write_token_files,
 )
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,7 +83,7 @@ def test_digests_against_the_library(spark, library):
     rng = random.Random(5)
     docs = [(i * 37 % 301, prose(rng, rng.randrange(60))) for i in range(301)]
     docs += [(None, "no id"), (400, None), (401, ""), (402, "same"), (402, "same"), (403, prose(rng, 30_000))]
-    manifest = write_token_files(documents(spark, docs), PATH, shard_bytes=20_000, lasting=True)
+    manifest = write_token_files(documents(spark, docs), PATH, shard_bytes=20_000)
     assert manifest.count() > 5
     found = token_digests(manifest).collect()
     order = sorted(docs, key=lambda d: (d[0] is not None, d[0]))
@@ -102,6 +103,46 @@ def test_empty_and_clashing(spark):
     assert token_digests(write_token_files(empty(spark, df.schema), PATH)).count() == 0
 
 
+def test_several_files_of_a_task(spark, library, monkeypatch):
+    monkeypatch.setattr("pagestrata.llm.tokens.MOST_TASKS", 2)
+    monkeypatch.setattr("pagestrata.llm.tokens.CHUNK_CHARS", 500)
+    rng = random.Random(6)
+    docs = [(i, prose(rng, 20)) for i in range(200)]
+    manifest = write_token_files(documents(spark, docs), PATH, shard_bytes=1_000)
+    assert manifest.count() > 6
+    want, start = [], 0
+    for doc_id, text in docs:
+        ids = ids_of(library, text)
+        want.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in token_digests(manifest).collect()) == want
+
+
+def test_pieces_of_any_length_and_language(library, encoder):
+    rng = random.Random(8)
+    words = ["naïve", "中文字", "x" * 63, "x" * 64, "x" * 65, "y" * 3000, "don't", "'s", "１２", "\u200b", "é" * 32, "é" * 33, "…", "<|endoftext|>", "a<|endoftext|>"]
+    words += ["a\u00a0b", "\u3000", "tab\tin", "line\nin", "\x1c", "\x85"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 30))) for _ in range(300)]
+    for _ in range(2):  # new, then remembered
+        ids, _ = encoder(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in ids_of(library, t)]
+
+
+def test_other_definitions_are_encoded_whole():
+    with open(PATH, encoding="utf-8") as f:
+        rules = json.load(f)
+    assert cuts_at_blanks(rules)
+    rules["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": False}
+    assert not cuts_at_blanks(rules)
+    definition = json.dumps(rules)
+    texts = ["of the world, of the", "it is of the", "", "a  b"]
+    whole = Tokenizer.from_str(definition)
+    ids, _ = Encoder(definition)(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in ids_of(whole, t)]
+    rules["normalizer"] = {"type": "Lowercase"}
+    assert not cuts_at_blanks(rules | {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False}})
+
+
 def test_forgetting_pieces(library):
     with open(PATH, encoding="utf-8") as f:
         encode = Encoder(f.read(), 3)
