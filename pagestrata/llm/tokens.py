@@ -177,10 +177,10 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 class Encoder:
     """Encodes texts with the tokenizers library, each distinct piece of text once.
 
-    The byte-level pattern starts a new token at every single blank between two other
-    characters, so a text's ids are those of its pieces cut before such blanks. A text with any
-    other blank (at an end, or beside white space) is encoded as a whole, and so is every
-    text if the definition has another pattern or changes texts first.
+    The byte-level pattern starts a new token at every single blank or line end between two
+    other characters, and the line end is one, so a text's ids are those of its pieces cut before them.
+    A text with any other blank (at an end, or beside white space) is encoded as a whole, and so is
+    every text if the definition has another pattern or changes texts first.
     """
 
     def __init__(self, definition: str, remembered: int = REMEMBERED):
@@ -195,11 +195,16 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts with an end id after each, and the number of ids of each."""
-        pieces = pc.split_pattern(texts, " ")
+        # Single line ends get a blank in front, at which the text is cut; runs of them stay.
+        lines = pc.replace_substring(pc.replace_substring(texts, "\n", " \n"), " \n \n", "\n\n")
+        pieces = pc.split_pattern(lines, " ")
         counts = np.asarray(pc.list_value_length(pieces), np.int64)
         coded = pieces.flatten().dictionary_encode()
         at = np.asarray(coded.indices, np.int64)
         words = coded.dictionary
+        after_line = pc.and_not(pc.starts_with(words, "\n"), pc.starts_with(words, "\n\n"))
+        words = pc.if_else(after_line, pc.utf8_slice_codeunits(words, 1), words)
+        after_line = np.asarray(after_line).astype(bool)
         ends = np.cumsum(counts)
         first = np.zeros(len(at), bool)
         first[ends - counts] = True
@@ -210,10 +215,10 @@ class Encoder:
         odd[owner[1:][~cut]] = True
 
         usual = ~odd[owner]
-        place = (at * 2 + ~first)[usual]
+        place = (at * 2 + (~first & ~after_line[at]))[usual]
         used = np.zeros(2 * len(words), bool)
         used[place] = True
-        flat, begin, lengths = self._pieces(words, np.flatnonzero(used))
+        flat, begin, lengths = self._pieces(words, after_line, np.flatnonzero(used))
         whole = np.flatnonzero(odd)
         apart = [*self._encode(texts.take(pa.array(whole)).to_pylist()), np.array([END_ID], np.uint32)]
         sizes = np.array([len(x) for x in apart], np.int64)
@@ -240,43 +245,45 @@ class Encoder:
         self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.uint32)
 
-    def _pieces(self, words: pa.Array, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _pieces(
+        self, words: pa.Array, after_line: np.ndarray, keys: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and for each of ``keys`` where they begin and how many they are. A key is twice
         the number of a word, plus one for a blank before it."""
         first, second = (h[keys >> 1] + (keys & 1).astype(np.uint64) * _BLANK for h in _hashes(words))
-        plain = _plain(words)[keys >> 1]
-        at = np.searchsorted(self.first, first)
-        near = np.minimum(at, max(len(self.first) - 1, 0))
-        known = plain & (len(self.first) > 0)
-        if len(self.first):
-            known &= (self.first[near] == first) & (self.second[near] == second)
+        plain, line = _plain(words)[keys >> 1], after_line[keys >> 1]
         begin, length = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        begin[known], length[known] = self.begin[near[known]], self.length[near[known]]
-
-        flat = [self.flat]
-        size = len(self.flat)
-        for chosen, encode in ((plain & ~known, self._joined), (~plain, self._encode)):
-            where = np.flatnonzero(chosen)
-            texts = words.take(pa.array(keys[where] >> 1)).to_pylist()
-            found = encode([" " + w if k & 1 else w for w, k in zip(texts, keys[where].tolist(), strict=True)])
-            sizes = np.array([len(x) for x in found], np.int64)
-            begin[where], length[where] = size + np.cumsum(sizes) - sizes, sizes
-            flat += found
-            size += int(sizes.sum())
-        flat = np.concatenate(flat)
+        known = np.zeros(len(keys), bool)
+        if len(self.first):
+            near = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+            known = plain & (self.first[near] == first) & (self.second[near] == second)
+            begin[known], length[known] = self.begin[near[known]], self.length[near[known]]
 
+        # A word may come with and without a line end before it.
         new = np.flatnonzero(plain & ~known)
+        _, one, same = np.unique(first[new], return_index=True, return_inverse=True)
+        joined, starts, sizes = self._joined(_texts(words, keys[new[one]]))
+        begin[new], length[new] = len(self.flat) + starts[same], sizes[same]
+        odd = np.flatnonzero(~plain)
+        texts = ["\n" + t if at else t for t, at in zip(_texts(words, keys[odd]), line[odd].tolist(), strict=True)]
+        apart = self._encode(texts)
+        sizes = np.array([len(x) for x in apart], np.int64)
+        begin[odd], length[odd] = len(self.flat) + len(joined) + np.cumsum(sizes) - sizes, sizes
+        kept = np.concatenate([self.flat, joined])
+        flat = np.concatenate([kept, *apart])
+
+        new = new[one]
         if len(self.first) + len(new) > self.remembered:
             self._forget()
         else:
-            new = new[np.argsort(first[new])]
             spot = np.searchsorted(self.first, first[new])
             self.first = np.insert(self.first, spot, first[new])
             self.second = np.insert(self.second, spot, second[new])
             self.begin = np.insert(self.begin, spot, begin[new])
             self.length = np.insert(self.length, spot, length[new])
-            self.flat = flat[: int(max((begin[new] + length[new]).max(initial=0), len(self.flat)))]
-        return flat, begin, length
+            self.flat = kept
+        # A line end's id stands before each of the plain ones.
+        return flat, begin - (line & plain), length + (line & plain)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         # The library's results are much larger than the ids, so few are held at a time.
@@ -286,20 +293,25 @@ class Encoder:
             found += [np.array(f.ids, np.uint32) for f in some]
         return found
 
-    def _joined(self, pieces: list[str]) -> list[np.ndarray]:
-        """The ids of pieces without white space but for a blank in front. A line end is a token
-        of its own between two such pieces, so that many of them are one text."""
-        found: list[np.ndarray] = []
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of pieces without white space but for a blank in front, a line end's id before
+        each; where they begin, and how many. A line end is a token of its own before such
+        pieces, so that many of them are one text."""
+        found = [np.zeros(0, np.uint32)]
         for at in range(0, len(pieces), JOINED):
             some = pieces[at : at + JOINED]
-            ids = self.tokenizer.encode("\n".join(some) + "\n", add_special_tokens=False).ids
-            ids = np.array(ids, np.uint32)
-            ends = np.flatnonzero(ids == self.line)
-            if len(ends) == len(some):
-                found += [x[x != self.line] for x in np.split(ids, ends[:-1])]
-            else:
-                found += self._encode(some)
-        return found
+            ids = self.tokenizer.encode("\n" + "\n".join(some), add_special_tokens=False).ids
+            found.append(np.array(ids, np.uint32))
+            if np.count_nonzero(found[-1] == self.line) != len(some):
+                raise ValueError("the tokenizer does not keep line ends apart")
+        flat = np.concatenate(found)
+        starts = np.flatnonzero(flat == self.line) + 1
+        return flat, starts, np.diff(starts, append=len(flat) + 1) - 1
+
+
+def _texts(words: pa.Array, keys: np.ndarray) -> list[str]:
+    texts = words.take(pa.array(keys >> 1)).to_pylist()
+    return [" " + w if k & 1 else w for w, k in zip(texts, keys.tolist(), strict=True)]
 
 
 def cuts_at_blanks(rules: dict) -> bool:
