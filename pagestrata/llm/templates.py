@@ -27,10 +27,11 @@ UNITS = (
     "lit(?:er|re)s?|gallons?|hours?|hrs?|h|minutes?|min|seconds?|sec|s|days?|weeks?|months?|years?|"
     "dollars?|cents?|euros?|usd|eur|kmh|mph|degrees?|kb|mb|gb|tb|watts?|kw|volts?|v"
 )
-_NUMERAL = r"\d+(?:[.,:/]\d+)*"
+# Possessive, and never begun within itself: a long chain is gone through once and without recursion.
+_NUMERAL = r"\d++(?:[.,:/]\d++)*+"
 # A capitalised word within a sentence, which the character before the blanks shows.
 _NAMES = r"\p{Lu}(?<=[\p{L}\p{N},;:]\s{1,3}\p{Lu})[\p{Ll}\p{M}]+"
-_MEASURES = rf"({_NUMERAL})\s{{0,3}}(?i:({UNITS}))(?![\p{{L}}\p{{N}}])"
+_MEASURES = rf"(?<!\d)(?<!\d[.,:/])({_NUMERAL})\s{{0,3}}(?i:({UNITS}))(?![\p{{L}}\p{{N}}])"
 _OTHERS = rf"(?<![{NUMBER}\d.,:/])({_NUMERAL})"
 _SLOTS = rf"{NUMBER}[\d.,:/]*\d|{NAME}[\p{{L}}\p{{M}}]+|{UNIT}(?:\p{{L}}+|%)"
 _VALUES = rf"([{_OWN}])(?:(?<={NUMBER})[\d.,:/]*\d|(?<={NAME})[\p{{L}}\p{{M}}]+|(?<={UNIT})(?:\p{{L}}+|%))"
@@ -103,19 +104,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
     template words in a row (or all but one, if it has fewer) agree and the slots are consistent:
     within the run, equal values of the item are equal values in the document and unequal
     ones unequal. ``LITERAL`` of the words needed must be literal words. A stretch that is long
-    enough and has the item's own values is found all the same, if not all of it are numbers.
+    enough and has the item's own values is found all the same, also one of numbers.
     The same holds for plain lower-case words without placeholders, so that copies in other
     case or without signs, which have other placeholders, are found; what either kind finds counts.
     Items of fewer than ``SHORTEST`` words are found where all their words stand in a row, in
     any case and with any signs between, if not all are numbers.
 
     All documents are cut into consecutive windows of both kinds, those of items start at every word;
-    a run always holds one such window whole. Only the windows' hashes meet all documents; those
-    with a hit are compared at every word, and runs are put together along diagonals.
-
-    NULL and empty texts hold nothing. Items that are NULL or have no words but numbers are not
-    looked for: they are no evidence. Rows that repeat an id are searched each;
-    repeated rows and items give their result once. No rows on either side give no rows.
+    a run always holds one such window whole. Only the windows' hashes meet all documents. In those
+    with a hit the windows at every word are counted, and of every ``run`` words of an item only the
+    rarest window is looked for, so that common ones ("which of the following is") pair nothing.
+    Where it stands, the item's windows are compared one by one along the diagonal.
+
+    NULL and empty texts hold nothing. Items that are NULL, or have fewer than ``SHORTEST`` words
+    all of which are numbers, are not looked for: they are no evidence. Rows that repeat an id are
+    searched each; repeated rows and items give their result once. No rows on either side give no rows.
     """
     benchmark = benchmark.filter("text IS NOT NULL").select("item_id", "text").distinct()
     plain_items = _plain_items(benchmark)
@@ -148,14 +151,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
         .unionByName(words.withColumns({"values": F.col("words"), "kind": F.lit(1)}))
         .withColumn("doc", F.xxhash64("doc_id", "row", "kind"))
     )
-    pairs = (
-        _windows(found, "doc", "kind").withColumn("hash", F.xxhash64("window"))
-        .join(
-            windows.select("item", "kind", F.col("at").alias("item_at"), "window", "hash"),
-            ["hash", "window", "kind"],
-        )
-        .select("doc", "item", "at", (F.col("at") - F.col("item_at")).alias("shift"))
+    needed = F.least(F.lit(run), F.greatest(F.size("words") - 1, F.lit(SHORTEST)))
+    needs = items.select("item", needed.alias("needed"))
+    here = stored(_windows(found, "doc", "kind").withColumn("hash", F.xxhash64("window")).join(if_few(hashes), "hash", "left_semi"))
+    seeds = stored(_rarest(windows, needs, here.groupBy("hash").agg(F.count("*").alias("often"))))
+    met = (
+        here.join(seeds, ["hash", "window", "kind"])
+        .select("doc", "item", (F.col("at") - F.col("item_at")).alias("shift"))
+        .distinct()
     )
+    along_item = met.join(windows.select("item", F.col("at").alias("item_at"), "window"), "item").select(
+        "doc", "item", "shift", (F.col("item_at") + F.col("shift")).alias("at"), "window"
+    )
+    pairs = along_item.join(here.select("doc", "at", "window"), ["doc", "at", "window"])
     along = Window.partitionBy("doc", "item", "shift").orderBy("at")
     runs = (
         pairs.withColumn("island", F.col("at") - F.row_number().over(along))
@@ -163,14 +171,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
         .agg(F.min("at").alias("start"), (F.max("at") + WINDOW).alias("stop"))
     )
     n = F.col("stop") - F.col("start")
-    needed = F.least(F.lit(run), F.greatest(F.size("i.words") - 1, F.lit(SHORTEST)))
+    needed = F.col("needed")
     runs = (
         runs.filter(n >= SHORTEST)
-        .join(items.alias("i"), "item")
+        .join(needs, "item")
         .filter(n >= needed)
+        .join(items.alias("i"), "item")
         .join(found.alias("d"), "doc")
         .select(
-            "d.doc_id", "d.row", "i.item_id", "i.kind", n.cast("long").alias("n"), needed.alias("needed"),
+            "d.doc_id", "d.row", "i.item_id", "i.kind", n.cast("long").alias("n"), needed,
             F.slice("d.words", F.col("start") + 1, n).alias("words"),
             F.slice("d.values", F.col("start") + 1, n).alias("here"),
             F.slice("i.values", F.col("start") - F.col("shift") + 1, n).alias("there"),
@@ -196,14 +205,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFra
     )
 
 
+def _rarest(windows: DataFrame, needs: DataFrame, counts: DataFrame) -> DataFrame:
+    """Of every ``needed`` words of an item (``needs``) the window that is rarest by ``counts`` (``hash``,
+    ``often``): ``item``, ``kind``, ``item_at``, ``hash``, ``window``.
+
+    Templates of nothing but placeholders are left out: a run of them only has too few literal
+    words, and if it has the item's own values, it is found by its plain words."""
+    counted = windows.join(counts, "hash", "left").join(needs, "item")
+    one = F.struct(F.coalesce("often", F.lit(0)).alias("often"), F.col("at").alias("item_at"), "hash", "window")
+    of_item = counted.groupBy("item", "kind", "needed").agg(F.array_sort(F.collect_list(F.struct("at", one.alias("w")))).alias("all"))
+    length = F.col("needed") - WINDOW + 1
+    starts = F.sequence(F.lit(1), F.size("all") - length + 1)
+    least = F.transform(starts, lambda at: F.array_min(F.slice(F.col("all.w"), at, length)))
+    seeds = of_item.select("item", "kind", F.explode(F.array_distinct(least)).alias("w"))
+    seeds = seeds.select("item", "kind", "w.item_at", "w.hash", "w.window")
+    return seeds.filter((F.col("kind") == 1) | F.col("window").rlike(f"[^{_OWN} ]"))
+
+
 def _own_words() -> Column:
-    """The longest stretch of a run (``words``, ``here``, ``there``) with the item's own values
-    that has a word besides numbers, 0 without one."""
-    sort = F.transform(
-        F.arrays_zip("words", "here", "there"),
-        lambda s: F.when(s["here"] != s["there"], "-").when(s["words"].rlike(_NUMERIC), "n").otherwise("w"),
-    )
-    stretches = F.filter(F.split(F.array_join(sort, ""), "-+"), lambda s: s.contains("w"))
+    """The longest stretch of a run (``words``, ``here``, ``there``) with the item's own values."""
+    same = F.transform(F.arrays_zip("here", "there"), lambda s: F.when(s["here"] == s["there"], "w").otherwise("-"))
+    stretches = F.split(F.array_join(same, ""), "-+")
     return F.coalesce(F.array_max(F.transform(stretches, F.length)), F.lit(0)).cast("long")
 
 

@@ -1,7 +1,14 @@
+import random
 import re
+import time
+
+import pytest
+import regex
 
 from helpers import documents, empty, rows, with_clashes
-from pagestrata.llm.templates import find_leaks, without_leaks
+from pagestrata.llm import templates
+from pagestrata.llm.templates import find_leaks, template, without_leaks, words_of
+from pyspark.sql import functions as F
 
 ITEM = (
     "A train leaves the town with Alice at noon and runs 60 km per hour for 3 hours; "
@@ -68,9 +75,12 @@ def test_short_items_need_all_words(spark):
     assert [r[0] for r in found(spark, docs, item)] == list(range(6))
 
 
-def test_tables_of_numbers_are_no_leaks(spark):
+def test_items_of_numbers_are_found_word_for_word(spark):
     numbers = " ".join(str(i) for i in range(40))
-    assert found(spark, [(1, numbers), (2, " ".join(str(i * 7) for i in range(40)))], numbers) == []
+    tables = [(2, " ".join(str(i * 7) for i in range(40))), (3, numbers.replace("5", "4"))]
+    assert found(spark, [(1, FILLER + numbers + FILLER), *tables], numbers) == [(1, 0, True)]
+    sums = "12 * 7 + 45 - 18 / 3 + 99 * 2 + 14 - 5 * 8 + 61 / 4 - 33 + 6 * 9 - 71 + 28 / 2 + 10 - 3 * 4 + 16 ="
+    assert found(spark, [(1, sums), (2, sums.replace("45", "46").replace("61", "62"))], sums) == [(1, 0, True)]
 
 
 def test_copies_of_numbers_and_names(spark):
@@ -124,3 +134,96 @@ def test_empty_tables(spark):
     docs, items = documents(spark, [(1, ITEM)]), benchmark(spark, ITEM)
     assert find_leaks(empty(spark, docs.schema), items).count() == 0
     assert find_leaks(docs, empty(spark, items.schema)).count() == 0
+
+
+@pytest.mark.parametrize("sign", ".,:/")
+def test_very_long_chains_of_numbers(spark, sign):
+    chain = sign.join(str(i % 97) for i in range(100_000))
+    started = time.monotonic()
+    docs = documents(spark, [(1, chain), (2, chain + " km"), (3, sign + chain + sign), (4, FILLER + ITEM + chain)])
+    sizes = docs.select("doc_id", F.length(template(F.col("text"))).alias("n"), F.size(words_of(F.col("text"))).alias("w"))
+    assert rows(sizes, "doc_id", "w")[:2] == [(1, 1), (2, 2)]
+    assert found(spark, [(1, chain), (4, FILLER + ITEM + " " + chain)], ITEM) == [(4, 0, True)]
+    assert time.monotonic() - started < 60
+
+
+def test_one_window_in_everything(spark):
+    common = "which of the following is"
+    own = ["".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(300)]
+    items = [f"{common} the word{w} that makes other{w} things go round{w} and so on{w} here" for w in own]
+    docs = [(i, f"{FILLER} {common} {'not ' * 5}" * 6) for i in range(2000)] + [(5000 + i, FILLER + items[i]) for i in range(50)]
+    assert found(spark, docs, *items) == [(5000 + i, i, True) for i in range(50)]
+
+
+def brute(text, kind):
+    """(template words, values) of a text, by the same patterns and another engine."""
+    own = templates._OWN
+    if kind:
+        words = regex.findall(templates._LITERALS, text.upper().lower())
+        return words, words
+    text = regex.sub(f"[{own}]", " ", text)
+    text = regex.sub(templates._NAMES, lambda m: templates.NAME + m[0], text)
+    text = regex.sub(templates._MEASURES, lambda m: f" {templates.NUMBER}{m[1]} {templates.UNIT}{m[2]} ", text)
+    text = regex.sub(templates._OTHERS, lambda m: f" {templates.NUMBER}{m[1]} ", text)
+    values = regex.findall(f"{templates._SLOTS}|{templates._LITERALS}", text.lower())
+    return [v[0] if v[0] in (templates.NUMBER, templates.NAME, templates.UNIT) else v for v in values], values
+
+
+def leaks_by_brute_force(docs, items):
+    """Every diagonal of every document and item, word by word."""
+    out = {}
+    for item_id, item in enumerate(items):
+        closed = regex.sub(r"[^\p{L}\p{M}\p{N}\s]+", "", item)
+        for kind, item_text in ((0, item), (1, item), (1, closed)):
+            there, theirs = brute(item_text, kind)
+            for doc_id, text in docs:
+                here, ours = brute(text, kind)
+                if kind and 0 < len(there) < 9:
+                    whole = any(here[i : i + len(there)] == there for i in range(len(here)))
+                    if whole and not all(regex.fullmatch(r"\p{N}+", w) for w in there):
+                        out[doc_id, item_id] = True
+                if len(there) < 9:
+                    continue
+                needed = min(13, max(len(there) - 1, 9))
+                for shift in range(-len(there), len(here)):
+                    run = []
+                    for i in range(len(there) + 1):
+                        at = i + shift
+                        if i < len(there) and 0 <= at < len(here) and here[at] == there[i]:
+                            run.append((there[i], ours[at], theirs[i]))
+                            continue
+                        if len(run) >= needed:
+                            slots = [(o, t) for w, o, t in run if w[0] in (templates.NUMBER, templates.NAME, templates.UNIT)]
+                            consistent = len({o for o, _ in slots}) == len(set(slots)) == len({t for _, t in slots})
+                            longest = max(map(len, "".join("w" if o == t else " " for _, o, t in run).split()), default=0)
+                            literal = 10 * (len(run) - len(slots)) >= 6 * needed
+                            if longest >= needed:
+                                out[doc_id, item_id] = True
+                            elif kind == 0 and consistent and literal:
+                                out.setdefault((doc_id, item_id), False)
+                        run = []
+    return sorted((d, i, v) for (d, i), v in out.items())
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(12)
+    words = ["the", "of", "train", "runs", "asks", "how", "far", "Alice", "Bob", "60", "3", "km", "7,5", "hours", "by", "now", "(x)", "well-made"]
+
+    def text(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    items = [text(rng.randrange(1, 26)) for _ in range(25)] + ["1 2 3 4 5 6 7 8 9 10 11", "5 km 7 km 9 km 8 km 1 km", "the of the of the of the of the of the of"]
+    docs = []
+    for i in range(120):
+        part = rng.choice(items).split(" ")
+        start = rng.randrange(len(part))
+        copied = part[start : start + rng.randrange(1, 30)] if rng.random() < 0.5 else part
+        swap = {"Alice": "Carol", "60": "75", "3": "4"} if rng.random() < 0.4 else {}
+        copied = [swap.get(w, w) for w in copied]
+        if rng.random() < 0.3:
+            copied[rng.randrange(len(copied))] = rng.choice(words)
+        middle = " ".join(copied)
+        docs.append((i, f"{text(rng.randrange(12))} {middle.upper() if rng.random() < 0.1 else middle} {text(rng.randrange(12))}"))
+    want = leaks_by_brute_force(docs, items)
+    assert {v for *_, v in want} == {True, False}
+    assert sorted(found(spark, docs, *items)) == want
