@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagestrata.llm.common import stored
+from pagestrata.llm.common import stored, with_lookup
 
 
 def blocks(members: DataFrame, member: str, parts: Column) -> DataFrame:
@@ -108,6 +108,15 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(own)
 
 
+def with_components(nodes: DataFrame, links: DataFrame, least: Column) -> DataFrame:
+    """``nodes`` (``node`` and others) that ``links`` (``u``, ``v``) reach, with ``component``: the
+    smallest value of ``least`` among all nodes that their links reach."""
+    of = nodes.join(components(links).withColumnsRenamed({"id": "node", "component": "_root"}), "node")
+    of = stored(of)
+    smallest = of.groupBy("_root").agg(F.min(least).alias("component"), F.count("*").alias("_weight"))
+    return with_lookup(of, smallest, "_root", "_weight").drop("_root")
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 

@@ -44,21 +44,22 @@ class Network:
         return [self.vectors, *self.banks, *self.biases, self.out, self.out_bias]
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS, seed: int = 5) -> Network:
+def fit(
+    docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS, seed: int = 5, languages: int = LANGUAGES
+) -> Network:
     """Fit a network on rows of ``docs`` (``text``, ``lang``), both not NULL.
 
     Fitted on ``sample`` windows per language at most, of ``WINDOW`` characters at a place that
-    the text's hash gives, one for a text; the windows of all languages (``LANGUAGES`` at
-    most) come to the driver. Repeated texts count once. Texts without letters are left out.
+    the text's hash gives, one for a text; the windows of all languages come to the driver. Of more
+    than ``languages`` labels the most frequent by distinct texts are learnt, and the others
+    are never predicted. Repeated texts count once. Texts without letters are left out.
     No rows give a network without languages.
     """
     labelled = docs.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
     labelled = labelled.filter(F.col("text").rlike(r"\p{L}"))
     picked = labelled.withColumn("_hash", F.xxhash64("text"))
     counts = picked.groupBy("lang").agg(F.approx_count_distinct("_hash").alias("n"))
-    counts = counts.limit(LANGUAGES + 1).collect()
-    if len(counts) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    counts = counts.orderBy(F.desc("n"), "lang").limit(languages).collect()
     none = np.zeros(0)
     unknown = Network([], none, [], [], none, none)
     if not counts:
@@ -78,10 +79,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS, seed: int = 5
     rows = sorted((r["lang"], r["_n"], r["window"]) for r in rows.drop("_hash").collect())
     if not rows:
         return unknown
-    languages = sorted({r[0] for r in rows})
+    names = sorted({r[0] for r in rows})
     x = np.concatenate([windows_of(r[2].encode()[:WINDOW])[:1] for r in rows])
-    y = np.array([languages.index(r[0]) for r in rows])
-    return train(x, y, languages, steps, seed)
+    y = np.array([names.index(r[0]) for r in rows])
+    return train(x, y, names, steps, seed)
 
 
 def train(x: np.ndarray, y: np.ndarray, languages: list[str], steps: int, seed: int) -> Network:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagestrata.llm.common import if_few, stored
-from pagestrata.llm.groups import blocks, comparable, components, forest, in_blocks, whole_groups
+from pagestrata.llm.groups import blocks, comparable, forest, in_blocks, whole_groups, with_components
 
 SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -56,11 +56,31 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, seed: int = 3) -> D
     words are one shingle. Rows with NULL ids have no ``component_id`` and are kept. Rows that
     repeat an id are compared each by its text. No rows give no rows.
     """
+    return _placed(docs, percent, seed).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each class of ``near_duplicates``: of its smallest id, and of that the
+    text of the smallest hash. Rows that repeat an id stand by their texts, so that a text
+    goes only with its like; rows with NULL ids all stay."""
+    first = _placed(docs, percent).filter("first").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
+    same = (docs["doc_id"] == first["_id"]) & (F.xxhash64(docs["text"]) == first["_row"])
+    known = docs.filter("doc_id IS NOT NULL").join(first.distinct(), same, "left_semi")
+    # Repeated rows are one; a text's hash stands for it.
+    row = F.xxhash64("text")
+    once = known.withColumn("_row", row).dropDuplicates(["doc_id", "_row"]).drop("_row")
+    return once.unionByName(docs.filter("doc_id IS NULL"))
+
+
+def _placed(docs: DataFrame, percent: int, seed: int = 3) -> DataFrame:
+    """The columns of ``near_duplicates``, ``row`` (hash of the text) and ``first``: whether no row of the
+    class comes before this one by id and hash."""
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("row"))
     bands = n_bands(percent)
     sketches = stored(
         texts.mapInArrow(lambda batches: _sketch(batches, bands, seed), _SKETCH)
     )
+    # Each distinct set is a node. Its number is not an id, of which several sets may have one.
     reps = stored(
         sketches.filter("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("hi", "lo")
@@ -70,54 +90,50 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, seed: int = 3) -> D
             F.first("bands").alias("bands"),
         )
         .select("hi", "lo", F.col("first.doc_id").alias("rep"), F.col("first.row").alias("row"), "n", "bands")
+        .withColumn("node", F.monotonically_increasing_id())
     )
     links = stored(_links(texts, reps, percent))
-    found = components(links)
-
-    class_of = reps.select(F.col("hi").alias("_hi"), F.col("lo").alias("_lo"), "rep")
+    found = with_components(reps.select("node", "rep", "row"), links, F.struct("rep", "row"))
+    found = reps.select("hi", "lo", "node", F.struct("rep", "row").alias("own")).join(
+        found.select("node", "component"), "node", "left"
+    )
+    least = found.select(
+        F.col("hi").alias("_hi"), F.col("lo").alias("_lo"), F.coalesce("component", "own").alias("least")
+    )
     of_class = sketches.drop("bands").join(
-        class_of, (F.col("hi") == F.col("_hi")) & (F.col("lo") == F.col("_lo")), "left"
+        least, (F.col("hi") == F.col("_hi")) & (F.col("lo") == F.col("_lo")), "left"
     )
-    of_link = found.select(F.col("id").alias("rep"), "component")
-    component = F.when(
-        F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")
-    ).alias("component_id")
-    return of_class.join(of_link, "rep", "left").select(
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least.rep", "doc_id"))
+    return of_class.select(
         "doc_id",
         "n_shingles",
-        component,
+        component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "row",
+        F.coalesce((F.col("doc_id") == F.col("least.rep")) & (F.col("row") == F.col("least.row")), F.lit(True)).alias("first"),
     )
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each class of ``near_duplicates``; rows with NULL ids all stay."""
-    first = near_duplicates(docs, percent).filter("doc_id IS NOT NULL AND kept")
-    first = first.select(F.col("doc_id").alias("_kept_id"))
-    known = docs.join(first, docs["doc_id"] == first["_kept_id"], "left_semi")
-    return known.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
-
-
 def _links(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Links between representatives (``u``, ``v``) that hold all linked ones together."""
-    keys = reps.select("rep", "row", "n", F.explode("bands").alias("key"))
+    keys = reps.select("node", "n", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.count("*").alias("docs"), F.sum("n").alias("size"))
     buckets = buckets.filter("docs > 1")
     parts = F.greatest(F.ceil(F.col("docs") / PART_DOCS), F.ceil(F.col("size") / PART_SHINGLES))
-    met = blocks(keys.join(buckets, "key"), "rep", parts)
-    own = reps.select(F.col("rep").alias("_rep"), F.col("row").alias("_row"), "bands")
-    met = met.join(own, (F.col("rep") == F.col("_rep")) & (F.col("row") == F.col("_row")))
-    block = "key long, low long, high long, part long, rep long, row long"
+    met = blocks(keys.join(buckets, "key"), "node", parts).join(reps.select("node", "bands"), "node")
+    block = "key long, low long, high long, part long, node long"
     wanted = stored(
-        in_blocks(met, ["part", "rep", "row", "n", "bands"]).mapInArrow(
+        in_blocks(met, ["part", "node", "n", "bands"]).mapInArrow(
             lambda batches: _with_new_partner(batches, percent), block
         )
     )
     # The texts wanted are taken out first: all others need not be shuffled.
-    ids = if_few(wanted.select(F.col("rep").alias("_rep"), F.col("row").alias("_row")).distinct())
-    source = texts.withColumnsRenamed({"doc_id": "_rep", "row": "_row"}).join(ids, ["_rep", "_row"], "left_semi")
-    sent = wanted.join(source, (F.col("rep") == F.col("_rep")) & (F.col("row") == F.col("_row")))
-    return in_blocks(sent, ["part", "rep", "text"]).mapInArrow(
+    nodes = wanted.select("node").distinct().join(reps.select("node", "rep", "row"), "node")
+    ids = if_few(nodes.withColumnsRenamed({"rep": "_rep", "row": "_row"}))
+    same = (texts["doc_id"] == ids["_rep"]) & (texts["row"] == ids["_row"])
+    # Repeated rows would come as often as they are there.
+    source = texts.join(ids, same).select("node", "text").dropDuplicates(["node"])
+    return in_blocks(wanted.join(source, "node"), ["part", "node", "text"]).mapInArrow(
         lambda batches: _compare(batches, percent), "u long, v long"
     )
 
@@ -226,8 +242,8 @@ def _with_new_partner(batches: Iterator[pa.RecordBatch], percent: int) -> Iterat
     """Members of a block that have a partner there, alike in size, whom they have met in no
     earlier band."""
     for batch, starts, stops in whole_groups(batches):
-        key, low, high, part, _, _, n = (np.asarray(batch.column(i)) for i in range(7))
-        lists = batch.column(7)
+        key, low, high, part, _, n = (np.asarray(batch.column(i)) for i in range(6))
+        lists = batch.column(6)
         bands = np.asarray(lists.flatten()).reshape(batch.num_rows, -1)
         stay = np.zeros(batch.num_rows, bool)
         for start, stop in zip(starts, stops, strict=True):
@@ -245,13 +261,13 @@ def _with_new_partner(batches: Iterator[pa.RecordBatch], percent: int) -> Iterat
                 pairs &= values[:, None] != values[None, :]
             stay[start:stop] = pairs.any(0) | pairs.any(1)
         yield pa.RecordBatch.from_arrays(
-            batch.columns[:6], names=["key", "low", "high", "part", "rep", "row"]
+            batch.columns[:5], names=["key", "low", "high", "part", "node"]
         ).filter(pa.array(stay))
 
 
 def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch, starts, stops in whole_groups(batches):
-        low, high, part, rep = (np.asarray(batch.column(i)) for i in range(1, 5))
+        low, high, part, node = (np.asarray(batch.column(i)) for i in range(1, 5))
         out: list[tuple[int, int]] = []
         for start, stop in zip(starts, stops, strict=True):
             if stop - start < 2:
@@ -261,7 +277,7 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             size = np.array([len(s) for s in sets])
             links = 100 * both >= percent * (size[:, None] + size[None, :] - both)
             links &= comparable(part[start:stop], low[start], high[start])
-            out += forest(rep[start:stop], links)
+            out += forest(node[start:stop], links)
         if out:
             u, v = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagestrata.llm.common import stored
+from pagestrata.llm.common import stored, with_lookup
 
 #: Of the pages of a host that is let through, so large a share may be good at the upper bound.
 SHARE = 0.5
@@ -18,8 +18,6 @@ DEVIATIONS = 1.0
 VARIATION, LEAST_VARIATION, MOST_VARIATION = 0.1, 0.001, 0.5
 #: Sums of a level are of whole multiples of this, so that they do not depend on the order.
 UNIT = 2.0**-20
-#: A key that at least one row in ``HEAVY`` has is spread over ``SALTS`` tasks: at most ``HEAVY`` keys.
-HEAVY, SALTS = 256, 1024
 
 # Suffixes of two labels under which domains are registered.
 SUFFIXES = (
@@ -147,20 +145,6 @@ def _posterior(level: DataFrame) -> DataFrame:
     return level.withColumn("mean", (m * strength + k) / (n + strength)).withColumn("strength", n + strength)
 
 
-def with_lookup(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFrame:
-    """``left`` with the columns of ``right``, which has one row for each ``key``, all but ``weight``:
-    about how many rows of ``left`` have the key. Keys that at least one in ``HEAVY`` of these rows has, by
-    their hashes, get ``SALTS`` rows on the right, among which the rows on the left are spread."""
-    right = stored(right)
-    total = right.agg(F.sum(weight)).first()[0] or 0
-    heavy = right.filter(F.col(weight) * HEAVY >= total).select(F.xxhash64(key).alias("hash")).limit(HEAVY).collect()
-    own = F.xxhash64(key).isin(*[r["hash"] for r in heavy]) if heavy else F.lit(False)
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
-    salted = left.withColumn("_salt", F.when(own, salt).otherwise(0))
-    copies = F.explode(F.when(own, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
-    return salted.join(right.drop(weight).withColumn("_salt", copies), [key, "_salt"]).drop("_salt")
-
-
 def judge_urls(
     pages: DataFrame,
     rules: Rules,

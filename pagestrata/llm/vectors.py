@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagestrata.llm.common import stored
-from pagestrata.llm.groups import blocks, comparable, components, forest, in_blocks, whole_groups
+from pagestrata.llm.groups import blocks, comparable, forest, in_blocks, whole_groups, with_components
 
 #: Links have at least this cosine; the tables together find so many of those that just have it.
 COSINE = 0.9
@@ -73,7 +73,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, seed: int = 9) -> D
     classes = stored(
         marked.filter("sound")
         .groupBy("h1", "h2")
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
+        .agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
+        # A class's number is not an id, of which several classes may have one.
+        .withColumn("rep", F.monotonically_increasing_id())
     )
     length, tables = shape(classes.count(), cosine)
     hashed = stored(
@@ -83,15 +85,17 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, seed: int = 9) -> D
         )
     )
     found = stored(_pairs(hashed, cosine))
-    counts = found.groupBy("u").agg(F.sum("n").alias("n"))
-    reached = components(found.filter("v IS NOT NULL").select("u", "v"))
-
-    of_class = classes.select("h1", "h2", "rep", "copies").withColumn("sound", F.lit(True))
-    ids = marked.select("vec_id", "sound", "h1", "h2").join(of_class, ["h1", "h2", "sound"], "left")
-    joined = ids.join(counts.withColumnRenamed("u", "rep"), "rep", "left").join(
-        reached.withColumnRenamed("id", "rep"), "rep", "left"
+    counts = found.groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("n"))
+    nodes = classes.select(F.col("rep").alias("node"), "first")
+    reached = with_components(nodes, found.filter("v IS NOT NULL").select("u", "v"), F.col("first"))
+    of_class = (
+        classes.select("h1", "h2", "rep", "first", "copies")
+        .join(counts, "rep", "left")
+        .join(reached.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        .withColumn("sound", F.lit(True))
     )
-    component = F.coalesce("component", "rep", "vec_id")
+    joined = marked.select("vec_id", "sound", "h1", "h2").join(of_class, ["h1", "h2", "sound"], "left")
+    component = F.coalesce("component", "first", "vec_id")
     return joined.select(
         "vec_id",
         (F.coalesce("n", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),

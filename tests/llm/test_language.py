@@ -140,3 +140,12 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     right = found.filter("held_out").join(docs, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")))
     assert right.first()[0] >= 0.97
+
+
+def test_more_labels_than_are_learnt(spark):
+    rows_ = [(i, f"some words of text number {i}", "en") for i in range(60)]
+    rows_ += [(100 + i, f"ein paar andere worte {i} und noch mehr", "de") for i in range(50)]
+    rows_ += [(1000 + i, f"stray {i} column", f"label{i}") for i in range(230)]
+    net = fit(documents(spark, rows_), steps=20, languages=2)
+    assert net.languages == ["de", "en"]
+    assert len(fit(documents(spark, rows_), steps=2).languages) <= 200

@@ -143,3 +143,17 @@ def test_components(spark):
     ends = {x for e in edges for x in e if e[0] != e[1]}
     assert got == {x: root(x) for x in ends}
     assert components(df.filter("u < 0")).count() == 0
+
+
+def test_every_text_of_repeated_ids_survives(spark):
+    a, b = " ".join(f"alpha{i}" for i in range(30)), " ".join(f"one{i}" for i in range(30))
+    near = b.replace("one29", "other")
+    docs = documents(spark, [(1, a), (1, b), (2, b), (3, near), (3, a), (4, None), (4, ""), (4, ""), (None, b), (None, b)])
+    assert rows(one_of_each(docs, 80), "doc_id", "text") == [(1, a), (1, b), (4, ""), (4, None), (None, b), (None, b)]
+    placed = rows(near_duplicates(docs, 80), "doc_id", "component_id")
+    assert placed == [(1, 1), (1, 1), (2, 1), (3, 1), (3, 1), (4, 4), (4, 4), (4, 4), (None, None), (None, None)]
+    # Rows of one id that have nothing to do with each other stay apart.
+    far = documents(spark, [(5, a), (5, b), (6, near), (7, "x y"), (2, a)])
+    assert rows(near_duplicates(far, 80), "doc_id", "component_id") == [(2, 2), (5, 2), (5, 5), (6, 5), (7, 7)]
+    # Near copies under one id are one.
+    assert len(rows(one_of_each(documents(spark, [(1, b), (1, near)]), 80), "doc_id")) == 1

@@ -3,7 +3,7 @@ import random
 from collections import defaultdict
 
 from helpers import empty
-from pagestrata.llm import reputation
+from pagestrata.llm import common, reputation
 from pagestrata.llm.reputation import domain_of, host_of, host_reputation, judge_urls, path_of
 from pyspark.sql import functions as F
 
@@ -112,8 +112,8 @@ def test_long_urls_and_long_hosts(spark):
 
 
 def test_one_hot_host(spark, monkeypatch):
-    monkeypatch.setattr(reputation, "HEAVY", 4)
-    monkeypatch.setattr(reputation, "SALTS", 8)
+    monkeypatch.setattr(common, "HEAVY", 4)
+    monkeypatch.setattr(common, "SALTS", 8)
     pages = [(i, f"http://hot.example.com/{'de' if i % 3 else 'en'}/{i}") for i in range(300)]
     pages += [(1000 + i, f"http://h{i}.example.com/en/") for i in range(40)]
     found = check(spark, pages)

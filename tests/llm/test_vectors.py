@@ -102,3 +102,12 @@ def test_shape_of_tables():
     for n in (10**3, 10**6):
         length, tables = shape(n)
         assert 1 - (1 - meets(math.sqrt(0.2)) ** length) ** tables >= 0.995
+
+
+def test_repeated_ids_link_by_their_vectors(spark):
+    a, a2, b, b2 = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0], [0.0, 0.0, 1.0], [0.0, 0.1, 1.0]
+    df = spark.createDataFrame([(1, a), (1, b), (2, a2), (3, b2)], "vec_id long, embedding array<double>")
+    got = rows(near_vectors(df), "vec_id", "n_links", "component_id")
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+    df = spark.createDataFrame([(5, a), (5, b), (2, a2), (7, b2)], "vec_id long, embedding array<double>")
+    assert rows(near_vectors(df), "vec_id", "n_links", "component_id") == [(2, 1, 2), (5, 1, 2), (5, 1, 5), (7, 1, 5)]
