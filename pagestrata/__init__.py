@@ -37,11 +37,21 @@ from pagestrata.operators.topk import (
 )
 from pagestrata.plans.capture_query import find_captures
 from pagestrata.plans.requests import plan_crawl_requests, plan_fetches, plan_requests
+from pagestrata.sources.blocks import (
+    find_in_blocks,
+    read_blocks,
+    read_cluster_index,
+    scan_blocks,
+    write_block_index,
+    write_blocks,
+)
 from pagestrata.sources.catalog import read_crawl_catalog
 from pagestrata.sources.cdx import parse_cdx, read_cdx
 from pagestrata.sources.cdxj import parse_cdxj, read_cdxj
+from pagestrata.sources.decode import decode_bodies
 from pagestrata.sources.export import export_bodies, write_captures
 from pagestrata.sources.layout import read_index_table, register_index, to_index_table
+from pagestrata.sources.record_index import captures_of, index_records
 from pagestrata.sources.warc import fetch_records
 
 # Task functions travel with the job, so executors need not have this package.
