@@ -99,9 +99,9 @@ def cap_per_crawl(df: DataFrame, n: int) -> DataFrame:
 def balanced_sample(df: DataFrame, n: int) -> DataFrame:
     """``n`` captures spread over the crawls present: ceil(n / crawls) of each, then n."""
     order = [c for c in index_order(df) if c != "crawl_id"]
-    crawls = df.agg(F.count_distinct("crawl_id")).scalar()
-    share = F.ceil(F.lit(n) / F.greatest(crawls, F.lit(1)))
-    spread = rank_at_most(df, ["crawl_id"], order, n).filter(F.col("_rank") <= share)
+    crawls = df.agg(F.count_distinct("crawl_id")).first()[0]
+    share = -(-n // max(crawls, 1))
+    spread = rank_at_most(df, ["crawl_id"], order, share)
     return take_ordered(spread.drop("_rank"), [*order, "crawl_id"], n)
 
 

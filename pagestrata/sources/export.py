@@ -42,9 +42,10 @@ def _object_writer(folder: str, suffix: str):
         fs, base = file_system(folder)
         made = set()
         for batch in batches:
-            rows = batch.to_pydict()
-            paths = []
-            for url, taken, body in zip(rows["url"], rows["taken"], rows["body"]):
+            paths, sizes = [], []
+            # One body at a time is held besides the batch.
+            for url, taken, body in zip(*(batch.column(c) for c in ("url", "taken", "body"))):
+                url, taken, body = url.as_py(), taken.as_py(), body.as_py()
                 tag = hashlib.sha256(f"{taken} {url} ".encode() + body).hexdigest()
                 shard = f"{base}/{tag[:2]}"
                 if shard not in made:
@@ -53,9 +54,8 @@ def _object_writer(folder: str, suffix: str):
                 paths.append(f"{tag[:2]}/{tag}{suffix}")
                 with fs.open_output_stream(f"{base}/{paths[-1]}") as out:
                     out.write(body)
-            sizes = [len(b) for b in rows["body"]]
-            yield pa.RecordBatch.from_pydict(
-                {"url": rows["url"], "taken": rows["taken"], "path": paths, "bytes": sizes}
-            )
+                sizes.append(len(body))
+            columns = [batch.column("url"), batch.column("taken"), pa.array(paths, pa.string()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["url", "taken", "path", "bytes"])
 
     return run

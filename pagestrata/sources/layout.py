@@ -8,6 +8,8 @@ from pagestrata.schema import index_order
 
 # Rows that one task sorts and writes, some hundreds of megabytes without bodies.
 ROWS_PER_TASK = 2_000_000
+# Tasks that write; beyond, each sorts more rows, on disk.
+MOST_TASKS = 50_000
 
 
 def to_index_table(
@@ -22,7 +24,7 @@ def to_index_table(
     """
     if files is None:
         least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        files = max(least, -(-df.count() // ROWS_PER_TASK))
+        files = max(least, min(MOST_TASKS, -(-df.count() // ROWS_PER_TASK)))
     order = [c for c in index_order(df) if c != "crawl_id"]
     by = ["crawl_id", *order]
     spread = df.repartitionByRange(files, *by)

@@ -33,6 +33,8 @@ BUDGET_SECONDS = 180
 # Reads of one task: a read over a network takes about as long whatever its length.
 RECORDS_PER_TASK = 250
 BYTES_PER_TASK = 256 << 20
+# Tasks of one job; beyond, each has more to read.
+MOST_TASKS = 50_000
 
 # Payload bytes handed back to Spark at a time.
 BATCH_BYTES = 32 << 20
@@ -62,12 +64,13 @@ def fetch_records(
 
     Rows are spread by file and offset, so a task reads forward through few files, a
     very large file is shared by many tasks, and so are many pointers to one record. There
-    is a task for every ``RECORDS_PER_TASK`` records and every ``BYTES_PER_TASK`` to read, which
-    one aggregate over ``df`` tells, unless ``partitions`` says how many.
+    is a task for every ``RECORDS_PER_TASK`` records and every ``BYTES_PER_TASK`` to read, up to
+    ``MOST_TASKS``, which one aggregate over ``df`` tells, unless ``partitions`` says how many.
     """
     if partitions is None:
         n, size = df.agg(F.count("*"), F.sum(F.greatest("length", F.lit(0)))).first()
         partitions = max(1, -(-n // RECORDS_PER_TASK), -(-(size or 0) // BYTES_PER_TASK))
+        partitions = min(partitions, MOST_TASKS)
     flat = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
     spot = ["filename", "offset", F.xxhash64(*flat)]
     sorted_rows = df.repartitionByRange(partitions, *spot).sortWithinPartitions("filename", "offset")

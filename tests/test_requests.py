@@ -151,6 +151,48 @@ def test_overlap_join_gives_each_pair_once(spark, catalog):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_overlap_join_of_any_spans(spark, monkeypatch):
+    import random
+
+    from pagestrata.operators import crawls
+
+    monkeypatch.setattr(crawls, "BUCKET", 4)
+    monkeypatch.setattr(crawls, "HOT_BUCKET", 20)
+    rng = random.Random(8)
+    day = lambda n: dt.datetime(2000, 1, 1) + dt.timedelta(days=n)
+
+    def spans(n):
+        out = []
+        for _ in range(n):
+            kind, a = rng.randrange(6), rng.randrange(300)
+            length = (0, 3, 40, 9000, -5, rng.randrange(300))[kind]
+            out.append((day(a), day(a + length)))
+        return out + [out[0]] * 5 + [(None, day(3)), (day(3), None), (day(0), day(9999)), (day(9999), day(0))]
+
+    left = [(i, *s) for i, s in enumerate(spans(120))]
+    right = [(i, *s) for i, s in enumerate(spans(90))]
+    l = spark.createDataFrame(left, "n int, lo timestamp, hi timestamp").repartition(3)
+    r = spark.createDataFrame(right, "m int, from_ts timestamp, to_ts timestamp").repartition(2)
+    want = sorted((n, m) for n, lo, hi in left for m, a, b in right if None not in (lo, hi, a, b) and b >= lo and a <= hi)
+    for rows_per_range in (100_000, 37):
+        assert sorted((x.n, x.m) for x in overlap_join(l, r, rows_per_range).collect()) == want
+    assert overlap_join(l.filter("n < 0"), r).count() == overlap_join(l, r.filter("m < 0")).count() == 0
+    assert overlap_join(l, r).columns == ["n", "lo", "hi", "m", "from_ts", "to_ts"]
+
+
+def test_overlap_join_shuffles_no_more_than_input_and_pairs(spark):
+    from pagestrata.operators.crawls import BUCKET, _numbered, _starts_in
+
+    # Long spans that hold no start of the other side go nowhere, however many months they have.
+    left = spark.range(500).selectExpr("id", "timestamp'1990-01-01' AS lo", "timestamp'2020-01-01' AS hi")
+    right = spark.range(3000).selectExpr("id AS m", "timestamp'2021-01-01' + make_interval(0, 0, 0, id) AS from_ts", "timestamp'2031-01-01' AS to_ts")
+    assert overlap_join(left, right).count() == 0
+    rows = _numbered(left, "lo", "hi").selectExpr("_row", "_id", "0L AS own", "0L AS first", "3000L AS behind")
+    points = _numbered(right, "from_ts", "to_ts").selectExpr("_row", "_id", "_row.m AS own", "0L AS first", "0L AS behind")
+    spread = 500 * -(-3000 // BUCKET)
+    assert _starts_in(rows, points, "l", "r").count() == 500 * 3000 and spread < 500 * 3000 / 50
+
+
 def test_fetch_plan(spark):
     at = dt.datetime(2024, 10, 20, 10, 30)
     df = spark.createDataFrame([("http://e.com/", at), ("", at), ("x", None)], "url string, timestamp timestamp")
