@@ -3,7 +3,7 @@
 Each operator works range by range (see ``plans.ranges``) and passes what crosses a
 range border through a summary with one row per range. The summary is the only
 thing sorted in one task and the only thing broadcast; its size is bounded by the
-number of ranges.
+number of ranges. Values of any length that are carried on are shuffled instead.
 """
 
 from __future__ import annotations
@@ -70,10 +70,16 @@ def with_last_seen(
     found = ranged.withColumn("_n", F.last("_v", ignorenulls=True).over(upto))
     key = F.when(F.col("_v").isNotNull(), F.struct(*order))
     borders = ranged.groupBy(RANGE).agg(F.max_by("_v", key).alias("_edge"))
+    # Values may be long texts, so one task only sees the number of the range that a range takes
+    # its value from. The values are shuffled to the ranges, which are shuffled by range already.
     before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    across = borders.select(RANGE, F.last("_edge", ignorenulls=True).over(before).alias("_edge"))
+    own = F.when(F.col("_edge").isNotNull(), F.col(RANGE))
+    source = borders.select(RANGE, own.alias("_own"))
+    source = source.select(RANGE, F.last("_own", ignorenulls=True).over(before).alias("_from"))
+    edges = borders.select(F.col(RANGE).alias("_from"), "_edge")
+    across = source.filter("_from IS NOT NULL").join(edges, "_from").drop("_from")
     return (
-        found.join(F.broadcast(across), RANGE, "left")
+        found.join(across, RANGE, "left")
         .withColumn(name, F.coalesce("_n", "_edge"))
         .drop("_v", "_n", "_edge", RANGE)
     )

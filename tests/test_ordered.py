@@ -57,6 +57,17 @@ def test_collapse_plans_grow_with_the_number_of_passes(index):
     assert windows(["digest", "statuscode", "mimetype", "timestamp:8"]) == windows(["digest"])
 
 
+def test_as_of_carries_long_texts_without_a_broadcast_hint(spark, index):
+    text = F.concat(F.col("capture_id").cast("string"), F.repeat(F.lit("x"), 5000))
+    asked = index.select("url", F.col("timestamp").alias("at"), F.col("capture_id").alias("q")).filter("url IS NOT NULL")
+    found = as_of(index.withColumn("page", text), asked, rows_per_range=50)
+    assert "broadcast" not in found._jdf.queryExecution().analyzed().toString().lower()
+    rows = found.collect()
+    assert len(rows) == asked.count()
+    assert all(r.capture.page == f"{r.capture.capture_id}" + "x" * 5000 for r in rows if r.capture)
+    assert sum(r.capture is not None for r in rows) > 400
+
+
 def test_as_of_joins_wide_columns_afterwards(spark, index):
     body = F.struct(F.concat(F.lit("body "), "capture_id").cast("binary").alias("body"))
     df = index.withColumn("response", body)
