@@ -50,6 +50,7 @@ from pagestrata.sources.cdx import parse_cdx, read_cdx
 from pagestrata.sources.cdxj import parse_cdxj, read_cdxj
 from pagestrata.sources.decode import decode_bodies
 from pagestrata.sources.export import export_bodies, write_captures
+from pagestrata.sources.grams import find_by_grams, write_grams
 from pagestrata.sources.layout import read_index_table, register_index, to_index_table
 from pagestrata.sources.record_index import captures_of, index_records
 from pagestrata.sources.warc import fetch_records

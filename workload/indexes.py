@@ -1,4 +1,4 @@
-"""Index lines in blocks, indexes made from record files, and bodies as text, from the given tables."""
+"""Index lines in blocks, lookups by grams, indexes made from record files, and bodies as text, from the given tables."""
 
 from __future__ import annotations
 
@@ -15,12 +15,16 @@ from pagestrata import (
     captures_of,
     decode_bodies,
     fetch_records,
+    find_by_grams,
     find_in_blocks,
     index_records,
     parse_cdxj,
+    read_index_table,
     scan_blocks,
+    to_index_table,
     write_block_index,
     write_blocks,
+    write_grams,
 )
 from pagestrata.functions.urls import compact_time
 from pagestrata.session import shared_folder, written
@@ -204,3 +208,24 @@ def bodies_decoded(spark, sf_dir):
         "page_id", F.md5(F.col("decoded_body").cast("binary")).alias("hash"), "charset", "charset_source",
         F.col("decode_error").isNotNull().alias("failed"),
     )
+
+
+def _by_grams(name: str, pattern: dict, sql: str, column: str = "url"):
+    """Register the captures that meet ``pattern``, looked up by three bytes in a row of ``column``."""
+
+    @query(name, with_captures(f"SELECT capture_id, url, statuscode, mimetype FROM captures WHERE {sql}"))
+    def run(spark, sf_dir):
+        folder = shared_folder(spark)
+        to_index_table(captures(spark, sf_dir), f"{folder}/table", number_rows=True)
+        index = read_index_table(spark, f"{folder}/table")
+        write_grams(index, f"{folder}/grams", column)
+        found = find_by_grams(index, f"{folder}/grams", column=column, **pattern)
+        return found.select("capture_id", "url", "statuscode", "mimetype")
+
+
+_by_grams("grams_contain", {"contains": "/en/12"}, "contains(url, '/en/12')")
+_by_grams("grams_like", {"like": "%.example.net/%/4%"}, "url LIKE '%.example.net/%/4%'")
+_by_grams("grams_match", {"matches": r"example\.org/[a-z]+/[0-9]*77|blog\..*/de/"},
+          r"regexp_matches(url, 'example\.org/[a-z]+/[0-9]*77|blog\..*/de/')")
+_by_grams("grams_match_key", {"matches_whole": r"org,example,[a-z]+\)/en/[0-9]+"},
+          r"urlkey SIMILAR TO 'org,example,[a-z]+\)/en/[0-9]+'", "urlkey")
