@@ -12,17 +12,22 @@ from pagestrata import (
     domains,
     in_crawls,
     latest_crawl,
+    merge_rollups,
     overlap_join,
+    roll_up,
     select_crawls,
     snapshots_per_year,
     status_class,
     union_sources,
+    url_overlaps,
     with_calendar,
+    write_rollups,
 )
 from pagestrata.functions import records
 from pagestrata.functions.urls import compact_time, host_of, surt
 from pagestrata.operators.bodies import attach_bodies
 from pagestrata.plans.requests import plan_crawl_requests, plan_fetches, plan_requests
+from pagestrata.session import shared_folder
 from workload.derived import CATALOG, captures, crawl_catalog, table, with_captures
 from workload.registry import query
 
@@ -512,3 +517,64 @@ def utf8_repaired(spark, sf_dir):
         F.unhex(F.lit("E282")),
     )
     return pages.select("page_id", records.repair_utf8(F.concat(*parts)).alias("text"))
+
+
+_MERGED = """
+SELECT {key}, count(*) AS captures, CAST(sum(length) AS BIGINT) AS bytes, min("timestamp") AS first_ts, max("timestamp") AS last_ts,
+  count(DISTINCT url) AS exact_urls, count(DISTINCT digest) AS exact_bodies, TRUE AS near
+FROM captures GROUP BY {key}"""
+
+
+def _rollup(name: str, key: str):
+    @query(name, with_captures(_MERGED.format(key=key)))
+    def run(spark, sf_dir):
+        """Stored summaries merged by one key; their estimates are near the exact counts beside them."""
+        df, folder = captures(spark, sf_dir), shared_folder(spark)
+        write_rollups(roll_up(df), folder)
+        merged = merge_rollups(spark.read.parquet(folder), key)
+        exact = df.groupBy(F.col(key).alias("_key")).agg(
+            F.count_distinct("url").alias("exact_urls"), F.count_distinct("digest").alias("exact_bodies")
+        )
+        near = (F.abs(F.col("n_urls") - F.col("exact_urls")) <= 0.06 * F.col("exact_urls")) & (
+            F.abs(F.col("n_bodies") - F.col("exact_bodies")) <= 0.06 * F.col("exact_bodies")
+        )
+        return merged.join(exact, merged[key].eqNullSafe(exact["_key"])).select(
+            key, "captures", "bytes", "first_ts", "last_ts", "exact_urls", "exact_bodies", near.alias("near")
+        )
+
+
+_rollup("rollup_by_crawl", "crawl_id")
+_rollup("rollup_by_year", "year")
+
+
+@query(
+    "crawl_url_overlap",
+    with_captures("""
+SELECT a.crawl_id AS "left", b.crawl_id AS "right", a.n AS exact_left, b.n AS exact_right, coalesce(c.n, 0) AS exact_both, TRUE AS near
+FROM (SELECT crawl_id, count(DISTINCT url) AS n FROM captures GROUP BY crawl_id) a
+JOIN (SELECT crawl_id, count(DISTINCT url) AS n FROM captures GROUP BY crawl_id) b
+  ON b.crawl_id = (SELECT max(crawl_id) FROM captures)
+LEFT JOIN (
+  SELECT x.crawl_id, count(*) AS n FROM (SELECT DISTINCT crawl_id, url FROM captures) x
+  JOIN (SELECT DISTINCT url FROM captures WHERE crawl_id = (SELECT max(crawl_id) FROM captures)) y ON x.url = y.url
+  GROUP BY x.crawl_id) c ON c.crawl_id = a.crawl_id"""),
+)
+def crawl_url_overlap(spark, sf_dir):
+    """URLs that each crawl shares with the newest one, from summaries, near the exact ones beside them."""
+    df, folder = captures(spark, sf_dir), shared_folder(spark)
+    write_rollups(roll_up(df), folder)
+    stored = spark.read.parquet(folder)
+    newest = stored.agg(F.max("crawl_id")).scalar()
+    pairs = stored.select(F.col("crawl_id").alias("left")).distinct().withColumn("right", newest)
+    found = url_overlaps(stored, pairs)
+    urls = df.select("crawl_id", "url").distinct()
+    last = urls.filter(F.col("crawl_id") == df.agg(F.max("crawl_id")).scalar()).select("url", F.lit(1).alias("_both"))
+    exact = urls.join(last, "url", "left").groupBy("crawl_id").agg(
+        F.count("url").alias("exact_left"), F.count("_both").alias("exact_both")
+    )
+    right = exact.select(F.col("crawl_id").alias("_right"), F.col("exact_left").alias("exact_right"))
+    either = F.col("exact_left") + F.col("exact_right") - F.col("exact_both")
+    near = [F.abs(F.col(f"n_{x}") - F.col(f"exact_{x}")) <= 0.06 * either for x in ("left", "right", "both")]
+    near.append(F.abs(F.col("n_either") - either) <= 0.06 * either)
+    both = found.join(exact, F.col("left") == F.col("crawl_id")).join(right, F.col("right") == F.col("_right"))
+    return both.select("left", "right", "exact_left", "exact_right", "exact_both", (near[0] & near[1] & near[2] & near[3]).alias("near"))
