@@ -14,6 +14,7 @@ from pagestrata.operators.crawls import (
     select_crawls,
 )
 from pagestrata.operators.dedup import collapse_adjacent, distinct_on
+from pagestrata.operators.registrable import read_suffix_rules, registrable_domains, with_registrable_domain
 from pagestrata.operators.rollups import merge_rollups, roll_up, url_overlaps, write_rollups
 from pagestrata.operators.stats import (
     body_size_stats,

@@ -1,0 +1,100 @@
+"""Registrable domains against rules applied one by one."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from pagestrata import read_suffix_rules, registrable_domains, with_registrable_domain
+from pagestrata.session import shared_folder
+
+RULES = ["com", "uk", "co.uk", "*.ck", "!www.ck", "jp", "*.kobe.jp", "!city.kobe.jp", "a.b.c.d", "рф", "公司.cn", "cn", None, "", "*"]
+
+
+def plain(host, rules):
+    labels = host.split(".")
+    best, exception = 1, None
+    for rule in rules:
+        own = rule.lstrip("!").split(".")
+        if len(own) <= len(labels) and all(a in ("*", b) for a, b in zip(own, labels[-len(own) :], strict=True)):
+            if rule.startswith("!"):
+                exception = len(own) - 1
+            best = max(best, len(own))
+    n = exception or best
+    return ".".join(labels[-n:]), ".".join(labels[-n - 1 :]) if len(labels) > n else None
+
+
+def found(spark, urls, rules=RULES):
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    table = spark.createDataFrame([(r,) for r in rules], "rule string")
+    return {r.url: (r.suffix, r.registrable_domain) for r in with_registrable_domain(df, table).collect()}
+
+
+def test_written_by_hand(spark):
+    wanted = {
+        "http://com/": ("com", None),
+        "http://example.com:80/a.b": ("com", "example.com"),
+        "https://u:p@A.B.Example.COM./": ("com", "example.com"),
+        "http://x.y.co.uk": ("co.uk", "y.co.uk"),
+        "http://co.uk/": ("co.uk", None),
+        "http://y.uk/": ("uk", "y.uk"),
+        "http://foo.ck/": ("foo.ck", None),
+        "http://a.foo.ck/": ("foo.ck", "a.foo.ck"),
+        "http://www.ck/": ("ck", "www.ck"),
+        "http://x.www.ck/": ("ck", "www.ck"),
+        "http://ck/": ("ck", None),
+        "http://q.city.kobe.jp/": ("kobe.jp", "city.kobe.jp"),
+        "http://q.r.kobe.jp/": ("r.kobe.jp", "q.r.kobe.jp"),
+        "http://z.a.b.c.d/": ("a.b.c.d", "z.a.b.c.d"),
+        "http://b.c.d/": ("d", "c.d"),
+        "http://not.listed/": ("listed", "not.listed"),
+        "http://пример.рф/": ("рф", "пример.рф"),
+        "http://xn--e1afmkfd.xn--p1ai/": ("xn--p1ai", "xn--e1afmkfd.xn--p1ai"),
+        "http://a.xn--55qx5d.cn/": ("xn--55qx5d.cn", "a.xn--55qx5d.cn"),
+        "http://127.0.0.1/": (None, None),
+        "http://[::1]:80/": (None, None),
+        "http://h2.example4.com1/": ("com1", "example4.com1"),
+        "": (None, None),
+        None: (None, None),
+    }
+    assert found(spark, list(wanted)) == wanted
+
+
+def test_random_hosts_and_rules(spark):
+    rng = random.Random(4)
+    names = ["a", "b", "c"]
+    for _ in range(3):
+        rules = set()
+        for _ in range(12):
+            own = [rng.choice(names) for _ in range(rng.randrange(1, 4))]
+            rules.add(rng.choice(["", "", "*."]) + ".".join(own))
+        exceptions = {"!" + rng.choice(names) + r[1:] for r in rules if r.startswith("*.")}
+        # Of two spellings of one name, as a rule and an exception, only the exception counts.
+        rules = {r for r in rules if "!" + r not in exceptions} | set(list(exceptions)[:1])
+        hosts = {".".join(rng.choice(names) for _ in range(rng.randrange(1, 6))) for _ in range(200)}
+        got = found(spark, [f"http://{h}/" for h in hosts], sorted(rules))
+        assert got == {f"http://{h}/": plain(h, rules) for h in hosts}
+
+
+def test_no_rules_no_rows_and_other_columns(spark):
+    none = spark.createDataFrame([], "rule string")
+    df = spark.createDataFrame([("http://a.b.example.com/", 1, 2, 3, 4)], "url string, suffix int, name int, kind int, labels int")
+    row = with_registrable_domain(df, none).first()
+    assert row.asDict() == {"url": "http://a.b.example.com/", "name": 2, "kind": 3, "labels": 4, "suffix": "com", "registrable_domain": "example.com"}
+    assert with_registrable_domain(df.limit(0), none).count() == 0
+
+
+def test_lookups_shuffle_no_captures(spark):
+    df = spark.range(10).select(F.concat(F.lit("http://h"), "id", F.lit(".co.uk/")).alias("url"))
+    rules = spark.createDataFrame([(r,) for r in RULES], "rule string")
+    plan = with_registrable_domain(df, rules)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_rules_from_a_file_and_counts(spark):
+    path = shared_folder(spark)
+    spark.createDataFrame([("// a comment",), ("com // more",), ("",), ("  co.uk",)], "value string").write.text(path)
+    rules = read_suffix_rules(spark, path)
+    assert sorted(r.rule for r in rules.collect()) == ["co.uk", "com"]
+    urls = ["http://a.x.com/1", "http://a.x.com/2", "http://x.com/", "http://1.2.3.4/", "http://co.uk/", None]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [tuple(r) for r in registrable_domains(df, rules).collect()] == [("x.com", 3, 2)]

@@ -14,6 +14,7 @@ from pagestrata import (
     latest_crawl,
     merge_rollups,
     overlap_join,
+    registrable_domains,
     roll_up,
     select_crawls,
     snapshots_per_year,
@@ -578,3 +579,25 @@ def crawl_url_overlap(spark, sf_dir):
     near.append(F.abs(F.col("n_either") - either) <= 0.06 * either)
     both = found.join(exact, F.col("left") == F.col("crawl_id")).join(right, F.col("right") == F.col("_right"))
     return both.select("left", "right", "exact_left", "exact_right", "exact_both", (near[0] & near[1] & near[2] & near[3]).alias("near"))
+
+
+#: Rules under which hosts of the tables have suffixes of one to three labels.
+SUFFIXES = ("com", "net", "org", "example.org", "*.example.net", "!tionsh.example.net")
+
+
+@query(
+    "registrable_domains",
+    with_captures(r"""
+SELECT domain AS registrable_domain, CAST(count(*) AS BIGINT) AS captures, count(DISTINCT host) AS hosts
+FROM (
+  SELECT host, CASE
+    WHEN regexp_matches(host, '(^|\.)tionsh\.example\.net$') THEN 'tionsh.example.net'
+    WHEN host LIKE '%.example.net' THEN nullif(regexp_extract(host, '([^.]+\.[^.]+\.example\.net)$', 1), '')
+    WHEN host LIKE '%.example.org' THEN regexp_extract(host, '([^.]+\.example\.org)$', 1)
+    ELSE regexp_extract(host, '([^.]+\.[^.]+)$', 1) END AS domain
+  FROM (SELECT regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS host FROM captures))
+WHERE domain IS NOT NULL GROUP BY domain"""),
+)
+def registrable_domain_counts(spark, sf_dir):
+    rules = spark.createDataFrame([(s,) for s in SUFFIXES], "rule string")
+    return registrable_domains(captures(spark, sf_dir), rules)
