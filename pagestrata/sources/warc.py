@@ -25,7 +25,7 @@ from pagestrata.functions.records import (
 )
 from pagestrata.sources.files import file_system, qualified
 
-# Retry schedule and time budget of one record.
+# Retry schedule and time budget, of one record and of all failures of a batch.
 ATTEMPTS = 5
 FIRST_DELAY_SECONDS = 0.1
 BUDGET_SECONDS = 180
@@ -57,6 +57,7 @@ def fetch_records(
     partitions: int | None = None,
     attempts: int = ATTEMPTS,
     budget_seconds: float = BUDGET_SECONDS,
+    batch_seconds: float = BUDGET_SECONDS,
 ) -> DataFrame:
     """Add ``warc`` (``version``, ``headers``) and ``response`` (``body``, ``headers``,
     ``http_version``, ``http_status``, ``error``) to rows that point into files under
@@ -66,6 +67,11 @@ def fetch_records(
     very large file is shared by many tasks, and so are many pointers to one record. There
     is a task for every ``RECORDS_PER_TASK`` records and every ``BYTES_PER_TASK`` to read, up to
     ``MOST_TASKS``, which one aggregate over ``df`` tells, unless ``partitions`` says how many.
+
+    A read that fails is tried again, up to ``attempts`` times and for ``budget_seconds``. Failed tries
+    and the waits after them may cost ``batch_seconds`` in ``RECORDS_PER_TASK`` reads in a row;
+    beyond, each of these reads is tried once. So a store that is down holds a task up for
+    a bounded time, and no record that can be read is given up for others.
     """
     if partitions is None:
         n, size = df.agg(F.count("*"), F.sum(F.greatest("length", F.lit(0)))).first()
@@ -76,7 +82,7 @@ def fetch_records(
     sorted_rows = df.repartitionByRange(partitions, *spot).sortWithinPartitions("filename", "offset")
     schema = T.StructType([*df.schema.fields, *_PARTS.fields])
     root = qualified(df.sparkSession, root)
-    read = sorted_rows.mapInArrow(_reader(root, attempts, budget_seconds), schema)
+    read = sorted_rows.mapInArrow(_reader(root, attempts, budget_seconds, batch_seconds), schema)
     return _with_parsed(read).drop(*_PARTS.names)
 
 
@@ -96,9 +102,9 @@ def _with_parsed(read: DataFrame) -> DataFrame:
 
 
 
-def _reader(root: str, attempts: int, budget_seconds: float):
+def _reader(root: str, attempts: int, budget_seconds: float, batch_seconds: float = BUDGET_SECONDS):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files = _Files(root, attempts, budget_seconds)
+        files = _Files(root, attempts, budget_seconds, batch_seconds)
         for batch in batches:
             names, offsets, lengths = (
                 batch.column(batch.schema.get_field_index(c)).to_pylist()
@@ -127,9 +133,11 @@ def _joined(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
 class _Files:
     """Reads records, keeping the current file open and the last record at hand."""
 
-    def __init__(self, root: str, attempts: int, budget_seconds: float):
+    def __init__(self, root: str, attempts: int, budget_seconds: float, batch_seconds: float = BUDGET_SECONDS):
         self.fs, self.base = file_system(root)
-        self.attempts, self.budget = attempts, budget_seconds
+        self.attempts, self.budget, self.batch_budget = attempts, budget_seconds, batch_seconds
+        # Reads so far, and the seconds that failed ones cost in the batch they are in.
+        self.reads = self.lost = 0
         self.name = self.handle = self.spot = self.parts = None
 
     def record(self, name, offset, length) -> tuple:
@@ -154,11 +162,14 @@ class _Files:
         return cut_record(record)
 
     def _read(self, name, offset, length) -> bytes:
+        if self.reads % RECORDS_PER_TASK == 0:
+            self.lost = 0
+        self.reads += 1
         started, delay = time.monotonic(), FIRST_DELAY_SECONDS
         for attempt in range(1, self.attempts + 1):
-            spent = time.monotonic() - started
-            if spent >= self.budget:
-                raise TimeoutError(f"No time left: {int(spent)} of {int(self.budget)} seconds used")
+            tried = time.monotonic()
+            if tried - started >= self.budget:
+                raise TimeoutError(f"No time left: {int(tried - started)} of {int(self.budget)} seconds used")
             try:
                 self._open(name)
                 self.handle.seek(offset)
@@ -167,9 +178,11 @@ class _Files:
                 raise
             except OSError as error:
                 self.close()
-                if attempt == self.attempts:
+                self.lost += time.monotonic() - tried
+                if attempt == self.attempts or self.lost + delay > self.batch_budget:
                     raise OSError(f"Not read in {attempt} attempts: {error}") from error
                 time.sleep(delay)
+                self.lost += delay
                 delay *= 2
 
     def _open(self, name) -> None:

@@ -202,3 +202,37 @@ def test_retry_recovers(stored, monkeypatch):
     monkeypatch.setattr(warc._Files, "_open", flaky)
     monkeypatch.setattr(warc, "FIRST_DELAY_SECONDS", 0.001)
     assert warc._Files(folder, 5, 60).record(*spots["first"])[2] == b"at offset zero"
+
+
+def test_failures_of_a_batch_share_a_budget(stored, monkeypatch):
+    """A store that is down costs a bounded time, and what can be read is read."""
+    spots, folder = stored
+    real, now, tries = warc._Files._open, [0.0], []
+
+    def failing(self, name):
+        if name == "gone":
+            now[0] += 0.5
+            tries.append(name)
+            raise OSError("connection lost")
+        real(self, name)
+
+    def sleep(seconds):
+        now[0] += seconds
+
+    monkeypatch.setattr(warc._Files, "_open", failing)
+    monkeypatch.setattr(warc.time, "sleep", sleep)
+    monkeypatch.setattr(warc.time, "monotonic", lambda: now[0])
+    files = warc._Files(folder, 5, 60, 20)
+    errors, read = [], 0
+    for i in range(2 * warc.RECORDS_PER_TASK):
+        good = i % 50 == 49
+        parts = files.record(*spots["first"]) if good else files.record("gone", i, 5)
+        read += good and parts[2] == b"at offset zero"
+        errors += [parts[3]] if not good else []
+    assert read == 10
+    assert errors[0] == "Not read in 5 attempts: connection lost"
+    assert errors[200] == "Not read in 1 attempts: connection lost"
+    # The next batch has time of its own.
+    assert errors[245] == "Not read in 5 attempts: connection lost"
+    assert now[0] <= 2 * (20 + 0.5 * 245)
+    assert len(tries) < 2 * 245 + 100
