@@ -38,6 +38,7 @@ from pagestrata.operators.topk import (
     top_k,
 )
 from pagestrata.plans.capture_query import find_captures
+from pagestrata.plans.polite import polite_slots
 from pagestrata.plans.requests import plan_crawl_requests, plan_fetches, plan_requests
 from pagestrata.sources.blocks import (
     find_in_blocks,

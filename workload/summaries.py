@@ -14,6 +14,7 @@ from pagestrata import (
     latest_crawl,
     merge_rollups,
     overlap_join,
+    polite_slots,
     registrable_domains,
     roll_up,
     select_crawls,
@@ -28,7 +29,7 @@ from pagestrata.functions import records
 from pagestrata.functions.urls import compact_time, host_of, surt
 from pagestrata.operators.bodies import attach_bodies
 from pagestrata.plans.requests import plan_crawl_requests, plan_fetches, plan_requests
-from pagestrata.session import shared_folder
+from pagestrata.session import shared_folder, written
 from workload.derived import CATALOG, captures, crawl_catalog, table, with_captures
 from workload.registry import query
 
@@ -601,3 +602,24 @@ WHERE domain IS NOT NULL GROUP BY domain"""),
 def registrable_domain_counts(spark, sf_dir):
     rules = spark.createDataFrame([(s,) for s in SUFFIXES], "rule string")
     return registrable_domains(captures(spark, sf_dir), rules)
+
+
+#: Captures of a host that are fetched in one turn.
+PER_SLOT = 3
+
+
+@query(
+    "fetch_slots",
+    with_captures(f"""
+SELECT capture_id, CAST((row_number() OVER (PARTITION BY host ORDER BY url, capture_id) - 1) // {PER_SLOT} AS BIGINT) AS turn,
+  (SELECT CAST(max((n + {PER_SLOT - 1}) // {PER_SLOT}) AS BIGINT) FROM (
+    SELECT count(*) AS n FROM captures GROUP BY regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1))) AS slots
+FROM (SELECT *, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS host FROM captures)"""),
+)
+def fetch_slots(spark, sf_dir):
+    """The turn of each capture among its host's, and how many slots all take."""
+    found = written(polite_slots(captures(spark, sf_dir), PER_SLOT, order=["url", "capture_id"]))
+    hosts = found.groupBy(host_of(F.col("url")).alias("_host")).agg(F.min("slot").alias("_first"))
+    slots = found.agg((F.max("slot") + 1)).scalar()
+    placed = found.withColumn("_of", host_of(F.col("url"))).join(hosts, F.col("_of") == F.col("_host"))
+    return placed.select("capture_id", (F.col("slot") - F.col("_first")).alias("turn"), slots.alias("slots"))
