@@ -40,6 +40,7 @@ from pagestrata.operators.topk import (
 from pagestrata.plans.capture_query import find_captures
 from pagestrata.plans.polite import polite_slots
 from pagestrata.plans.requests import plan_crawl_requests, plan_fetches, plan_requests
+from pagestrata.plans.sql_function import register_function
 from pagestrata.sources.blocks import (
     find_in_blocks,
     read_blocks,

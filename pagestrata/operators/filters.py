@@ -82,7 +82,7 @@ def url_pattern(pattern: str, keyed: bool = False) -> Column:
     ports = [f"{key}:{port or '%'}){path}" for key in surt_hosts(host)]
     key = F.col("urlkey")
     if pattern.endswith("*"):
-        plain = _starts(*keys)
+        plain = _any([F.left(key, F.lit(len(k))) == k for k in keys])
         named = _any([key.like(_as_like(p) + "%") for p in ports])
     else:
         ends = [""] if path else ["", "/"]
@@ -90,7 +90,10 @@ def url_pattern(pattern: str, keyed: bool = False) -> Column:
         named = _any([key.like(_as_like(p + e)) for p in ports for e in ends])
     if port:
         plain = plain & (port_of(F.col("url")) == port)
-    return plain | named
+    # LIKE with a wildcard inside is not pushed to the scan, the beginnings of keys are. The plain test
+    # is written in another way, else the optimizer would draw both together again.
+    bounds = _starts(*keys, *[f"{k}:" for k in surt_hosts(host)])
+    return bounds & (plain | named)
 
 
 def url_like(pattern: str, keyed: bool = False) -> Column:

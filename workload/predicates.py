@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pagestrata.operators import filters as f
 from pagestrata.plans.capture_query import find_captures
+from pagestrata.plans.sql_function import register_function
 from workload.derived import captures, table, with_captures
 from workload.registry import query
 
@@ -159,3 +160,28 @@ def conditions_combined(spark, sf_dir):
         years=(None, 2023),
         where=F.col("mimetype") != "application/pdf",
     ).select(*SHOWN)
+
+
+def _by_function(name: str, arguments: str, sql: str):
+    """Captures that the SQL function gives for ``arguments``, checked by plain SQL."""
+
+    @query(f"function_{name}", with_captures(f"SELECT {_COLUMNS} FROM {sql}"))
+    def run(spark, sf_dir):
+        register_function(captures(spark, sf_dir), f"captures_{name}")
+        return spark.sql(f"SELECT {_COLUMNS} FROM captures_{name}({arguments})")
+
+
+_by_function(
+    "domain", "domain => 'example.org', since => TIMESTAMP_NTZ '2021-03-01', statuscode => 200",
+    r"""captures WHERE regexp_matches(url, '^[a-z]+://([^/?#:]+\.)?example\.org([/?#:]|$)')
+        AND "timestamp" >= TIMESTAMP '2021-03-01' AND statuscode = 200""",
+)
+_by_function(
+    "path", "url => 'blog.tionsh.example.net/e*', mimetype => 'text/html'",
+    r"captures WHERE regexp_matches(url, '^[a-z]+://blog\.tionsh\.example\.net/e') AND mimetype = 'text/html'",
+)
+_by_function(
+    "capped", "url_like => '%/en/%', max_results => 40",
+    """(SELECT *, row_number() OVER (PARTITION BY crawl_id ORDER BY urlkey, "timestamp", capture_id) AS rn
+        FROM captures WHERE url LIKE '%/en/%') WHERE rn <= 40""",
+)
