@@ -1,7 +1,7 @@
 """New index files as they arrive.
 
 Parsing, filters and derived columns are row by row, so they work on these streams as
-on tables. Collapse, distinct and top-k look at the whole index and are for tables.
+on tables; ``streaming.firsts`` keeps captures per key. Collapse and whole-index top-k are for tables.
 """
 
 from __future__ import annotations
