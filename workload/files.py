@@ -26,6 +26,7 @@ from pagestrata.functions.urls import compact_time
 from pagestrata.operators.bodies import attach_bodies
 from pagestrata.session import shared_folder
 from pagestrata.sources.files import file_system, qualified
+from pagestrata.streaming.firsts import append_firsts, first_of, keep_firsts
 from pagestrata.streaming.tail import append_to_table, tail_cdx
 from workload.derived import CATALOG, captures, crawl_catalog, table, with_captures
 from workload.registry import query
@@ -88,6 +89,36 @@ def cdx_stream(spark, sf_dir):
     return spark.read.parquet(f"{folder}/table").withColumn("timestamp", naive("timestamp"))
 
 
+def _streamed(name: str, keys: list[str], n: int, descending: bool, sql: str):
+    """Captures per key out of a stream of Parquet files, two a batch, checked by the batch form in SQL."""
+    order = ["timestamp", "capture_id"]
+
+    @query(f"stream_{name}", with_captures(sql))
+    def run(spark, sf_dir):
+        folder = shared_folder(spark)
+        shown = captures(spark, sf_dir).select("capture_id", "url", "year", "timestamp", "statuscode")
+        shown.repartition(4, "capture_id").write.parquet(f"{folder}/in")
+        stream = spark.readStream.schema(shown.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+        kept = keep_firsts(stream, keys, n, order, descending)
+        append_firsts(kept, f"{folder}/table", f"{folder}/progress").awaitTermination()
+        found = spark.read.schema(shown.schema).parquet(f"{folder}/table")
+        return first_of(found, keys, n, order, descending)
+
+
+_streamed(
+    "latest_per_url", ["url"], 3, True,
+    """SELECT capture_id, url, "year", "timestamp", statuscode FROM (
+         SELECT *, row_number() OVER (PARTITION BY url ORDER BY "timestamp" DESC, capture_id DESC) AS rn FROM captures)
+       WHERE rn <= 3""",
+)
+_streamed(
+    "first_per_year", ["url", "year"], 1, False,
+    """SELECT capture_id, url, "year", "timestamp", statuscode FROM (
+         SELECT *, row_number() OVER (PARTITION BY url, "year" ORDER BY "timestamp", capture_id) AS rn FROM captures)
+       WHERE rn = 1""",
+)
+
+
 def write_cdxj(df: DataFrame, folder: str) -> None:
     """JSON index lines in one directory per crawl, with a stray line per 100 captures.
     Every 30th line lacks its status; every 20th mimetype holds a quote."""
