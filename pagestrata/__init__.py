@@ -52,6 +52,7 @@ from pagestrata.sources.blocks import (
 from pagestrata.sources.catalog import read_crawl_catalog
 from pagestrata.sources.cdx import parse_cdx, read_cdx
 from pagestrata.sources.cdxj import parse_cdxj, read_cdxj
+from pagestrata.sources.clustered import find_clustered, write_clustered
 from pagestrata.sources.decode import decode_bodies
 from pagestrata.sources.export import export_bodies, write_captures
 from pagestrata.sources.grams import find_by_grams, write_grams

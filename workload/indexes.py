@@ -28,6 +28,7 @@ from pagestrata import (
 )
 from pagestrata.functions.urls import compact_time
 from pagestrata.session import shared_folder, written
+from pagestrata.sources.clustered import find_clustered, write_clustered
 from pagestrata.sources.files import file_system, qualified
 from workload.derived import captures, table, with_captures
 from workload.files import naive
@@ -229,3 +230,17 @@ _by_grams("grams_match", {"matches": r"example\.org/[a-z]+/[0-9]*77|blog\..*/de/
           r"regexp_matches(url, 'example\.org/[a-z]+/[0-9]*77|blog\..*/de/')")
 _by_grams("grams_match_key", {"matches_whole": r"org,example,[a-z]+\)/en/[0-9]+"},
           r"urlkey SIMILAR TO 'org,example,[a-z]+\)/en/[0-9]+'", "urlkey")
+
+
+@query(
+    "clustered_lookup",
+    with_captures(r"""SELECT capture_id, url, "timestamp" FROM captures
+        WHERE regexp_matches(url, '^[a-z]+://([^/?#:]+\.)?example\.org([/?#:]|$)')
+          AND "timestamp" BETWEEN TIMESTAMP '2021-02-01' AND TIMESTAMP '2022-06-30'"""),
+)
+def clustered_lookup(spark, sf_dir):
+    """A domain and a span of time out of a table clustered by both."""
+    path = shared_folder(spark)
+    write_clustered(captures(spark, sf_dir), path, files=8)
+    found = find_clustered(spark, path, domain="example.org", since="2021-02-01", until="2022-06-30")
+    return found.select("capture_id", "url", "timestamp")
