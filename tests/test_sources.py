@@ -10,7 +10,7 @@ from pagestrata import (
     attach_bodies, export_bodies, parse_cdx, read_cdx, read_cdxj, read_crawl_catalog, register_index,
     to_index_table, union_sources, write_captures,
 )
-from pagestrata.operators.bodies import MISSING_KEY, NOT_STORED
+from pagestrata.operators.bodies import MISSING_KEY, NOT_STORED, _by_content
 from pagestrata.session import shared_folder
 from pagestrata.streaming.tail import append_to_table, tail_cdxj
 
@@ -160,6 +160,43 @@ def test_one_body_for_each_snapshot_and_only_those_asked_for(spark):
     assert store.rindex("LeftSemi") > store.rindex("Exchange hashpartitioning")
 
 
+@pytest.mark.parametrize("few", [0, 100])
+def test_smallest_body_of_a_snapshot_whether_few_or_many(spark, monkeypatch, few):
+    monkeypatch.setattr("pagestrata.operators.bodies.FEW_BODIES", few)
+    at = dt.datetime(2024, 1, 1)
+    urls = ["a", "b", "c", "d", "e", "", None, "a"]
+    df = spark.createDataFrame([(u, at, i) for i, u in enumerate(urls)], BODY)
+    stored = [("a", "y"), ("a", "x"), ("a", "x"), ("b", "x"), ("c", None), ("c", "y"), ("d", None), (None, "x"), ("z", "x")]
+    for rows in (stored, stored[3:4] + stored[6:]):
+        store = spark.createDataFrame([(u, at, b) for u, b in rows], "url string, timestamp timestamp, body string")
+        bodies = {u: min((b for v, b in rows if v == u and b is not None), default=None) for u, _ in rows}
+        want = {
+            i: (None, MISSING_KEY) if not u else (bodies[u], None) if u in bodies else (None, NOT_STORED)
+            for i, u in enumerate(urls)
+        }
+        got = attach_bodies(df, store).collect()
+        assert {r.n: (r.response.body and r.response.body.decode(), r.response.error) for r in got} == want
+        assert len(got) == len(urls)
+
+
+def test_a_body_of_many_snapshots_is_held_once(spark, monkeypatch):
+    at = F.lit(dt.datetime(2024, 1, 1))
+    df = spark.range(0, 1000, 1, 4).select(F.concat(F.lit("u"), "id").alias("url"), at.alias("timestamp"), F.col("id").alias("n"))
+    store = df.select("url", "timestamp", F.repeat((F.col("n") % 3).cast("string"), 2000).alias("body"))
+    moved = []
+
+    def by_content(held):
+        moved.extend(_by_content(held))
+        return moved
+
+    monkeypatch.setattr("pagestrata.operators.bodies.FEW_BODIES", 999)
+    monkeypatch.setattr("pagestrata.operators.bodies._by_content", by_content)
+    got = attach_bodies(df, store).collect()
+    assert all(bytes(r.response.body) == str(r.n % 3).encode() * 2000 for r in got) and len(got) == 1000
+    snapshots, bodies = moved
+    assert (snapshots.count(), bodies.count()) == (1000, 3) and "_body" not in snapshots.columns
+
+
 def test_exports(spark):
     folder = shared_folder(spark)
     at = dt.datetime(2024, 1, 1)
