@@ -211,6 +211,20 @@ def test_exports(spark):
         assert one.read() == b"<p>"
 
 
+def test_rows_with_equal_bodies_share_an_object(spark):
+    folder, body = shared_folder(spark), F.struct(F.concat(F.lit("<p>"), F.col("n") % 3, F.repeat(F.lit("x"), 500)).cast("binary").alias("body"))
+    df = spark.range(0, 300, 1, 6).withColumnRenamed("id", "n").select(
+        F.concat(F.lit("u"), "n").alias("url"), F.lit(dt.datetime(2024, 1, 1)).alias("timestamp"), "n", body.alias("response")
+    )
+    manifest = export_bodies(df, folder, suffix=".gz").collect()
+    assert sorted(r.url for r in manifest) == sorted(f"u{n}" for n in range(300))
+    held = [f"{shard}/{name}" for shard in os.listdir(f"{folder}/objects") for name in os.listdir(f"{folder}/objects/{shard}")]
+    assert sorted(held) == sorted({r.path for r in manifest}) and len({r.path for r in manifest}) == 3
+    for r in manifest:
+        with open(f"{folder}/objects/{r.path}", "rb") as one:
+            assert one.read() == b"<p>%d" % (int(r.url[1:]) % 3) + b"x" * 500 and r.bytes == 504
+
+
 def test_union_fills_what_a_source_lacks(spark):
     a = spark.createDataFrame([("u", 1)], "url string, x int")
     b = spark.createDataFrame([("v", "C")], "url string, crawl_id string")

@@ -244,10 +244,10 @@ def body_export(spark, sf_dir):
     manifest = export_bodies(attach_bodies(found, store.drop("page_id")), folder)
     objects = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     named = objects.load(f"{folder}/objects").select(
-        F.substring_index("path", "/", -1).alias("name"), "content"
+        F.substring_index("path", "/", -1).alias("name"), F.md5("content").alias("hash")
     )
     written = manifest.withColumn("name", F.substring_index("path", "/", -1)).join(named, "name")
-    return written.select("url", F.md5("content").alias("hash"), "bytes").distinct()
+    return written.select("url", "hash", "bytes").distinct()
 
 
 def write_records(pages: DataFrame, folder: str) -> DataFrame:
