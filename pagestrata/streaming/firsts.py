@@ -26,6 +26,8 @@ from pagestrata.streaming.tail import append_to_table
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _ORDERED = (*_WHOLE, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _STATE = "asked INT, best STRING"
+#: Groups that the parts of keys are dealt to. A call costs a group about 2 ms, and reads and writes its whole state.
+BUCKETS = 4096
 
 
 def keep_firsts(
@@ -36,12 +38,15 @@ def keep_firsts(
     descending: bool = False,
     parts: int = 16,
     idle_hours: float = 24 * 7,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Captures that are among the first ``n`` of their key when they arrive.
 
     ``keys`` are specs as in ``distinct_on`` (``url``, ``year``, ``urlkey:6``); ``order`` is index order by default.
     Write the result with ``append_firsts`` and read it through ``first_of`` with the same arguments. Each key has
-    ``n`` places of its order as state, in up to ``parts`` parts, so that a URL with a third of all captures is not one task. A key
+    ``n`` places of its order as state, in up to ``parts`` parts, so that a URL with a third of all captures is not one task. The
+    parts of all keys are dealt to ``buckets`` groups, each with the places of its keys as state: a batch costs no call per
+    key, but reads and writes the buckets it meets; take more of them where small batches meet very many keys. A key
     that nothing arrives for in ``idle_hours`` is forgotten; its next captures are added anew, which costs rows
     of the table and changes no result. A checkpoint that was begun with another ``n`` is an error.
 
@@ -49,16 +54,15 @@ def keep_firsts(
     them as JSON before. An empty stream gives an empty table.
     """
     order = order or index_order(stream)
-    if n < 1 or parts < 1 or not keys:
-        raise ValueError("name at least one key, and n and parts of at least 1")
+    if n < 1 or parts < 1 or buckets < 1 or not keys:
+        raise ValueError("name at least one key, and n, parts and buckets of at least 1")
     flat = [_as_text(f) for f in stream.schema]
     place = F.to_json(F.struct(*[_comparable(stream.schema[c]).alias(f"p{i}") for i, c in enumerate(order)]))
-    names = [f"_key{i}" for i in range(len(keys))]
-    sent = stream.select(
-        *flat,
-        *[key_expression(k).cast("string").alias(name) for k, name in zip(keys, names)],
-        place.alias("_place"),
-    ).withColumn("_part", F.pmod(F.xxhash64("_place"), F.lit(parts)).cast("int"))
+    part = F.pmod(F.xxhash64("_place"), F.lit(parts)).alias("part")
+    named = [key_expression(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)]
+    # Keys are made of the columns as they were, so before these are text.
+    keyed = stream.withColumn("_place", place).withColumn("_key", F.to_json(F.struct(*named, part)))
+    sent = keyed.select(*flat, "_place", "_key", F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int").alias("_bucket"))
     columns, width = list(stream.columns), len(order)
     milliseconds = max(1, int(idle_hours * 3_600_000))
 
@@ -66,22 +70,30 @@ def keep_firsts(
         if state.hasTimedOut:
             state.remove()
             return
-        asked, kept = state.get if state.exists else (n, "[]")
+        asked, kept = state.get if state.exists else (n, "{}")
         if asked != n:
             raise ValueError(f"this checkpoint keeps {asked} captures of a key, not {n}")
-        best = [_rank(p) for p in json.loads(kept)]
+        now = state.getCurrentProcessingTimeMs()
+        # By key: when its last captures came, and its places as JSON.
+        held = {k: x for k, x in json.loads(kept).items() if now - x[0] <= milliseconds}
+        best: dict[str, list[tuple]] = {}
         for frame in frames:
-            places = [_rank([found.get(f"p{i}") for i in range(width)]) for found in map(json.loads, frame["_place"])]
-            best = sorted([*best, *places], reverse=descending)[:n]
-            last = best[-1]
-            good = [p >= last if descending else p <= last for p in places]
+            found: dict[str, list[tuple]] = {}
+            places = [_rank([p.get(f"p{i}") for i in range(width)]) for p in map(json.loads, frame["_place"])]
+            for k, p in zip(frame["_key"], places):
+                found.setdefault(k, []).append(p)
+            for k, some in found.items():
+                before = best[k] if k in best else [_rank(p) for p in held[k][1]] if k in held else []
+                best[k] = sorted([*before, *some], reverse=descending)[:n]
+            good = [p >= best[k][-1] if descending else p <= best[k][-1] for k, p in zip(frame["_key"], places)]
             if any(good):
                 yield frame.loc[good, columns]
-        state.update((n, json.dumps([[value if known else None for known, value in p] for p in best])))
+        held |= {k: (now, [[value if known else None for known, value in p] for p in some]) for k, some in best.items()}
+        state.update((n, json.dumps(held, separators=(",", ":"))))
         state.setTimeoutDuration(milliseconds)
 
     # The timeout is one of processing time: one of event time would drop late lines.
-    found = sent.groupBy(*names, "_part").applyInPandasWithState(
+    found = sent.groupBy("_bucket").applyInPandasWithState(
         update, T.StructType([T.StructField(c, T.StringType()) for c in columns]), _STATE, "append",
         GroupStateTimeout.ProcessingTimeTimeout,
     )
