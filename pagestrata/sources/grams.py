@@ -30,8 +30,8 @@ LISTED = 256
 PAGE_ROWS = 2000
 #: Grams of a pattern that are looked up, the rarest; the exact test does the rest.
 MOST_GRAMS = 8
-#: Bytes of text whose grams are sorted at a time.
-SLICE = 4 << 20
+#: Bytes of text whose grams are sorted at a time; each takes about 80 bytes of memory meanwhile.
+SLICE = 1 << 18
 #: Row ranges that a scan is narrowed to, and the powers of two that hits are joined by until
 #: there are no more of them than that. The last one holds 128 writing tasks.
 MOST_RANGES = 100
@@ -197,8 +197,12 @@ def _postings_of(texts: pa.Table) -> pa.Table:
     pairs = [np.zeros(0, np.int64)]
     for batch in texts.select([ROW_ID, "text"]).to_batches():
         pairs += _pairs(batch)
-    pairs = np.unique(np.concatenate(pairs))
-    grams, places = pairs >> CHUNK_BITS, (pairs & ((1 << CHUNK_BITS) - 1)).astype(np.uint16)
+    pairs = np.concatenate(pairs)
+    pairs.sort()
+    again = np.flatnonzero(pairs[1:] == pairs[:-1])
+    pairs = np.delete(pairs, again) if len(again) else pairs
+    grams, places = (pairs >> CHUNK_BITS).astype(np.int32), (pairs & ((1 << CHUNK_BITS) - 1)).astype(np.uint16)
+    del pairs
     starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
     stops = np.append(starts[1:], len(grams))
     blocks = [packed(places[a:b]) for a, b in zip(starts, stops, strict=True)] if len(grams) else []

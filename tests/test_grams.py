@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -162,3 +163,19 @@ def test_what_a_match_must_hold_is_there(pattern, text):
         return
     if found is not None and hit:
         assert any(all(p in hit[0] for p in parts) for parts in found)
+
+
+def test_memory_of_a_full_chunk_follows_its_grams():
+    import tracemalloc
+
+    n = 1 << 16
+    texts = [f"https://h{i % 999}.example.net/en/{i * 37 % 250_000}?page=2" for i in range(n)]
+    table = pa.table({"chunk": np.zeros(n, np.int64), "row_id": np.arange(n), "text": texts})
+    tracemalloc.start()
+    found = grams._postings_of(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    pairs = sum(len({t[i : i + 3] for i in range(len(t) - 2)}) for t in texts)
+    assert sum(found.column("n").to_pylist()) == pairs
+    # Some numbers of eight bytes for each gram of each text, whatever is in work at a time.
+    assert peak < 40 * pairs + (48 << 20)
