@@ -19,8 +19,11 @@ from pyspark.sql import types as T
 from pagestrata.session import written
 from pagestrata.sources.files import file_system, qualified
 
-#: Bytes of a range, and ranges that tasks read one after the other beyond ``MOST_TASKS``.
+#: Bytes of a range. Tasks read small ranges one after the other, up to so many bytes once every core
+#: has ``TASKS_PER_CORE``, and more beyond ``MOST_TASKS``.
 SPLIT_BYTES = 64 << 20
+TASK_BYTES = 16 << 20
+TASKS_PER_CORE = 3
 MOST_TASKS = 50_000
 #: Bytes read, and inflated, at a time.
 READ = 1 << 20
@@ -78,7 +81,9 @@ def gzip_members(
     task = _range_reader(base, describer, schema, n_described)
 
     def scanned(some: DataFrame) -> DataFrame:
-        n = min(max(some.count(), 1), MOST_TASKS)
+        n, size = some.agg(F.count("*"), F.sum(F.col("stop") - F.col("start"))).first()
+        enough = max(-(-(size or 0) // TASK_BYTES), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+        n = max(min(n, enough, MOST_TASKS), 1)
         spread = some.repartitionByRange(n, "filename", "start").sortWithinPartitions("filename", "start")
         return spread.mapInArrow(task, schema)
 
@@ -87,7 +92,7 @@ def gzip_members(
         again = written(_misread(found.filter("is_range")))
         if again.isEmpty():
             break
-        # The first of each file: those behind it may be right after all.
+        # The first of each file is right now; those behind it are looked at again, since it may end elsewhere.
         redo = scanned(again)
         found = written(found.join(again.select("filename", "start"), ["filename", "start"], "left_anti").unionByName(redo))
     names = T.StructType.fromDDL(f"filename string, offset long, length long, error string, {described}").names
@@ -95,7 +100,8 @@ def gzip_members(
 
 
 def _misread(ranges: DataFrame) -> DataFrame:
-    """The first range of each file whose first member is not where the members before it end."""
+    """The ranges whose first member is not where the members before them end. All at once, since a file
+    may have many; where the end itself was wrong, they are found again."""
     before = Window.partitionBy("filename").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     told = F.when(F.col("next").isNotNull() | F.col("broken"), F.struct("next", "broken"))
     behind = ranges.withColumn("_end", F.last(told, ignorenulls=True).over(before))
@@ -103,10 +109,7 @@ def _misread(ranges: DataFrame) -> DataFrame:
     inside = (end < F.col("stop")) & ~F.col("first").eqNullSafe(end)
     beyond = (end >= F.col("stop")) & F.col("first").isNotNull()
     wrong = behind.filter(~F.col("_end.broken") & (inside | beyond))
-    row = F.struct("size", "start", "stop", end.alias("at"))
-    return wrong.groupBy("filename").agg(F.min_by(row, "start").alias("r")).select("filename", "r.*").select(
-        *T.StructType.fromDDL(_RANGE).names
-    )
+    return wrong.withColumn("at", end).select(*T.StructType.fromDDL(_RANGE).names)
 
 
 def _range_reader(base: str, describer: Describer, schema: T.StructType, n_described: int):

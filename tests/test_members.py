@@ -1,4 +1,5 @@
 import gzip
+import os
 import random
 import uuid
 import zlib
@@ -242,3 +243,25 @@ def test_lookup_without_a_key():
         key_prefixes("http://exam*")
     assert key_prefixes("*.a.org") == ["org,a,", "org,a)", "org,a:"]
     assert gzip.decompress(member(b"x")) == b"x" and blocks_module.BLOCK_LINES and uuid
+
+
+def test_many_misread_ranges_take_few_rounds(spark, monkeypatch):
+    from pagestrata.sources import members as members_module
+
+    folder, rng = shared_folder(spark), random.Random(4)
+    # Every record holds whole members, stored as they are, so ranges begin at the wrong ones.
+    data = [member(b"".join(member(rng.randbytes(300)) for _ in range(20)), 0) for _ in range(40)]
+    os.makedirs(folder)
+    with open(f"{folder}/one.gz", "wb") as out:
+        out.write(b"".join(data))
+    rounds = []
+
+    def misread(ranges):
+        rounds.append(ranges)
+        return _misread(ranges)
+
+    _misread = members_module._misread
+    monkeypatch.setattr(members_module, "_misread", misread)
+    found = index_records(spark, folder, split_bytes=3000).select("offset", "length").collect()
+    assert sorted(map(tuple, found)) == [(at, size) for at, size, *_ in places([(m, m) for m in data])]
+    assert len(rounds) <= 6
