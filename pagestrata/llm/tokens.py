@@ -40,8 +40,8 @@ PERCENTILE = 99
 SHARD_BYTES = 64 << 20
 #: Tasks that write or read; beyond that, each has several files.
 MOST_TASKS = 20_000
-#: Characters that a task encodes at a time, and pieces of text whose ids it remembers.
-CHUNK_CHARS = 4 << 20
+#: Bytes of text that a task gets and encodes at a time, and pieces of text whose ids it remembers.
+CHUNK_CHARS = 1 << 20
 REMEMBERED = 1 << 21
 #: Bytes of a piece that is remembered, and pieces that are encoded as one text.
 LONGEST = 64
@@ -59,7 +59,7 @@ def write_token_files(
     """Write the ids of ``docs`` (``doc_id``, ``text``) below ``root`` by ascending ``doc_id``.
 
     ``tokenizer_path`` is read on the driver and sent to the tasks (some megabytes), each of
-    which remembers the ids of ``remembered`` pieces of text (some 50 bytes each) until it
+    which remembers the ids of ``remembered`` pieces of text (some 40 bytes each) until it
     ends. Every document ends with id 0. Documents are range-partitioned by id; a task encodes its
     range and begins a new file after every ``shard_bytes`` of text. Files have the attempt in their
     names, so that no attempt touches those of another; only those in the manifest count. Returns
@@ -100,6 +100,7 @@ def write_token_files(
                     writer = Writer(out)
                 ids, lengths = encode(some.column(1))
                 writer.add(some.column(0), ids, lengths)
+                pa.default_memory_pool().release_unused()
                 size += some.column(1).nbytes
                 # The last task of a small corpus has somewhat more than its share.
                 if size >= 2 * shard_bytes:
@@ -108,11 +109,15 @@ def write_token_files(
         if writer is not None:
             yield closed()
 
-    written = stored(
-        texts.repartitionByRange(tasks, "doc_id", F.xxhash64("text"))
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
-        .mapInArrow(write, "shard long, path string, n_docs long, n_ids long")
-    )
+    ordered = texts.repartitionByRange(tasks, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # A batch is held whole on both sides, by the JVM and by Python.
+    conf, name = spark.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(CHUNK_CHARS))
+    try:
+        written = stored(ordered.mapInArrow(write, "shard long, path string, n_docs long, n_ids long"))
+    finally:
+        conf.set(name, before)
     # One row per file.
     ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return written.withColumn("start", F.coalesce(F.sum("n_ids").over(ahead), F.lit(0)))
@@ -188,6 +193,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        # Most vocabularies fit two bytes, which halves what is remembered.
+        self.kind = np.uint16 if max(self.tokenizer.get_vocab().values(), default=0) < 1 << 16 else np.uint32
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 and cuts_at_blanks(json.loads(definition)) else None
         self.remembered = remembered
@@ -220,7 +227,7 @@ class Encoder:
         used[place] = True
         flat, begin, lengths = self._pieces(words, after_line, np.flatnonzero(used))
         whole = np.flatnonzero(odd)
-        apart = [*self._encode(texts.take(pa.array(whole)).to_pylist()), np.array([END_ID], np.uint32)]
+        apart = [*self._encode(texts.take(pa.array(whole)).to_pylist()), np.array([END_ID], self.kind)]
         sizes = np.array([len(x) for x in apart], np.int64)
         begin = np.concatenate([begin, len(flat) + np.cumsum(sizes) - sizes])
         lengths = np.concatenate([lengths, sizes])
@@ -242,8 +249,8 @@ class Encoder:
     def _forget(self) -> None:
         # By the first hash, in order; the ids of all pieces lie behind each other.
         self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.flat = np.zeros(0, np.uint32)
+        self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int16)
+        self.flat = np.zeros(0, self.kind)
 
     def _pieces(
         self, words: pa.Array, after_line: np.ndarray, keys: np.ndarray
@@ -290,18 +297,18 @@ class Encoder:
         found: list[np.ndarray] = []
         for at in range(0, len(texts), 4096):
             some = self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)
-            found += [np.array(f.ids, np.uint32) for f in some]
+            found += [np.array(f.ids, self.kind) for f in some]
         return found
 
     def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of pieces without white space but for a blank in front, a line end's id before
         each; where they begin, and how many. A line end is a token of its own before such
         pieces, so that many of them are one text."""
-        found = [np.zeros(0, np.uint32)]
+        found = [np.zeros(0, self.kind)]
         for at in range(0, len(pieces), JOINED):
             some = pieces[at : at + JOINED]
             ids = self.tokenizer.encode("\n" + "\n".join(some), add_special_tokens=False).ids
-            found.append(np.array(ids, np.uint32))
+            found.append(np.array(ids, self.kind))
             if np.count_nonzero(found[-1] == self.line) != len(some):
                 raise ValueError("the tokenizer does not keep line ends apart")
         flat = np.concatenate(found)

@@ -1,6 +1,7 @@
 import io
 import json
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -9,11 +10,12 @@ import pytest
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from helpers import documents, empty, prose, rows, with_clashes
 from pagestrata.llm.tokens import (
-    Encoder, Reader, Writer, cuts_at_blanks, pack_block, read_token_files, token_digests, unpack_block, write_token_files,
+    Encoder, Reader, Writer, _chunks, cuts_at_blanks, pack_block, read_token_files, token_digests, unpack_block, write_token_files,
 )
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -148,3 +150,39 @@ def test_forgetting_pieces(library):
         encode = Encoder(f.read(), 3)
     for text in ("a b c d e f", "g h, i. a b", "a b c!"):
         assert encode(pa.array([text]))[0].tolist() == ids_of(library, text)
+
+
+def test_a_task_gets_little_text_at_a_time(spark, monkeypatch):
+    class Watched(Encoder):
+        def __call__(self, texts):
+            if texts.buffers()[2].size > 4 << 20:
+                raise ValueError("a large batch")
+            return super().__call__(texts)
+
+    monkeypatch.setattr("pagestrata.llm.tokens.Encoder", Watched)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(8000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("of the "), 300).alias("text"))
+    assert token_digests(write_token_files(docs, PATH)).count() == 8000
+    assert spark.conf.get(name) == before
+
+
+def test_memory_of_a_chunk():
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(4_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4_000)), pa.array(texts)], names=["doc_id", "text"])
+    with open(PATH, encoding="utf-8") as f:
+        encode = Encoder(f.read())
+    tracemalloc.start()
+    for some in _chunks(batch):
+        encode(some.column(1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+
+
+def test_ids_beyond_two_bytes():
+    model = {"type": "WordLevel", "vocab": {"[UNK]": 0, "a": 70_000, "b": 65_535}, "unk_token": "[UNK]"}
+    encode = Encoder(json.dumps({"version": "1.0", "added_tokens": [], "pre_tokenizer": {"type": "Whitespace"}, "model": model}))
+    assert encode(pa.array(["a b", "b"]))[0].tolist() == [70_000, 65_535, 0, 65_535, 0]
