@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,19 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What runs meanwhile sends Python batches of about ``size`` bytes, a row at least. A batch is
+    held whole on both sides, by the JVM several times outside its heap."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 #: Rows of up to some 24 bytes that a broadcast may hold.
 FEW = 1_000_000
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagestrata.llm.common import if_few, stored
+from pagestrata.llm.common import if_few, small_batches, stored
 from pagestrata.llm.groups import blocks, comparable, forest, in_blocks, whole_groups, with_components
 
 SHINGLE = 5
@@ -27,8 +27,8 @@ UNIVERSE = 1 << 20
 #: A part of a bucket has about so many shingles and documents.
 PART_SHINGLES = 200_000
 PART_DOCS = 512
-#: Bytes of text that a task hashes at a time.
-CHUNK = 4 << 20
+#: Bytes of text that a task gets and hashes at a time.
+CHUNK = 1 << 20
 
 _SKETCH = "doc_id long, row long, n_shingles long, hi long, lo long, bands array<long>"
 
@@ -77,9 +77,10 @@ def _placed(docs: DataFrame, percent: int, seed: int = 3) -> DataFrame:
     class comes before this one by id and hash."""
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("row"))
     bands = n_bands(percent)
-    sketches = stored(
-        texts.mapInArrow(lambda batches: _sketch(batches, bands, seed), _SKETCH)
-    )
+    with small_batches(docs.sparkSession, CHUNK):
+        sketches = stored(
+            texts.mapInArrow(lambda batches: _sketch(batches, bands, seed), _SKETCH)
+        )
     # Each distinct set is a node. Its number is not an id, of which several sets may have one.
     reps = stored(
         sketches.filter("doc_id IS NOT NULL AND n_shingles > 0")

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagestrata.llm.common import stored
+from pagestrata.llm.common import small_batches, stored
 from pagestrata.session import shared_folder
 from pagestrata.sources.files import file_system, qualified
 
@@ -40,6 +40,8 @@ PERCENTILE = 99
 SHARD_BYTES = 64 << 20
 #: Tasks that write or read; beyond that, each has several files.
 MOST_TASKS = 20_000
+#: Ranges of ids of a writing task, which fetches and sorts one after the other.
+RANGES = 4
 #: Bytes of text that a task gets and encodes at a time, and pieces of text whose ids it remembers.
 CHUNK_CHARS = 1 << 20
 REMEMBERED = 1 << 21
@@ -61,10 +63,10 @@ def write_token_files(
     ``tokenizer_path`` is read on the driver and sent to the tasks (some megabytes), each of
     which remembers the ids of ``remembered`` pieces of text (some 40 bytes each) until it
     ends. Every document ends with id 0. Documents are range-partitioned by id; a task encodes its
-    range and begins a new file after every ``shard_bytes`` of text. Files have the attempt in their
-    names, so that no attempt touches those of another; only those in the manifest count. Returns
-    the manifest (``shard``, which orders the files, ``path``, ``n_docs``, ``n_ids``, ``start``: the
-    ids in all files before).
+    ranges one after the other, and begins a new file after every ``shard_bytes`` of text and for a range
+    that does not follow on the one before. Files have the attempt in their names, so that no attempt
+    touches those of another; only those in the manifest count. Returns the manifest (``shard``, which
+    orders the files, ``path``, ``n_docs``, ``n_ids``, ``start``: the ids in all files before).
 
     NULL texts are empty, NULL ids come first, rows that repeat an id stand by text. Extra
     columns are not read. No documents give no files and no rows.
@@ -77,6 +79,7 @@ def write_token_files(
     texts = docs.select("doc_id", text)
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = min(MOST_TASKS, max(1, -(-total // shard_bytes)))
+    ranges = max(tasks, min(MOST_TASKS, RANGES * tasks))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(tokenizer.value, remembered)
@@ -84,7 +87,8 @@ def write_token_files(
         files, folder = file_system(root)
         files.create_dir(folder, recursive=True)
         out = writer = None
-        shard, size = task.partitionId() << 32, 0
+        shard = size = 0
+        last = -1
 
         def closed() -> pa.RecordBatch:
             writer.close()
@@ -93,31 +97,36 @@ def write_token_files(
             return pa.RecordBatch.from_pydict(row)
 
         for batch in batches:
-            for some in _chunks(batch):
-                if writer is None:
-                    path = f"{root}/{shard:016x}-{task.taskAttemptId()}.pfor"
-                    out = files.open_output_stream(f"{folder}/{path.rpartition('/')[2]}")
-                    writer = Writer(out)
-                ids, lengths = encode(some.column(1))
-                writer.add(some.column(0), ids, lengths)
-                pa.default_memory_pool().release_unused()
-                size += some.column(1).nbytes
-                # The last task of a small corpus has somewhat more than its share.
-                if size >= 2 * shard_bytes:
+            for part, rows in _by_range(batch):
+                # The ranges of a task need not be neighbours.
+                if writer is not None and part not in (last, last + 1):
                     yield closed()
-                    writer, shard, size = None, shard + 1, 0
+                    writer, size = None, 0
+                if writer is None and part != last:
+                    shard = part << 32
+                last = part
+                for some in _chunks(rows):
+                    if writer is None:
+                        path = f"{root}/{shard:016x}-{task.taskAttemptId()}.pfor"
+                        out = files.open_output_stream(f"{folder}/{path.rpartition('/')[2]}")
+                        writer = Writer(out)
+                    ids, lengths = encode(some.column(1))
+                    writer.add(some.column(0), ids, lengths)
+                    pa.default_memory_pool().release_unused()
+                    size += some.column(1).nbytes
+                    # The last task of a small corpus has somewhat more than its share.
+                    if size >= 2 * shard_bytes:
+                        yield closed()
+                        writer, shard, size = None, shard + 1, 0
         if writer is not None:
             yield closed()
 
-    ordered = texts.repartitionByRange(tasks, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    # A batch is held whole on both sides, by the JVM and by Python.
-    conf, name = spark.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = conf.get(name)
-    conf.set(name, str(CHUNK_CHARS))
-    try:
+    key = ["doc_id", F.xxhash64("text")]
+    ordered = texts.repartitionByRange(ranges, *key).sortWithinPartitions(*key)
+    # A task holds one range at a time, fetched and sorted, and remembers pieces over all of its ranges.
+    ordered = ordered.withColumn("part", F.spark_partition_id()).coalesce(tasks)
+    with small_batches(spark, CHUNK_CHARS):
         written = stored(ordered.mapInArrow(write, "shard long, path string, n_docs long, n_ids long"))
-    finally:
-        conf.set(name, before)
     # One row per file.
     ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return written.withColumn("start", F.coalesce(F.sum("n_ids").over(ahead), F.lit(0)))
@@ -168,6 +177,15 @@ def _rows(rows: list[tuple], whole: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
+def _by_range(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of one range each, with its number."""
+    parts = np.asarray(batch.column(2))
+    turns = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
+    for at, stop in zip(turns, turns[1:], strict=False):
+        if at < stop:
+            yield int(parts[at]), batch.slice(at, stop - at)
+
+
 def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of about ``CHUNK_CHARS`` bytes of text, of one row at least."""
     ends = np.cumsum(np.asarray(pc.binary_length(batch.column(1)), np.int64))

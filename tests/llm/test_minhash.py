@@ -157,3 +157,17 @@ def test_every_text_of_repeated_ids_survives(spark):
     assert rows(near_duplicates(far, 80), "doc_id", "component_id") == [(2, 2), (5, 2), (5, 5), (6, 5), (7, 7)]
     # Near copies under one id are one.
     assert len(rows(one_of_each(documents(spark, [(1, b), (1, near)]), 80), "doc_id")) == 1
+
+
+def test_a_task_gets_little_text_at_a_time(spark, monkeypatch):
+    sketch = minhash._sketch
+
+    def watched(batches, bands, seed):
+        for batch in batches:
+            if batch.column(1).buffers()[2].size > 4 << 20:
+                raise ValueError("a large batch")
+            yield from sketch(iter([batch]), bands, seed)
+
+    monkeypatch.setattr(minhash, "_sketch", watched)
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id AS doc_id", "repeat('of the ', 300) AS text")
+    assert near_duplicates(docs).filter("kept").count() == 1

@@ -1,6 +1,7 @@
 import io
 import json
 import random
+import re
 import tracemalloc
 import zlib
 
@@ -11,11 +12,13 @@ import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 from tokenizers import Tokenizer
 
 from helpers import documents, empty, prose, rows, with_clashes
+from pagestrata.llm.common import stored
 from pagestrata.llm.tokens import (
-    Encoder, Reader, Writer, _chunks, cuts_at_blanks, pack_block, read_token_files, token_digests, unpack_block, write_token_files,
+    Encoder, Reader, Writer, _by_range, _chunks, cuts_at_blanks, pack_block, read_token_files, token_digests, unpack_block, write_token_files,
 )
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -167,6 +170,50 @@ def test_a_task_gets_little_text_at_a_time(spark, monkeypatch):
     assert spark.conf.get(name) == before
 
 
+def test_a_task_fetches_and_sorts_a_part_at_a_time(spark, monkeypatch):
+    plans = []
+
+    def watched(df):
+        plans.append((df.rdd.getNumPartitions(), df._jdf.queryExecution().toString()))
+        return stored(df)
+
+    monkeypatch.setattr("pagestrata.llm.tokens.stored", watched)
+    docs = [(i, f"text {i} " + "of the " * 20) for i in range(400)]
+    write_token_files(documents(spark, docs), PATH, shard_bytes=20_000)
+    (tasks, plan), = plans
+    assert tasks == -(-sum(len(t) for _, t in docs) // 20_000)
+    assert {int(n) for n in re.findall(r"rangepartitioning\(.*, (\d+)\)", plan)} == {4 * tasks}
+
+
+@pytest.mark.parametrize("dealt", [[0, 1, 2, 3], [0, 2, 3, 5], [4, 0, 1, 3]])
+def test_ranges_of_a_task_need_not_be_neighbours(dealt):
+    parts = np.repeat(dealt, 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(parts), pa.array(["x"] * 12), pa.array(parts, pa.int32())], names=["doc_id", "text", "part"])
+    found = [(part, rows.column(0).to_pylist()) for part, rows in _by_range(batch)]
+    assert found == [(p, [p] * 3) for p in dealt]
+    assert list(_by_range(batch.slice(0, 0))) == []
+
+
+@pytest.mark.parametrize("shard_bytes", [600, 3_000])
+def test_files_stand_in_order_however_ranges_are_dealt(spark, library, monkeypatch, shard_bytes):
+    # Reversed tasks' ranges and gaps between them, as they come when tasks are dealt by place.
+    def dealt(self, n):
+        return coalesce(self.repartition(n, F.col("part") % 3).sortWithinPartitions((F.col("part") + 5) % 7, "part", "doc_id"), n)
+
+    coalesce = DataFrame.coalesce
+    monkeypatch.setattr(DataFrame, "coalesce", dealt)
+    monkeypatch.setattr("pagestrata.llm.tokens.CHUNK_CHARS", 300)
+    rng = random.Random(12)
+    docs = [(i, prose(rng, 20)) for i in range(200)]
+    manifest = write_token_files(documents(spark, docs), PATH, shard_bytes=shard_bytes)
+    want, start = [], 0
+    for doc_id, text in docs:
+        ids = ids_of(library, text)
+        want.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in token_digests(manifest).collect()) == want
+
+
 def test_memory_of_a_chunk():
     rng = random.Random(9)
     words = [f"w{rng.randrange(10**9)}" for _ in range(20_000)]
